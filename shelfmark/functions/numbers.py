@@ -14,17 +14,16 @@ CURRENCY_MARKS = "$€, "
 LINE_CURRENCY_MARKS = "$€£, "
 THOUSANDS_MARKS = ", "
 
-_PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
-_PLAIN_INTEGER = r"^[+-]?\d+$"
-
-
-def _guarded_cast(text: Column, shape: str, sql_type: str) -> Column:
-    # try_cast alone would also take exponents and other spellings
-    return F.when(text.rlike(shape), text.try_cast(sql_type))
+# try_cast reads exponents; as "x" they make the text no number
+_EXPONENTS = ("eE", "xx")
 
 
 def to_amount(c: Column | str, marks: str = CURRENCY_MARKS, sql_type: str = MONEY) -> Column:
-    return _guarded_cast(F.translate(as_col(c), marks, ""), _PLAIN_NUMBER, sql_type)
+    """An amount between currency marks, NULL for any other text.
+
+    One ``translate`` replaces and deletes; a regular expression costs several times more."""
+    exponents, spoilt = _EXPONENTS
+    return F.translate(as_col(c), exponents + marks, spoilt).try_cast(sql_type)
 
 
 def to_optional_amount(c: Column | str, marks: str = CURRENCY_MARKS) -> Column:
@@ -32,11 +31,11 @@ def to_optional_amount(c: Column | str, marks: str = CURRENCY_MARKS) -> Column:
 
 
 def to_decimal(c: Column | str, sql_type: str) -> Column:
-    return _guarded_cast(F.trim(as_col(c)), _PLAIN_NUMBER, sql_type)
+    return to_amount(F.trim(as_col(c)), "", sql_type)
 
 
 def to_int(c: Column | str) -> Column:
-    return _guarded_cast(F.trim(as_col(c)), _PLAIN_INTEGER, "int")
+    return F.trim(as_col(c)).try_cast("int")
 
 
 def or_zero(c: Column | str) -> Column:

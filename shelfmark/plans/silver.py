@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,18 +11,42 @@ from shelfmark.clock import RunClock
 from shelfmark.functions import measures, rules, text
 from shelfmark.operators.dedupe import keep_latest
 from shelfmark.operators.existence import flag_existing
-from shelfmark.operators.quality import all_set, score
+from shelfmark.operators.quality import Rule, all_set, score
 from shelfmark.plans import staging as stg
 from shelfmark.schemas import ORIGIN_COLUMNS
 
 # rows of one load share their timestamp; the later row of the file wins
 NEWEST = ("Load_Timestamp", "Raw_ID")
+_USABLE = "__usable"
+
+
+def _latest_usable(
+    staged: DataFrame,
+    keys: list[str],
+    quality: Sequence[Rule],
+    needed: Sequence[str],
+    newest: Sequence[str] = NEWEST,
+    usable: Sequence[str] = (stg.VALID,),
+) -> DataFrame:
+    """The newest usable row of each key, with its score and validity in place of the rule flags.
+
+    Usable rows are ordered first and checked after the dedupe: a filter ahead of it would be
+    pushed below the parsing columns and parse every row a second time. The score takes the
+    place of its flags before the shuffle."""
+    ranked = staged.withColumns(
+        {_USABLE: all_set(usable), "Is_Valid": all_set(needed), "DQ_Score": score(quality)}
+    )
+    flags = {r.name for r in quality if r.name.startswith("DQ_")} | {stg.VALID}
+    latest = keep_latest(ranked.drop(*flags), keys, (_USABLE, *newest))
+    return latest.filter(F.col(_USABLE) == 1).drop(_USABLE)
 
 
-def _valid(staged: DataFrame, *more: str) -> DataFrame:
-    for flag in (stg.VALID, *more):
-        staged = staged.filter(F.col(flag) == 1)
-    return staged
+def _valid(staged: DataFrame) -> DataFrame:
+    return staged.filter(F.col(stg.VALID) == 1)
+
+
+def _weighted(quality: Sequence[Rule], *but: str) -> list[str]:
+    return [r.name for r in quality if r.weight and r.name not in but]
 
 
 def _finish(df: DataFrame, columns: list[str], clock: RunClock) -> DataFrame:
@@ -31,16 +57,13 @@ def _finish(df: DataFrame, columns: list[str], clock: RunClock) -> DataFrame:
 
 def clean_stores(staged: DataFrame, clock: RunClock) -> DataFrame:
     quality = stg.stores_rules()
-    latest = keep_latest(_valid(staged), ["Store_ID"], NEWEST)
-    needed = [r.name for r in quality if r.weight]
+    latest = _latest_usable(staged, ["Store_ID"], quality, _weighted(quality))
     return _finish(
         latest.withColumns(
             {
                 "City": text.capitalize("City"),
                 "Region": F.upper("Region"),
                 "Store_Manager": text.or_missing(text.list_head("Store_Manager")),
-                "Is_Valid": all_set(needed),
-                "DQ_Score": score(quality),
             }
         ),
         ["Store_ID", "Store_Name", "City", "Region", "Store_Manager", "Store_Area_sqm", "Open_Date", "Has_Multiple_Managers"],
@@ -50,7 +73,7 @@ def clean_stores(staged: DataFrame, clock: RunClock) -> DataFrame:
 
 def clean_customers(staged: DataFrame, clock: RunClock, mask_contacts: bool = False) -> DataFrame:
     """``mask_contacts`` replaces e-mail and phone by digests."""
-    latest = keep_latest(_valid(staged), ["Customer_ID"], NEWEST)
+    latest = _latest_usable(staged, ["Customer_ID"], stg.customers_rules(clock), ["DQ_Customer_ID_Valid"])
     standard = latest.withColumns(
         {
             "Full_Name": text.proper_case("Full_Name"),
@@ -61,8 +84,6 @@ def clean_customers(staged: DataFrame, clock: RunClock, mask_contacts: bool = Fa
             "Preferred_Channel": text.pattern_label(
                 "Preferred_Channel", rules.CHANNEL_PATTERNS, rules.CHANNEL_DEFAULT
             ),
-            "Is_Valid": F.col("DQ_Customer_ID_Valid"),
-            "DQ_Score": score(stg.customers_rules(clock)),
         }
     )
     flagged = standard.withColumns(
@@ -89,24 +110,16 @@ PRODUCT_COLUMNS = [
 ]
 
 
-def standard_products(staged: DataFrame) -> DataFrame:
+def clean_products(staged: DataFrame, clock: RunClock) -> DataFrame:
+    """The current version of each product."""
     quality = stg.products_rules()
-    return staged.withColumns(
+    gates = [r.name for r in quality if r.gate]
+    latest = _latest_usable(staged, ["Product_SKU"], quality, gates, ("Last_Updated", *NEWEST))
+    versioned = latest.withColumns(
         {
             "Category": text.pattern_label("Category", rules.CATEGORY_PATTERNS),
             "Sub_Category": text.pattern_label("Sub_Category", rules.SUB_CATEGORY_PATTERNS),
             "Has_Cost_Price": F.col("Cost_Price").isNotNull().cast("int"),
-            "Is_Valid": all_set([r.name for r in quality if r.gate]),
-            "DQ_Score": score(quality),
-        }
-    )
-
-
-def clean_products(staged: DataFrame, clock: RunClock) -> DataFrame:
-    """The current version of each product."""
-    latest = keep_latest(_valid(staged), ["Product_SKU"], ("Last_Updated", *NEWEST))
-    versioned = standard_products(latest).withColumns(
-        {
             "Effective_From": F.coalesce("Last_Updated", clock.today()),
             "Effective_To": F.lit(None).cast("date"),
             "Is_Current": F.lit(1),
@@ -118,15 +131,18 @@ def clean_products(staged: DataFrame, clock: RunClock) -> DataFrame:
 
 def clean_promotions(staged: DataFrame, clock: RunClock) -> DataFrame:
     quality = stg.promotions_rules()
-    latest = keep_latest(_valid(staged, "DQ_Date_Range_Valid"), ["Promotion_ID"], NEWEST)
-    needed = [r.name for r in quality if r.weight and r.name != "DQ_Promo_Type_Valid"]
+    latest = _latest_usable(
+        staged,
+        ["Promotion_ID"],
+        quality,
+        _weighted(quality, "DQ_Promo_Type_Valid"),
+        usable=(stg.VALID, "DQ_Date_Range_Valid"),
+    )
     return _finish(
         latest.withColumns(
             {
                 "Promo_Type": text.pattern_label("Promo_Type", rules.PROMO_TYPE_PATTERNS, rules.PROMO_TYPE_DEFAULT),
                 "Eligible_SKUs": F.coalesce(text.key("Eligible_SKUs"), F.lit(text.MISSING)),
-                "Is_Valid": all_set(needed),
-                "DQ_Score": score(quality),
             }
         ),
         [
@@ -139,17 +155,12 @@ def clean_promotions(staged: DataFrame, clock: RunClock) -> DataFrame:
 
 def clean_weather(staged: DataFrame, clock: RunClock) -> DataFrame:
     quality = stg.weather_rules()
-    located = _valid(staged).withColumn("Store_ID", text.strip_prefix("Retail_Location_ID", "LOC_"))
-    latest = keep_latest(located, ["Weather_Date", "Store_ID"], NEWEST)
-    needed = [r.name for r in quality if r.weight and r.name != "DQ_Temperature_Valid"]
+    located = staged.withColumn("Store_ID", text.strip_prefix("Retail_Location_ID", "LOC_"))
+    latest = _latest_usable(
+        located, ["Weather_Date", "Store_ID"], quality, _weighted(quality, "DQ_Temperature_Valid")
+    )
     return _finish(
-        latest.withColumns(
-            {
-                "Weather_Condition": text.pattern_label("Weather_Condition", rules.WEATHER_PATTERNS),
-                "Is_Valid": all_set(needed),
-                "DQ_Score": score(quality),
-            }
-        ),
+        latest.withColumn("Weather_Condition", text.pattern_label("Weather_Condition", rules.WEATHER_PATTERNS)),
         [
             "Weather_Date", "Store_ID", "Temperature_C", "Precipitation_mm", "Weather_Condition",
             "Has_Missing_Temperature", "Is_Extreme_Temperature",
@@ -161,15 +172,19 @@ def clean_weather(staged: DataFrame, clock: RunClock) -> DataFrame:
 def clean_inventory(staged: DataFrame, staged_products: DataFrame, staged_stores: DataFrame, clock: RunClock) -> DataFrame:
     """The latest snapshot per product and store, where both are known."""
     quality = stg.inventory_rules()
-    usable = _valid(staged).filter(F.col("Is_Negative_Quantity") == 0)
-    latest = keep_latest(usable, ["Product_SKU", "Store_ID"], ("Snapshot_Date", *NEWEST))
+    latest = _latest_usable(
+        staged.withColumn("__counted", (F.col("Is_Negative_Quantity") == 0).cast("int")),
+        ["Product_SKU", "Store_ID"],
+        quality,
+        _weighted(quality),
+        ("Snapshot_Date", *NEWEST),
+        usable=(stg.VALID, "__counted"),
+    )
     flagged = flag_existing(latest, "Product_SKU", _valid(staged_products), "Product_Exists")
     flagged = flag_existing(flagged, "Store_ID", _valid(staged_stores), "Store_Exists")
-    needed = [r.name for r in quality if r.weight] + ["Product_Exists", "Store_Exists"]
+    flags = ("Is_Valid", "Product_Exists", "Store_Exists")
     return _finish(
-        flagged.withColumns(
-            {"Is_Latest_Snapshot": F.lit(1), "Is_Valid": all_set(needed), "DQ_Score": score(quality)}
-        ),
+        flagged.withColumns({"Is_Latest_Snapshot": F.lit(1), "Is_Valid": all_set(flags)}),
         [
             "Inventory_ID", "Product_SKU", "Store_ID", "Snapshot_Date", "Quantity_On_Hand", "Reorder_Level",
             "Is_Below_Reorder_Level", "Is_Negative_Quantity", "Is_Outlier_Quantity", "Is_Latest_Snapshot",
@@ -196,7 +211,7 @@ def clean_header(
 
     An unknown customer only sets ``Customer_Exists``; pass ``customers`` to compute it, with
     ``keep_links`` to publish the link flags and ``enforce_customer`` to drop such rows."""
-    latest = keep_latest(_valid(staged), ["Transaction_ID"], NEWEST)
+    latest = _latest_usable(staged, ["Transaction_ID"], stg.header_rules(), [stg.VALID])
     linked = flag_existing(latest, "Store_ID", stores, "Store_Exists", reference_is_unique=True)
     links = ["Store_Exists"]
     if customers is not None:
@@ -204,10 +219,9 @@ def clean_header(
             linked, "Customer_ID", customers, "Customer_Exists", reference_is_unique=True, null_passes=True
         )
         links.append("Customer_Exists")
-    needed = ["Store_Exists", stg.VALID] + (["Customer_Exists"] if enforce_customer else [])
+    needed = ["Store_Exists", "Is_Valid"] + (["Customer_Exists"] if enforce_customer else [])
     filled = {c: F.coalesce(c, F.lit(text.MISSING)) for c in ("Store_ID", "Customer_ID", "Payment_Method")}
-    scored = linked.withColumns({**filled, "Is_Valid": all_set(needed), "DQ_Score": score(stg.header_rules())})
-    return _finish(scored, HEADER_COLUMNS + (links if keep_links else []), clock)
+    return _finish(linked.withColumns({**filled, "Is_Valid": all_set(needed)}), HEADER_COLUMNS + (links if keep_links else []), clock)
 
 
 LINE_COLUMNS = [
@@ -219,7 +233,7 @@ LINE_COLUMNS = [
 
 def clean_lines(staged: DataFrame, clock: RunClock) -> DataFrame:
     """One row per transaction line. Links to other tables are not enforced; see :func:`line_links`."""
-    latest = keep_latest(_valid(staged), ["Transaction_Line_ID"], NEWEST)
+    latest = _latest_usable(staged, ["Transaction_Line_ID"], stg.lines_rules(), [stg.VALID])
     return _finish(
         latest.withColumns(
             {
@@ -227,8 +241,6 @@ def clean_lines(staged: DataFrame, clock: RunClock) -> DataFrame:
                     "Discount_Amount", "Unit_Price", "Quantity", "Line_Sales_Amount"
                 ),
                 "Is_Return": F.col("Is_Negative_Quantity"),
-                "Is_Valid": F.col(stg.VALID),
-                "DQ_Score": score(stg.lines_rules()),
             }
         ),
         LINE_COLUMNS,

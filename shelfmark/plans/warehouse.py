@@ -41,7 +41,8 @@ def stage_all(lake: Lake, clock: RunClock) -> None:
 
 def refine_all(lake: Lake, clock: RunClock, mask_contacts: bool = False) -> None:
     def staged(table: str) -> DataFrame:
-        return lake.read(STAGING, staging_name(table))
+        # on stored columns this filter reaches the scan
+        return lake.read(STAGING, staging_name(table)).filter("DQ_Is_Valid = 1")
 
     def clean(table: str) -> DataFrame:
         return lake.read(SILVER, silver_name(table))

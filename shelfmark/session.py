@@ -19,7 +19,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the JVM never compiles a method above 8000 bytes of bytecode; wide cleaning projections
+    # that would exceed it are generated per operator instead, in methods that it does compile
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
