@@ -6,6 +6,8 @@ large share of the rows is in another format, and needs no regular expression.""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,9 +74,9 @@ def covered_days(start: Column | str, end: Column | str) -> Column:
     return day_span(start, end) + 1
 
 
-def plausible_birthdate(c: Column | str, today: Column) -> Column:
-    c = as_col(c)
-    return (c < today) & (c > F.add_months(today, -12 * 120))
+def plausible_birthdate(column: str, as_of: dt.date) -> str:
+    """The condition of a birthdate in the past and less than 120 years ago, as SQL text."""
+    return f"({column} < DATE'{as_of}' AND {column} > add_months(DATE'{as_of}', -12 * 120))"
 
 
 def active_on(today: Column, start: Column | str, end: Column | str) -> Column:

@@ -1,64 +1,59 @@
-"""Quality rules as data: 0/1 flags, a validity gate and a weighted score."""
+"""Quality rules as data: 0/1 flags, a validity gate and a weighted score.
+
+Conditions are SQL text over the columns of the frame they are applied to."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import as_col, text_length
-
 
 @dataclass(frozen=True)
 class Rule:
     """A flag column. ``weight`` counts towards the score, ``gate`` towards validity."""
 
     name: str
-    holds: Column
+    holds: str
     weight: int = 0
     gate: bool = False
 
 
-def as_flag(condition: Column) -> Column:
+def as_flag(condition: str) -> str:
     """1 where the condition holds, 0 where it fails or cannot be told."""
-    return F.coalesce(condition, F.lit(False)).cast("int")
+    return f"CAST(coalesce({condition}, false) AS INT)"
 
 
-def has_text(c: Column | str) -> Column:
-    return text_length(c) > 0
+def has_text(column: str) -> str:
+    return f"length(rtrim({column})) > 0"
 
 
-def known(c: Column | str) -> Column:
-    return as_col(c).isNotNull()
+def known(column: str) -> str:
+    return f"{column} IS NOT NULL"
 
 
-def optional(c: str, condition: Column) -> Column:
+def optional(column: str, condition: str) -> str:
     """NULL is fine, a value has to meet the condition."""
-    return F.col(c).isNull() | condition
-
-
-def flag_columns(rules: Iterable[Rule]) -> dict[str, Column]:
-    return {r.name: as_flag(r.holds) for r in rules}
+    return f"({column} IS NULL OR {condition})"
 
 
-def all_hold(conditions: Iterable[Column]) -> Column:
-    return as_flag(reduce(and_, conditions))
+def one_of(column: str, values: Sequence[str]) -> str:
+    return f"{column} IN ({', '.join(repr(v) for v in values)})"
 
 
 def all_set(flags: Iterable[str]) -> Column:
-    return all_hold(F.col(f) == 1 for f in flags)
+    return F.expr(as_flag(" AND ".join(f"{f} = 1" for f in flags)))
 
 
-def apply_rules(df: DataFrame, rules: Sequence[Rule], validity: str = "DQ_Is_Valid", also: Sequence[Column] = ()) -> DataFrame:
-    """Add every flag and the validity column over the gates (and ``also``)."""
-    gates = [r.holds for r in rules if r.gate] + list(also)
-    return df.withColumns({**flag_columns(rules), validity: all_hold(gates)})
+def apply_rules(df: DataFrame, rules: Sequence[Rule], validity: str = "DQ_Is_Valid") -> DataFrame:
+    """Add every flag, and the validity column over the gates."""
+    gates = " AND ".join(f"({r.holds})" for r in rules if r.gate)
+    flags = [f"{as_flag(r.holds)} AS {r.name}" for r in rules]
+    return df.selectExpr("*", *flags, f"{as_flag(gates)} AS {validity}")
 
 
 def score(rules: Sequence[Rule]) -> Column:
     """Weighted sum of the flag columns, 0 to 100."""
-    return reduce(add, (F.col(r.name) * F.lit(r.weight) for r in rules if r.weight))
+    return F.expr(" + ".join(f"{r.name} * {r.weight}" for r in rules if r.weight))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.clock import RunClock
 from shelfmark.functions import dates, numbers, rules, text
-from shelfmark.operators.quality import Rule, apply_rules, has_text, known, optional
+from shelfmark.operators.quality import Rule, apply_rules, has_text, known, one_of, optional
 from shelfmark.schemas import LINEAGE_COLUMNS
 
 VALID = "DQ_Is_Valid"
@@ -20,20 +20,19 @@ def _typed(raw: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def header_rules() -> list[Rule]:
-    amount, discount = F.col("Total_Amount"), F.col("Total_Discount")
     return [
         Rule("DQ_Transaction_ID_Valid", has_text("Transaction_ID"), 15, gate=True),
         Rule("DQ_Transaction_Date_Valid", known("Transaction_Date"), 15, gate=True),
         Rule("DQ_Transaction_TS_Valid", known("Transaction_TS"), 10, gate=True),
         Rule("DQ_Store_ID_Valid", has_text("Store_ID"), 15, gate=True),
         Rule("DQ_Customer_ID_Valid", optional("Customer_ID", has_text("Customer_ID")), 10),
-        Rule("DQ_Payment_Method_Valid", F.col("Payment_Method").isin(*rules.PAYMENT_METHODS), 10, gate=True),
-        Rule("DQ_Total_Amount_Valid", amount > 0, 15, gate=True),
-        Rule("DQ_Total_Discount_Valid", optional("Total_Discount", discount.between(0, amount)), 5),
-        Rule("DQ_Line_Count_Valid", F.col("Line_Count") >= 1, 5, gate=True),
-        Rule("DQ_Timestamp_Consistent", F.to_date("Transaction_TS") == F.col("Transaction_Date"), gate=True),
-        Rule("Is_Walk_In", ~known("Customer_ID")),
-        Rule("Has_Discount", discount > 0),
+        Rule("DQ_Payment_Method_Valid", one_of("Payment_Method", rules.PAYMENT_METHODS), 10, gate=True),
+        Rule("DQ_Total_Amount_Valid", "Total_Amount > 0", 15, gate=True),
+        Rule("DQ_Total_Discount_Valid", optional("Total_Discount", "Total_Discount BETWEEN 0 AND Total_Amount"), 5),
+        Rule("DQ_Line_Count_Valid", "Line_Count >= 1", 5, gate=True),
+        Rule("DQ_Timestamp_Consistent", "to_date(Transaction_TS) = Transaction_Date", gate=True),
+        Rule("Is_Walk_In", "Customer_ID IS NULL"),
+        Rule("Has_Discount", "Total_Discount > 0"),
     ]
 
 
@@ -56,25 +55,23 @@ def stage_header(raw: DataFrame, clock: RunClock) -> DataFrame:
 
 
 def lines_rules() -> list[Rule]:
-    quantity, price, cost = F.col("Quantity"), F.col("Unit_Price"), F.col("Cost_Price")
-    discount = F.col("Discount_Amount")
     return [
         Rule("DQ_Transaction_Line_ID_Valid", has_text("Transaction_Line_ID"), 10, gate=True),
         Rule("DQ_Transaction_ID_Valid", has_text("Transaction_ID"), 15, gate=True),
-        Rule("DQ_Line_Number_Valid", F.col("Line_Number") > 0, 5, gate=True),
+        Rule("DQ_Line_Number_Valid", "Line_Number > 0", 5, gate=True),
         Rule("DQ_Product_SKU_Valid", has_text("Product_SKU"), 15, gate=True),
         Rule("DQ_Store_ID_Valid", has_text("Store_ID"), 10, gate=True),
-        Rule("DQ_Quantity_Valid", quantity != 0, 10, gate=True),
-        Rule("DQ_Unit_Price_Valid", price > 0, 15, gate=True),
-        Rule("DQ_Cost_Price_Valid", cost >= 0, 10, gate=True),
-        Rule("DQ_Discount_Amount_Valid", optional("Discount_Amount", discount >= 0)),
+        Rule("DQ_Quantity_Valid", "Quantity <> 0", 10, gate=True),
+        Rule("DQ_Unit_Price_Valid", "Unit_Price > 0", 15, gate=True),
+        Rule("DQ_Cost_Price_Valid", "Cost_Price >= 0", 10, gate=True),
+        Rule("DQ_Discount_Amount_Valid", optional("Discount_Amount", "Discount_Amount >= 0")),
         Rule("DQ_Line_Sales_Amount_Valid", known("Line_Sales_Amount"), 10, gate=True),
         Rule("DQ_Promotion_ID_Valid", optional("Promotion_ID", has_text("Promotion_ID"))),
-        Rule("Is_Negative_Quantity", quantity < 0),
-        Rule("Is_Outlier_Quantity", quantity > rules.OUTLIER_LINE_QUANTITY),
-        Rule("Has_Discount", discount > 0),
+        Rule("Is_Negative_Quantity", "Quantity < 0"),
+        Rule("Is_Outlier_Quantity", f"Quantity > {rules.OUTLIER_LINE_QUANTITY}"),
+        Rule("Has_Discount", "Discount_Amount > 0"),
         Rule("Has_Promotion", known("Promotion_ID")),
-        Rule("Has_Price_Issue", cost > price),
+        Rule("Has_Price_Issue", "Cost_Price > Unit_Price"),
     ]
 
 
@@ -100,17 +97,16 @@ def stage_lines(raw: DataFrame, clock: RunClock) -> DataFrame:
 
 
 def products_rules() -> list[Rule]:
-    price, cost = F.col("Price"), F.col("Cost_Price")
     return [
         Rule("DQ_Product_SKU_Valid", has_text("Product_SKU"), 20, gate=True),
         Rule("DQ_Product_Name_Valid", has_text("Product_Name"), 15, gate=True),
         Rule("DQ_Category_Valid", has_text("Category"), 15, gate=True),
         Rule("DQ_Sub_Category_Valid", has_text("Sub_Category"), 10),
-        Rule("DQ_Price_Valid", price > 0, 20, gate=True),
-        Rule("DQ_Cost_Price_Valid", cost >= 0, 10),
+        Rule("DQ_Price_Valid", "Price > 0", 20, gate=True),
+        Rule("DQ_Cost_Price_Valid", "Cost_Price >= 0", 10),
         Rule("DQ_Supplier_ID_Valid", has_text("Supplier_ID"), 10, gate=True),
         Rule("DQ_Last_Updated_Valid", known("Last_Updated")),
-        Rule("Has_Price_Issue", cost > price),
+        Rule("Has_Price_Issue", "Cost_Price > Price"),
     ]
 
 
@@ -137,9 +133,9 @@ def stores_rules() -> list[Rule]:
         Rule("DQ_Store_Name_Valid", has_text("Store_Name"), 20, gate=True),
         Rule("DQ_City_Valid", has_text("City"), 15, gate=True),
         Rule("DQ_Region_Valid", has_text("Region"), 15, gate=True),
-        Rule("DQ_Store_Area_Valid", F.col("Store_Area_sqm") > 0, 15),
+        Rule("DQ_Store_Area_Valid", "Store_Area_sqm > 0", 15),
         Rule("DQ_Open_Date_Valid", known("Open_Date"), 15),
-        Rule("Has_Multiple_Managers", F.col("Store_Manager").contains(";")),
+        Rule("Has_Multiple_Managers", "contains(Store_Manager, ';')"),
     ]
 
 
@@ -160,17 +156,16 @@ def stage_stores(raw: DataFrame, clock: RunClock) -> DataFrame:
 
 
 def inventory_rules() -> list[Rule]:
-    on_hand, level = F.col("Quantity_On_Hand"), F.col("Reorder_Level")
     return [
         Rule("DQ_Inventory_ID_Valid", has_text("Inventory_ID"), 15, gate=True),
         Rule("DQ_Product_SKU_Valid", has_text("Product_SKU"), 25, gate=True),
         Rule("DQ_Store_ID_Valid", known("Store_ID"), 20, gate=True),
         Rule("DQ_Snapshot_Date_Valid", known("Snapshot_Date"), 15, gate=True),
         Rule("DQ_Quantity_On_Hand_Valid", known("Quantity_On_Hand"), 15, gate=True),
-        Rule("DQ_Reorder_Level_Valid", level >= 0, 10),
-        Rule("Is_Negative_Quantity", on_hand < 0),
-        Rule("Is_Outlier_Quantity", on_hand > rules.OUTLIER_STOCK_QUANTITY),
-        Rule("Is_Below_Reorder_Level", on_hand < level),
+        Rule("DQ_Reorder_Level_Valid", "Reorder_Level >= 0", 10),
+        Rule("Is_Negative_Quantity", "Quantity_On_Hand < 0"),
+        Rule("Is_Outlier_Quantity", f"Quantity_On_Hand > {rules.OUTLIER_STOCK_QUANTITY}"),
+        Rule("Is_Below_Reorder_Level", "Quantity_On_Hand < Reorder_Level"),
     ]
 
 
@@ -193,13 +188,13 @@ def customers_rules(clock: RunClock) -> list[Rule]:
     return [
         Rule("DQ_Customer_ID_Valid", known("Customer_ID"), 20, gate=True),
         Rule("DQ_Full_Name_Valid", has_text("Full_Name"), 15, gate=True),
-        Rule("DQ_Gender_Valid", F.col("Gender").isin(*rules.KNOWN_GENDERS), 10),
-        Rule("DQ_Birthdate_Valid", dates.plausible_birthdate("Birthdate", clock.today()), 15),
+        Rule("DQ_Gender_Valid", one_of("Gender", rules.KNOWN_GENDERS), 10),
+        Rule("DQ_Birthdate_Valid", dates.plausible_birthdate("Birthdate", clock.as_of), 15),
         Rule("DQ_Registration_Date_Valid", known("Registration_Date"), 15, gate=True),
-        Rule("DQ_Email_Valid", F.col("Email").like("%@%.%"), 15),
-        Rule("DQ_Phone_Valid", text.text_length("Phone_Number") >= rules.SHORTEST_PHONE, 10),
-        Rule("Has_Missing_Email", ~known("Email")),
-        Rule("Has_Missing_Phone", ~known("Phone_Number")),
+        Rule("DQ_Email_Valid", "Email LIKE '%@%.%'", 15),
+        Rule("DQ_Phone_Valid", f"length(rtrim(Phone_Number)) >= {rules.SHORTEST_PHONE}", 10),
+        Rule("Has_Missing_Email", "Email IS NULL"),
+        Rule("Has_Missing_Phone", "Phone_Number IS NULL"),
     ]
 
 
@@ -223,17 +218,16 @@ def stage_customers(raw: DataFrame, clock: RunClock) -> DataFrame:
 
 
 def promotions_rules() -> list[Rule]:
-    start, end = F.col("Start_Date"), F.col("End_Date")
     return [
         Rule("DQ_Promotion_ID_Valid", has_text("Promotion_ID"), 20, gate=True),
         Rule("DQ_Promo_Name_Valid", has_text("Promo_Name"), 15, gate=True),
         Rule("DQ_Promo_Type_Valid", has_text("Promo_Type"), 15),
         Rule("DQ_Start_Date_Valid", known("Start_Date"), 15, gate=True),
         Rule("DQ_End_Date_Valid", known("End_Date"), 15, gate=True),
-        Rule("DQ_Promo_Cost_Valid", F.col("Promo_Cost") >= 0, 10),
-        Rule("DQ_Date_Range_Valid", end >= start, 10, gate=True),
-        Rule("Has_Invalid_Date_Range", end < start),
-        Rule("Has_Multiple_SKUs", F.col("Eligible_SKUs").contains("|")),
+        Rule("DQ_Promo_Cost_Valid", "Promo_Cost >= 0", 10),
+        Rule("DQ_Date_Range_Valid", "End_Date >= Start_Date", 10, gate=True),
+        Rule("Has_Invalid_Date_Range", "End_Date < Start_Date"),
+        Rule("Has_Multiple_SKUs", "contains(Eligible_SKUs, '|')"),
     ]
 
 
@@ -254,17 +248,16 @@ def stage_promotions(raw: DataFrame, clock: RunClock) -> DataFrame:
 
 
 def weather_rules() -> list[Rule]:
-    temperature = F.col("Temperature_C")
     return [
         Rule("DQ_Weather_Date_Valid", known("Weather_Date"), 25, gate=True),
         Rule("DQ_Retail_Location_ID_Valid", known("Retail_Location_ID"), 25, gate=True),
         Rule("DQ_Temperature_Valid", known("Temperature_C"), 20),
         Rule("DQ_Precipitation_Valid", known("Precipitation_mm"), 15),
         Rule("DQ_Weather_Condition_Valid", has_text("Weather_Condition"), 15, gate=True),
-        Rule("Has_Missing_Temperature", ~known("Temperature_C")),
+        Rule("Has_Missing_Temperature", "Temperature_C IS NULL"),
         Rule(
             "Is_Extreme_Temperature",
-            (temperature < rules.COLDEST_PLAUSIBLE_C) | (temperature > rules.HOTTEST_PLAUSIBLE_C),
+            f"Temperature_C < {rules.COLDEST_PLAUSIBLE_C} OR Temperature_C > {rules.HOTTEST_PLAUSIBLE_C}",
         ),
     ]
 

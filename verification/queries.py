@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,12 +34,15 @@ class Build:
         self.spark = tune(spark)
         self.sf_dir = sf_dir
 
+    @cache
     def table(self, name: str) -> DataFrame:
         return feeds.table(self.spark, self.sf_dir, name)
 
+    @cache
     def raw(self, entity: str) -> DataFrame:
-        return feeds.raw(self.spark, self.sf_dir, entity)
+        return feeds.raw(self.spark, entity, self.table)
 
+    @cache
     def staged(self, entity: str) -> DataFrame:
         return STAGERS[entity](self.raw(entity), CLOCK)
 
@@ -48,15 +52,18 @@ class Build:
     def all_staged(self) -> dict[str, DataFrame]:
         return {e: self.staged(e) for e in STAGERS}
 
+    @cache
     def stores(self) -> DataFrame:
         return silver.clean_stores(self.staged("erp_stores"), CLOCK)
 
     def customers(self, **options) -> DataFrame:
         return silver.clean_customers(self.staged("crm_customers"), CLOCK, **options)
 
+    @cache
     def products(self) -> DataFrame:
         return silver.clean_products(self.staged("erp_products"), CLOCK)
 
+    @cache
     def promotions(self) -> DataFrame:
         return silver.clean_promotions(self.staged("mkt_promotions"), CLOCK)
 
@@ -304,7 +311,7 @@ def _(b: Build):
         "Raw_ID",
         dates.year_span("Birthdate", CLOCK.today()).alias("Age"),
         dates.day_span("Registration_Date", CLOCK.today()).alias("Tenure_Days"),
-        F.coalesce(dates.plausible_birthdate("Birthdate", CLOCK.today()), F.lit(False)).cast("int").alias("Plausible"),
+        F.col("DQ_Birthdate_Valid").alias("Plausible"),
     )
 
 
@@ -697,13 +704,13 @@ def _(b: Build):
 
 @query("payload_flatten")
 def _(b: Build):
-    days = weather_source.daily_rows(feeds.payloads(b.spark, b.sf_dir), keep=("event_id", "Store_ID"))
+    days = weather_source.daily_rows(feeds.payloads(b.spark, b.table), keep=("event_id", "Store_ID"))
     return days.withColumn("Weather_Condition", weather_source.condition_of("weather_code")).drop("weather_code")
 
 
 @query("weather_load_profile")
 def _(b: Build):
-    return weather_source.load_profile(weather_source.daily_rows(feeds.payloads(b.spark, b.sf_dir)))
+    return weather_source.load_profile(weather_source.daily_rows(feeds.payloads(b.spark, b.table)))
 
 
 @query("city_coordinates")
