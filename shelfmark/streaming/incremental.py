@@ -15,6 +15,8 @@ from shelfmark.sources.landing import batch_id, next_raw_id, to_raw
 def land_new_files(lake: Lake, folder: str, entity: Entity, checkpoint: str, loaded_at: dt.datetime, columns: list[str] | None = None):
     """Append files not seen before to the raw table, then stop.
 
+    A batch that is run again after a failure appends its rows again; they share their key and
+    are reduced to one by the silver dedupe, as repeated rows of any load are.
     ``columns`` is the column order of the files, the entity's own order by default."""
     spark: SparkSession = lake.spark
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (columns or entity.columns)])
@@ -22,8 +24,10 @@ def land_new_files(lake: Lake, folder: str, entity: Entity, checkpoint: str, loa
     batch = batch_id(entity.source, entity.entity, loaded_at)
 
     def append(rows, epoch: int) -> None:
-        raw = to_raw(rows, entity, f"{batch}_{epoch}", loaded_at, entity.file, next_raw_id(lake, entity.table))
-        lake.append(RAW, entity.table, raw)
+        # the stream has a session of its own, with its own view of the table's files
+        own = Lake(rows.sparkSession, lake.root, lake.prefix)
+        raw = to_raw(rows, entity, f"{batch}_{epoch}", loaded_at, entity.file, next_raw_id(own, entity.table))
+        own.append(RAW, entity.table, raw)
 
     query = (
         files.writeStream.foreachBatch(append)
@@ -32,4 +36,6 @@ def land_new_files(lake: Lake, folder: str, entity: Entity, checkpoint: str, loa
         .start()
     )
     query.awaitTermination()
+    if lake.exists(RAW, entity.table):
+        spark.catalog.refreshTable(lake.name(RAW, entity.table))
     return query
