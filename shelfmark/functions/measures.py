@@ -18,11 +18,11 @@ def discount_rate(total: Column | str, discount: Column | str) -> Column:
 
 
 def line_cost(quantity: Column | str, unit_cost: Column | str) -> Column:
-    return (as_col(quantity).cast(MONEY) * as_col(unit_cost)).cast("decimal(24,4)")
+    return (as_col(quantity) * as_col(unit_cost)).cast(MONEY)
 
 
 def line_margin(sales: Column | str, quantity: Column | str, unit_cost: Column | str) -> Column:
-    return (as_col(sales) - line_cost(quantity, unit_cost)).cast("decimal(24,4)")
+    return (as_col(sales) - line_cost(quantity, unit_cost)).cast(MONEY)
 
 
 def margin_over_cost(sales: Column | str, quantity: Column | str, unit_cost: Column | str) -> Column:

@@ -65,5 +65,15 @@ def average_money(c: Column | str, sql_type: str = "decimal(18,6)") -> Column:
     return F.avg(as_col(c)).cast(sql_type)
 
 
+def cents(c: Column | str) -> Column:
+    """Money as whole cents. Sums of sums stay plain long additions, where decimal sums widen
+    with every level to types that are added as big integers."""
+    return (as_col(c) * F.lit(100)).cast("bigint")
+
+
+def from_cents(c: Column | str) -> Column:
+    return (as_col(c).cast("decimal(20,0)") / F.lit(100)).cast(MONEY)
+
+
 def total_money(c: Column | str) -> Column:
     return F.sum(as_col(c)).cast(MONEY)

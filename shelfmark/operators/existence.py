@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_HIT = "__hit"
-_SALT = "__salt"
-_REF = "__ref"
+from shelfmark.operators.salting import row_bucket, salted_join
+
+_HIT, _REF, _KEY = "__hit", "__ref", "__key"
+_NULL_BUCKETS = 4096
 
 
 def flag_existing(
@@ -24,18 +25,20 @@ def flag_existing(
 
     A reference that holds each key once is joined as it is: Spark broadcasts it when it is
     small, and splits a hot key of ``df`` at run time when it is not. A reference with repeated
-    keys is reduced to its distinct keys first; that aggregate hides the join from the run-time
-    split, so both sides carry a salt that spreads a hot key over several tasks."""
+    keys is reduced to its distinct keys first and joined with a salt. With ``null_passes`` a
+    missing key counts as found; such rows are often the most, so they join under made-up keys
+    that spread them."""
     keys = reference.select(F.col(reference_key or key).alias(_REF)).filter(F.col(_REF).isNotNull())
-    on = F.col(key) == F.col(_REF)
-    if not reference_is_unique:
-        keys = keys.distinct().withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys = keys.withColumnRenamed(_SALT, f"{_SALT}_ref")
-        others = [F.col(c) for c in df.columns if c != key] or [F.col(key)]
-        df = df.withColumn(_SALT, F.pmod(F.hash(*others), F.lit(salts)))
-        on = on & (F.col(_SALT) == F.col(f"{_SALT}_ref"))
-    joined = df.join(keys.withColumn(_HIT, F.lit(1)), on, "left")
+    join_key: Column = F.col(key)
+    if null_passes:
+        spread = F.concat(F.lit("\u0000"), row_bucket(df, _NULL_BUCKETS).cast("string"))
+        join_key = F.coalesce(F.col(key).cast("string"), spread)
+    keyed = df.withColumn(_KEY, join_key)
+    if reference_is_unique:
+        joined = keyed.join(keys.withColumn(_HIT, F.lit(1)), F.col(_KEY) == F.col(_REF), "left")
+    else:
+        joined = salted_join(keyed, keys.distinct().withColumn(_HIT, F.lit(1)), [(_KEY, _REF)], "left", salts)
     found: Column = F.coalesce(F.col(_HIT), F.lit(0))
     if null_passes:
         found = F.when(F.col(key).isNull(), F.lit(1)).otherwise(found)
-    return joined.withColumn(flag, found).drop(_HIT, _REF, _SALT, f"{_SALT}_ref")
+    return joined.withColumn(flag, found).drop(_HIT, _REF, _KEY)

@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators.dedupe import keep_latest
 
 
-def version_history(df: DataFrame, key: str, effective: str, tracked: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
+def version_history(
+    df: DataFrame,
+    key: str,
+    effective: str,
+    tracked: Sequence[str],
+    newest_first: Sequence[str],
+    usable: Column | None = None,
+) -> DataFrame:
     """A row for each change of the ``tracked`` columns, with its period and version number.
 
     Several rows of a key on one day count as the newest of them, which also bounds the rows a
     key brings to the ordered step by the number of days."""
-    daily = keep_latest(df, [key, effective], newest_first)
+    daily = keep_latest(df, [key, effective], newest_first, usable)
     ordered = Window.partitionBy(key).orderBy(effective)
     now = F.struct(*tracked)
     changes = (

@@ -8,12 +8,12 @@ group."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.operators.salting import salted_join
+
 
 def _days(df: DataFrame, group: Sequence[str], start: str, end: str) -> DataFrame:
     """Starts and ends per group and day, with the counts up to that day."""
@@ -62,10 +62,7 @@ def overlap_degree(df: DataFrame, group: Sequence[str], start: str, end: str, na
     days = _days(df, group, start, end)
     at_end = days.select(*[F.col(g).alias(f"e_{g}") for g in group], F.col("day").alias("e_day"), "started")
     at_start = days.select(*[F.col(g).alias(f"s_{g}") for g in group], F.col("day").alias("s_day"), "ended_before")
-
-    def same(prefix: str, day: str):
-        return reduce(and_, [F.col(g) == F.col(f"{prefix}_{g}") for g in group] + [F.col(day) == F.col(f"{prefix}_day")])
-
-    met = df.join(at_end, same("e", end)).join(at_start, same("s", start))
+    met = salted_join(df, at_end, [(g, f"e_{g}") for g in group] + [(end, "e_day")])
+    met = salted_join(met, at_start, [(g, f"s_{g}") for g in group] + [(start, "s_day")])
     others = (F.col("started") - F.col("ended_before") - 1).cast("bigint")
     return met.select(*df.columns, others.alias(name))

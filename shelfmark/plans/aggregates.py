@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.numbers import MONEY, percent
+from shelfmark.functions.numbers import MONEY, cents, from_cents, percent
 
 _SUMS = {
     "Total_Sales_Amount": "Line_Sales_Amount",
@@ -22,19 +22,26 @@ _SUMS = {
 
 
 def _line_sums() -> list[Column]:
-    return [F.sum(c).alias(n) for n, c in _SUMS.items()] + [F.count(F.lit(1)).alias("Line_Count")]
+    sums = [F.sum("Quantity" if n == "Units_Sold" else cents(c)).alias(n) for n, c in _SUMS.items()]
+    return sums + [F.count(F.lit(1)).alias("Line_Count")]
 
 
 def _resum() -> list[Column]:
-    money = [F.sum(n).cast(MONEY).alias(n) for n in _SUMS if n != "Units_Sold"]
-    return money + [F.sum("Units_Sold").alias("Units_Sold"), F.sum("Line_Count").alias("Line_Count")]
+    return [F.sum(n).alias(n) for n in (*_SUMS, "Line_Count")]
+
+
+def _priced(df: DataFrame) -> DataFrame:
+    """Sums in cents back as money."""
+    return df.withColumns({n: from_cents(n) for n in _SUMS if n != "Units_Sold"})
 
 
 def _counted(per_transaction: DataFrame, keys: list[str]) -> DataFrame:
-    return per_transaction.groupBy(*keys).agg(
-        *_resum(),
-        F.count(F.lit(1)).alias("Transaction_Count"),
-        F.countDistinct("Customer_ID").alias("Unique_Customers"),
+    return _priced(
+        per_transaction.groupBy(*keys).agg(
+            *_resum(),
+            F.count(F.lit(1)).alias("Transaction_Count"),
+            F.countDistinct("Customer_ID").alias("Unique_Customers"),
+        )
     )
 
 
@@ -42,12 +49,15 @@ def _margin_share(name: str) -> Column:
     return percent("Total_Margin", "Total_Sales_Amount").alias(name)
 
 
+def _per(total: str, count: Column) -> Column:
+    return (F.col(total).cast("decimal(20,2)") / count.cast("decimal(20,0)")).cast(MONEY)
+
+
 def _average_ticket() -> Column:
     # a positive number of transactions is the guard, not a positive amount
-    value = F.col("Total_Sales_Amount").cast("decimal(24,4)") / F.col("Transaction_Count").cast("decimal(20,0)")
-    return (
-        F.when(F.col("Transaction_Count") > 0, value).otherwise(F.lit(0)).cast(MONEY).alias("Avg_Transaction_Value")
-    )
+    n = F.col("Transaction_Count")
+    average = F.when(n > 0, _per("Total_Sales_Amount", n)).otherwise(F.lit(0))
+    return average.cast(MONEY).alias("Avg_Transaction_Value")
 
 
 def sales_daily(fact: DataFrame) -> DataFrame:
@@ -95,7 +105,7 @@ def product_performance(fact: DataFrame) -> DataFrame:
     """Per product, store and month; NULL store means all stores."""
     lines = fact.withColumns({"Year": F.year("Transaction_Date"), "Month": F.month("Transaction_Date")})
     per_transaction = lines.groupBy("Product_SKU", "Year", "Month", "Store_ID", "Transaction_ID").agg(
-        *_line_sums(), F.sum("Unit_Price").alias("Price_Sum")
+        *_line_sums(), F.sum(cents("Unit_Price")).alias("Price_Sum")
     )
     levels = F.array(
         F.struct(F.lit(0).alias("Level"), F.col("Store_ID").alias("L_Store")),
@@ -107,9 +117,9 @@ def product_performance(fact: DataFrame) -> DataFrame:
     counted = expanded.groupBy(*keys).agg(
         *_resum(), F.sum("Price_Sum").alias("Price_Sum"), F.countDistinct("Transaction_ID").alias("Transaction_Count")
     )
-    return counted.select(
+    return _priced(counted).select(
         "Product_SKU", F.col("L_Store").alias("Store_ID"), "Year", "Month", "Total_Sales_Amount", "Total_Cost",
         "Total_Margin", "Units_Sold", "Transaction_Count",
-        (F.col("Price_Sum") / F.col("Line_Count")).cast(MONEY).alias("Avg_Unit_Price"),
+        _per("Price_Sum", F.col("Line_Count") * 100).alias("Avg_Unit_Price"),
         _margin_share("Margin_Pct"),
     )

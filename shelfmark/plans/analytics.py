@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.numbers import average_money, total_money
+from shelfmark.functions.numbers import average_money, cents, from_cents, total_money
 
 
 def _on_date(fact: DataFrame, dates: DataFrame, column: str, *keep: str) -> DataFrame:
@@ -55,13 +55,13 @@ def store_performance(fact: DataFrame, stores: DataFrame) -> DataFrame:
     per_transaction = (
         fact.join(stores.select("Store_ID", *names), "Store_ID")
         .groupBy(*names, "Transaction_ID", "Customer_ID")
-        .agg(F.sum("Line_Sales_Amount").alias("sales"), F.sum("Line_Margin_Amount").alias("margin"))
+        .agg(F.sum(cents("Line_Sales_Amount")).alias("sales"), F.sum(cents("Line_Margin_Amount")).alias("margin"))
     )
     return (
         per_transaction.groupBy(*names)
         .agg(
-            total_money("sales").alias("Total_Sales"),
-            total_money("margin").alias("Total_Margin"),
+            from_cents(F.sum("sales")).alias("Total_Sales"),
+            from_cents(F.sum("margin")).alias("Total_Margin"),
             F.countDistinct("Customer_ID").alias("Unique_Customers"),
             F.count(F.lit(1)).alias("Transaction_Count"),
         )

@@ -17,7 +17,7 @@ from shelfmark.schemas import ORIGIN_COLUMNS
 
 # rows of one load share their timestamp; the later row of the file wins
 NEWEST = ("Load_Timestamp", "Raw_ID")
-_USABLE = "__usable"
+_COUNTS = "__counts"
 
 
 def _latest_usable(
@@ -28,17 +28,13 @@ def _latest_usable(
     newest: Sequence[str] = NEWEST,
     usable: Sequence[str] = (stg.VALID,),
 ) -> DataFrame:
-    """The newest usable row of each key, with its score and validity in place of the rule flags.
-
-    Usable rows are ordered first and checked after the dedupe: a filter ahead of it would be
-    pushed below the parsing columns and parse every row a second time. The score takes the
-    place of its flags before the shuffle."""
-    ranked = staged.withColumns(
-        {_USABLE: all_set(usable), "Is_Valid": all_set(needed), "DQ_Score": score(quality)}
-    )
+    """The newest usable row of each key, with its score and validity in place of the rule flags,
+    which then need not travel through the shuffle."""
     flags = {r.name for r in quality if r.name.startswith("DQ_")} | {stg.VALID}
-    latest = keep_latest(ranked.drop(*flags), keys, (_USABLE, *newest))
-    return latest.filter(F.col(_USABLE) == 1).drop(_USABLE)
+    scored = staged.withColumns(
+        {_COUNTS: all_set(usable), "Is_Valid": all_set(needed), "DQ_Score": score(quality)}
+    ).drop(*flags)
+    return keep_latest(scored, keys, newest, F.col(_COUNTS)).drop(_COUNTS)
 
 
 def _valid(staged: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from shelfmark.operators.surrogate import dense_key, hash_key
 from shelfmark.plans import aggregates, contracts, gold, silver
 from shelfmark.plans.staging import STAGERS
 from shelfmark.schemas import ENTITIES, GOLD, RAW, SILVER, STAGING
-from shelfmark.session import tune
+from shelfmark.session import fit_shuffle, tune
 from shelfmark.sources.lake import Lake
 from shelfmark.sources.landing import load_all
 
@@ -127,6 +127,7 @@ def run(lake: Lake, raw_dir: str, clock: RunClock, truncate: bool = True, mask_c
     missing = [e.file for e in ENTITIES.values() if not lake.exists(RAW, e.table)]
     if missing:
         raise RuntimeError(f"no raw data for {missing}")
+    fit_shuffle(lake.spark, max(lake.stored_bytes(RAW, e.table) for e in ENTITIES.values()))
     stage_all(lake, clock)
     refine_all(lake, clock, mask_contacts)
     publish_all(lake, clock)

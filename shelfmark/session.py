@@ -26,6 +26,10 @@ RUNTIME_SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# stored (compressed) bytes per shuffle partition; beyond the limit partitions grow and spill
+PARTITION_BYTES = 64 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in RUNTIME_SETTINGS.items():
@@ -34,6 +38,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fit_shuffle(spark: SparkSession, largest_table_bytes: int) -> int:
+    """Start shuffles with enough partitions for the largest stored table.
+
+    Adaptive execution merges partitions that turn out small, but never splits an ordinary
+    shuffle that was started with too few."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(base, min(MOST_PARTITIONS, largest_table_bytes // PARTITION_BYTES + 1))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
 def local_session(cpus: int | str = "*", app: str = "shelfmark", **extra: str) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     shuffle = os.cpu_count() if cpus == "*" else int(cpus)

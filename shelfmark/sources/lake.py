@@ -42,6 +42,15 @@ class Lake:
     def query(self, sql: str) -> DataFrame:
         return self.spark.sql(sql)
 
+    def stored_bytes(self, layer: str, table: str) -> int:
+        """Size of the table's files, taken from the file listing."""
+        name = self.name(layer, table)
+        self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
+        for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+            if row["col_name"] == "Statistics":
+                return int(row["data_type"].split(" ")[0])
+        return 0
+
     def count(self, layer: str, table: str) -> int:
         return self.read(layer, table).count()
 

@@ -8,12 +8,14 @@ import pytest
 from conftest import frame
 from pyspark.sql import functions as F
 
+from shelfmark import session
 from shelfmark.operators.dedupe import keep_latest
 from shelfmark.operators.existence import flag_existing
 from shelfmark.operators.overlap import count_overlapping_pairs
 from shelfmark.operators.surrogate import dense_key
 from shelfmark.plans import aggregates, analytics
 from shelfmark.plans.staging import stage_lines
+from shelfmark.sources.lake import Lake
 from test_layers import LINE
 
 
@@ -81,6 +83,26 @@ def test_repeated_reference_keys_are_salted(spark, small_skew_limits):
     assert flagged.agg(F.sum("hit")).first()[0] == 20000
 
 
+def test_missing_keys_are_spread(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    df = spark.range(4000).select("id", F.lit(None).cast("string").alias("k"))
+    flagged = flag_existing(df, "k", hot(spark).select("k").distinct(), "hit", reference_is_unique=True, null_passes=True)
+    per_task = [r["count"] for r in flagged.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 4000 and max(per_task) < 2000
+    assert flagged.agg(F.min("hit")).first()[0] == 1
+
+
+def test_shuffles_start_with_enough_partitions(spark, settings, tmp_path):
+    settings(spark__sql__adaptive__coalescePartitions__initialPartitionNum="4")
+    lake = Lake(spark, str(tmp_path), prefix="size_")
+    lake.create_layers()
+    stored = lake.refresh("gold", "t", spark.range(10000))
+    assert stored.count() == 10000 and lake.stored_bytes("gold", "t") > 10000
+    assert session.fit_shuffle(spark, lake.stored_bytes("gold", "t")) == 4
+    assert session.fit_shuffle(spark, 2**40) == 2**40 // session.PARTITION_BYTES + 1
+    assert session.fit_shuffle(spark, 2**60) == session.MOST_PARTITIONS
+
+
 def test_no_pairs_are_built_for_overlaps(spark):
     df = frame(spark, "item string, a date, z date", ("p", dt.date(2024, 1, 1), dt.date(2024, 1, 2)))
     plan = plan_of(count_overlapping_pairs(df, "item", "a", "z"))

@@ -24,6 +24,11 @@ from verification import feeds
 CLOCK = RunClock.on("2025-01-01")
 WEATHER_YEAR = 1998
 
+
+def usable_stock():
+    return (F.col("DQ_Is_Valid") * (1 - F.col("Is_Negative_Quantity")))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -89,8 +94,8 @@ class Build:
 
     def daily_stock(self) -> DataFrame:
         """The newest usable snapshot of each product, store and day, for trends over days."""
-        usable = self.staged("erp_inventory").filter("DQ_Is_Valid = 1 AND Is_Negative_Quantity = 0")
-        daily = keep_latest(usable, ["Product_SKU", "Store_ID", "Snapshot_Date"], silver.NEWEST)
+        keys = ["Product_SKU", "Store_ID", "Snapshot_Date"]
+        daily = keep_latest(self.staged("erp_inventory"), keys, silver.NEWEST, usable_stock())
         return daily.withColumn(
             "Reorder_Quantity_Needed", measures.reorder_need("Quantity_On_Hand", "Reorder_Level")
         )
@@ -377,22 +382,23 @@ for _name, _entity in {
 
 @query("dedupe_lines")
 def _(b: Build):
-    valid = b.staged("pos_transactions_lines").filter("DQ_Is_Valid = 1")
-    latest = keep_latest(valid, ["Transaction_Line_ID"], silver.NEWEST)
+    latest = keep_latest(
+        b.staged("pos_transactions_lines"), ["Transaction_Line_ID"], silver.NEWEST, F.col("DQ_Is_Valid")
+    )
     return latest.select("Transaction_Line_ID", "Raw_ID", "Product_SKU", "Quantity", "Line_Sales_Amount")
 
 
 @query("dedupe_products")
 def _(b: Build):
-    valid = b.staged("erp_products").filter("DQ_Is_Valid = 1")
-    latest = keep_latest(valid, ["Product_SKU"], ("Last_Updated", *silver.NEWEST))
+    newest = ("Last_Updated", *silver.NEWEST)
+    latest = keep_latest(b.staged("erp_products"), ["Product_SKU"], newest, F.col("DQ_Is_Valid"))
     return latest.select("Product_SKU", "Raw_ID", "Price", "Last_Updated")
 
 
 @query("dedupe_latest_snapshot")
 def _(b: Build):
-    usable = b.staged("erp_inventory").filter("DQ_Is_Valid = 1 AND Is_Negative_Quantity = 0")
-    latest = keep_latest(usable, ["Product_SKU", "Store_ID"], ("Snapshot_Date", *silver.NEWEST))
+    newest = ("Snapshot_Date", *silver.NEWEST)
+    latest = keep_latest(b.staged("erp_inventory"), ["Product_SKU", "Store_ID"], newest, usable_stock())
     return latest.select("Product_SKU", "Store_ID", "Snapshot_Date", "Raw_ID", "Quantity_On_Hand")
 
 
@@ -723,8 +729,9 @@ def _(b: Build):
 
 @query("scd2_history")
 def _(b: Build):
-    versions = b.staged("erp_products").filter("DQ_Is_Valid = 1 AND Last_Updated IS NOT NULL")
-    history = version_history(versions, "Product_SKU", "Last_Updated", ["Price", "Cost_Price"], silver.NEWEST)
+    tracked = ["Price", "Cost_Price"]
+    usable = F.col("DQ_Is_Valid") * F.col("DQ_Last_Updated_Valid")
+    history = version_history(b.staged("erp_products"), "Product_SKU", "Last_Updated", tracked, silver.NEWEST, usable)
     return history.select(
         "Product_SKU", "Price", "Cost_Price", "Effective_From", "Effective_To", "Is_Current", "Version_Number"
     )
