@@ -138,48 +138,53 @@ def scorecard(staged: Mapping[str, DataFrame]) -> DataFrame:
     return _union(of(name, metrics) for name, metrics in scorecard_metrics().items() if name in staged)
 
 
-def _valid(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(VALID) == 1)
+def _valid(column: str | None = None) -> Column:
+    """The column where the row is valid, else NULL; without a column, 1.
 
+    Aggregates skip NULLs, so a report reads its table once and needs no filter, which would be
+    evaluated again on the raw text where staging is not stored."""
+    return F.when(F.col(VALID) == 1, F.lit(1) if column is None else F.col(column))
 
-def _average(column: str) -> Column:
+
+def _average(column: Column) -> Column:
     return F.avg(column).cast(MONEY)
 
 
 def sales_summary(header: DataFrame) -> DataFrame:
-    return _valid(header).agg(
-        F.countDistinct("Transaction_ID").alias("Total_Transactions"),
-        total_money("Total_Amount").alias("Total_Sales"),
-        _average("Total_Amount").alias("Avg_Transaction_Value"),
-        total_money(or_zero("Total_Discount")).alias("Total_Discounts"),
+    return header.agg(
+        F.countDistinct(_valid("Transaction_ID")).alias("Total_Transactions"),
+        total_money(_valid("Total_Amount")).alias("Total_Sales"),
+        _average(_valid("Total_Amount")).alias("Avg_Transaction_Value"),
+        total_money(or_zero(_valid("Total_Discount"))).alias("Total_Discounts"),
     )
 
 
 def product_portfolio(products: DataFrame) -> DataFrame:
-    return _valid(products).agg(
-        F.count(F.lit(1)).alias("Total_Products"),
-        F.countDistinct("Category").alias("Unique_Categories"),
-        F.countDistinct("Sub_Category").alias("Unique_SubCategories"),
-        _average("Price").alias("Avg_Price"),
+    return products.agg(
+        F.count(_valid()).alias("Total_Products"),
+        F.countDistinct(_valid("Category")).alias("Unique_Categories"),
+        F.countDistinct(_valid("Sub_Category")).alias("Unique_SubCategories"),
+        _average(_valid("Price")).alias("Avg_Price"),
     )
 
 
 def store_network(stores: DataFrame) -> DataFrame:
-    return _valid(stores).agg(
-        F.count(F.lit(1)).alias("Total_Stores"),
-        F.countDistinct("City").alias("Unique_Cities"),
-        F.countDistinct("Region").alias("Unique_Regions"),
-        _average("Store_Area_sqm").alias("Avg_Store_Area_sqm"),
+    return stores.agg(
+        F.count(_valid()).alias("Total_Stores"),
+        F.countDistinct(_valid("City")).alias("Unique_Cities"),
+        F.countDistinct(_valid("Region")).alias("Unique_Regions"),
+        _average(_valid("Store_Area_sqm")).alias("Avg_Store_Area_sqm"),
     )
 
 
 def customer_base(customers: DataFrame, clock: RunClock) -> DataFrame:
     """The average age is cut to whole years, as an integer average is."""
+    counted = F.when((F.col(VALID) == 1) & F.col("Birthdate").isNotNull(), F.lit(1))
     age = year_span("Birthdate", clock.today())
-    return _valid(customers).filter(F.col("Birthdate").isNotNull()).agg(
-        F.count(F.lit(1)).alias("Total_Customers"),
-        F.countDistinct("City").alias("Unique_Cities"),
-        F.floor(F.avg(age)).cast("int").alias("Avg_Age"),
+    return customers.agg(
+        F.count(counted).alias("Total_Customers"),
+        F.countDistinct(F.when(counted == 1, F.col("City"))).alias("Unique_Cities"),
+        F.floor(F.avg(F.when(counted == 1, age))).cast("int").alias("Avg_Age"),
     )
 
 
@@ -191,8 +196,8 @@ def date_coverage(staged: Mapping[str, DataFrame]) -> DataFrame:
         ("Promotions", "mkt_promotions", "Start_Date", "End_Date"),
     )
     return _union(
-        _valid(staged[table])
-        .agg(F.min(first).alias("Start_Date"), F.max(last).alias("End_Date"))
+        staged[table]
+        .agg(F.min(_valid(first)).alias("Start_Date"), F.max(_valid(last)).alias("End_Date"))
         .select(F.lit(label).alias("Dataset"), "Start_Date", "End_Date", covered_days("Start_Date", "End_Date").alias("Total_Days"))
         for label, table, first, last in datasets
         if table in staged
@@ -211,10 +216,11 @@ def suspect_categories(products: DataFrame) -> DataFrame:
 
 
 def store_mismatches(header: DataFrame, lines: DataFrame) -> DataFrame:
-    """Lines booked for another store than their header."""
-    h = _valid(header).select("Transaction_ID", F.col("Store_ID").alias("Header_Store_ID"))
-    l = _valid(lines).select("Transaction_ID", F.col("Store_ID").alias("Line_Store_ID"))
-    return h.join(l, "Transaction_ID").filter("Header_Store_ID <> Line_Store_ID")
+    """Lines booked for another store than their header; both valid, which the join checks."""
+    h = header.select("Transaction_ID", F.col("Store_ID").alias("Header_Store_ID"), F.col(VALID).alias("h_valid"))
+    l = lines.select("Transaction_ID", F.col("Store_ID").alias("Line_Store_ID"), F.col(VALID).alias("l_valid"))
+    differ = (F.col("Header_Store_ID") != F.col("Line_Store_ID")) & (F.col("h_valid") + F.col("l_valid") == 2)
+    return h.join(l, "Transaction_ID").filter(differ).drop("h_valid", "l_valid")
 
 
 def sample(df: DataFrame, rows: int, *order: str) -> DataFrame:
@@ -223,7 +229,7 @@ def sample(df: DataFrame, rows: int, *order: str) -> DataFrame:
 
 
 def overlapping_promotions(promotions: DataFrame) -> DataFrame:
-    return count_overlapping_pairs(_valid(promotions), "Promotion_ID", "Start_Date", "End_Date", "Overlapping_Promo_Pairs")
+    return count_overlapping_pairs(promotions.filter(F.col(VALID) == 1), "Promotion_ID", "Start_Date", "End_Date", "Overlapping_Promo_Pairs")
 
 
 def enough_fact_rows(fact: DataFrame, least: int = rules.MIN_FACT_ROWS) -> DataFrame:

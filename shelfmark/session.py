@@ -22,10 +22,12 @@ RUNTIME_SETTINGS = {
     # the JVM never compiles a method above 8000 bytes of bytecode; wide cleaning projections
     # that would exceed it are generated per operator instead, in methods that it does compile
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # recording the caller of every column expression doubles the time to build a wide plan
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Only a new session can take these. Recording the caller of every column expression doubles
+# the time to build a wide plan.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 # stored (compressed) bytes per shuffle partition; beyond the limit partitions grow and spill
 PARTITION_BYTES = 64 * 1024 * 1024
 MOST_PARTITIONS = 100_000
@@ -58,7 +60,7 @@ def local_session(cpus: int | str = "*", app: str = "shelfmark", **extra: str) -
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle))
     )
-    for name, value in {**RUNTIME_SETTINGS, **extra}.items():
+    for name, value in {**START_SETTINGS, **RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

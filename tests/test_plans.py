@@ -103,6 +103,13 @@ def test_shuffles_start_with_enough_partitions(spark, settings, tmp_path):
     assert session.fit_shuffle(spark, 2**60) == session.MOST_PARTITIONS
 
 
+def test_a_running_session_can_be_tuned(spark):
+    assert all(spark.conf.isModifiable(name) for name in session.RUNTIME_SETTINGS)
+    other = spark.newSession()
+    session.tune(other)
+    assert {n: other.conf.get(n) for n in session.RUNTIME_SETTINGS} == session.RUNTIME_SETTINGS
+
+
 def test_no_pairs_are_built_for_overlaps(spark):
     df = frame(spark, "item string, a date, z date", ("p", dt.date(2024, 1, 1), dt.date(2024, 1, 2)))
     plan = plan_of(count_overlapping_pairs(df, "item", "a", "z"))

@@ -9,6 +9,10 @@ import re
 
 from verification import feeds
 
+# whole numbers that can be missing are shown as double
+SPARSE_NUMBERS = frozenset(
+    "Line_Count Quantity_On_Hand Reorder_Level Age Quantity Line_Number Previous_Quantity Customer_Tenure_Days".split()
+)
 AS_OF = "DATE '2025-01-01'"
 
 # --- expressions --------------------------------------------------------------------------
@@ -562,6 +566,8 @@ def out(columns: str) -> str:
     parts = []
     for item in columns.split():
         mark, _, name = item.rpartition(":")
+        if name in SPARSE_NUMBERS:
+            mark = "m"
         parts.append(cast[mark].format(name) if mark else name)
     return ", ".join(parts)
 
@@ -670,9 +676,9 @@ _ALWAYS = [("accepted_values(Is_Valid)", "Is_Valid <> 1"), rule("DQ_Score BETWEE
 
 ORACLE_BODIES: dict[str, str] = {
     "clean_keys": f"SELECT Raw_ID, {key('Transaction_ID')} AS Transaction_ID, {opt_key('Customer_ID')} AS Customer_ID, {key('Payment_Method')} AS Payment_Method, coalesce({opt_key('Customer_ID')}, 'N/A') AS Customer_Or_NA FROM raw_pos_transactions_header",
-    "clean_contacts": f"SELECT Raw_ID, substr(Customer_ID, 1, 3) AS Customer_Prefix, trim(City) AS City_Trimmed, {blank('Full_Name')} AS Full_Name, lower({blank('Email')}) AS Email, upper({blank('Preferred_Channel')}) AS Preferred_Channel, {na('City')} AS City_Or_NA, length(rtrim(Phone_Number)) AS Phone_Length FROM raw_crm_customers",
+    "clean_contacts": f"SELECT Raw_ID, substr(Customer_ID, 1, 3) AS Customer_Prefix, trim(City) AS City_Trimmed, {blank('Full_Name')} AS Full_Name, lower({blank('Email')}) AS Email, upper({blank('Preferred_Channel')}) AS Preferred_Channel, {na('City')} AS City_Or_NA, CAST(length(rtrim(Phone_Number)) AS DOUBLE) AS Phone_Length FROM raw_crm_customers",
     "parse_currency": f"SELECT Raw_ID, CAST({amount('Unit_Price', _LM)} AS DOUBLE) AS Unit_Price, CAST({amount('Cost_Price', _LM)} AS DOUBLE) AS Cost_Price, CAST({opt_amount('Discount_Amount', _LM)} AS DOUBLE) AS Discount_Amount, coalesce(CAST({opt_amount('Discount_Amount', _LM)} AS DOUBLE), 0) AS Discount_Or_Zero, CAST({amount('Line_Sales_Amount', _LM)} AS DOUBLE) AS Line_Sales_Amount FROM raw_pos_transactions_lines",
-    "parse_header_amounts": f"SELECT Raw_ID, CAST({amount('Total_Amount')} AS DOUBLE) AS Total_Amount, CAST({opt_amount('Total_Discount')} AS DOUBLE) AS Total_Discount, CAST({whole('Line_Count')} AS BIGINT) AS Line_Count FROM raw_pos_transactions_header",
+    "parse_header_amounts": f"SELECT Raw_ID, CAST({amount('Total_Amount')} AS DOUBLE) AS Total_Amount, CAST({opt_amount('Total_Discount')} AS DOUBLE) AS Total_Discount, CAST({whole('Line_Count')} AS DOUBLE) AS Line_Count FROM raw_pos_transactions_header",
     "safe_casts": f"SELECT {out('n:Raw_ID n:Quantity_On_Hand n:Reorder_Level d:Snapshot_Date')} FROM stg_inventory",
     "safe_weather_casts": f"SELECT {out('n:Raw_ID d:Weather_Date m:Temperature_C m:Precipitation_mm')} FROM stg_weather",
     "parse_mixed_dates": f"SELECT {out('n:Raw_ID d:Transaction_Date t:Transaction_TS')}, CAST(DQ_Timestamp_Consistent AS BIGINT) AS Same_Day FROM stg_header",
@@ -692,8 +698,8 @@ SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS Date_SK, CAST(d AS VARCHAR) AS D
   (day(d) = 1)::BIGINT AS Is_Month_Start, (d = last_day(d))::BIGINT AS Is_Month_End,
   (strftime(d, '%m-%d') IN ('01-01', '12-25'))::BIGINT AS Is_Holiday, year(d) AS Fiscal_Year, quarter(d) AS Fiscal_Quarter,
   strftime(d, '%Y-%m') AS Year_Month, year(d) || '-Q' || quarter(d) AS Year_Quarter FROM days""",
-    "date_math": f"SELECT Raw_ID, year({AS_OF}) - year(Birthdate) AS Age, {AS_OF} - Registration_Date AS Tenure_Days, CAST(DQ_Birthdate_Valid AS BIGINT) AS Plausible FROM stg_customers",
-    "promotion_periods": f"SELECT Raw_ID, End_Date - Start_Date AS Duration_Days, CAST({_ON_DAY} AS BIGINT) AS Is_Active FROM stg_promotions",
+    "date_math": f"SELECT Raw_ID, CAST(year({AS_OF}) - year(Birthdate) AS DOUBLE) AS Age, CAST({AS_OF} - Registration_Date AS DOUBLE) AS Tenure_Days, CAST(DQ_Birthdate_Valid AS BIGINT) AS Plausible FROM stg_customers",
+    "promotion_periods": f"SELECT Raw_ID, CAST(End_Date - Start_Date AS DOUBLE) AS Duration_Days, CAST({_ON_DAY} AS BIGINT) AS Is_Active FROM stg_promotions",
     "order_measures": f"SELECT Raw_ID, CAST(Total_Amount - coalesce(Total_Discount, 0) AS DOUBLE) AS Net_Amount, {pct('coalesce(Total_Discount, 0)', 'Total_Amount', 2)} AS Discount_Rate FROM stg_header",
     "line_measures": f"""SELECT Raw_ID, CAST({_COST} AS DOUBLE) AS Line_Cost, CAST(Line_Sales_Amount - {_COST} AS DOUBLE) AS Line_Margin,
   CASE WHEN Line_Sales_Amount > 0 AND {_COST} IS NULL THEN NULL ELSE {pct(f'(Line_Sales_Amount - {_COST})', 'Line_Sales_Amount', 2)} END AS Line_Margin_Over_Sales_Pct,
@@ -723,7 +729,7 @@ SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS Date_SK, CAST(d AS VARCHAR) AS D
     "bridge_explode": "SELECT Promotion_ID, Product_SKU FROM bridge",
     "bridge_listing": "SELECT p.Promo_Name, q.Product_Name, q.Category FROM bridge AS b JOIN promotions AS p USING (Promotion_ID) JOIN products AS q USING (Product_SKU)",
     "bridge_keys": "SELECT p.Promotion_Key, q.Product_Key FROM bridge AS b JOIN key_promotions AS p USING (Promotion_ID) JOIN key_products AS q USING (Product_SKU)",
-    "agg_daily": f"SELECT CAST(s.Transaction_Date AS VARCHAR) AS Transaction_Date, Store_ID, {_measures(_DISCOUNT)} count(*) AS Line_Count, {_BUYERS}, {_TICKET}, {_SHARE} AS Avg_Margin_Pct FROM sales AS s GROUP BY s.Transaction_Date, Store_ID",
+    "agg_daily": f"SELECT CAST(s.Transaction_Date AS VARCHAR) AS Transaction_Date, Store_ID, {_measures(_DISCOUNT)} CAST(count(*) AS DOUBLE) AS Line_Count, {_BUYERS}, {_TICKET}, {_SHARE} AS Avg_Margin_Pct FROM sales AS s GROUP BY s.Transaction_Date, Store_ID",
     "agg_monthly": f"SELECT Year, Month, Store_ID, Category, {_measures(_DISCOUNT)} {_BUYERS}, {_TICKET}, {_SHARE} AS Margin_Pct FROM (SELECT s.*, {_YM}, p.Category FROM sales AS s JOIN products AS p USING (Product_SKU)) AS m GROUP BY GROUPING SETS ((Year, Month, Store_ID, Category), (Year, Month, Store_ID), (Year, Month, Category), (Year, Month))",
     "agg_product": f"SELECT Product_SKU, Store_ID, Year, Month, {_measures()} {avg('Unit_Price', 2)} AS Avg_Unit_Price, {_SHARE} AS Margin_Pct FROM (SELECT *, {_YM} FROM sales) AS m GROUP BY GROUPING SETS ((Product_SKU, Store_ID, Year, Month), (Product_SKU, Year, Month))",
     "sales_by_date": f"SELECT CAST(d AS VARCHAR) AS Date_Value, dayname(d) AS Day_Name, {money('Line_Sales_Amount', 'Total_Sales')}, {money('Line_Margin_Amount', 'Total_Margin')}, count(DISTINCT Transaction_ID) AS Transaction_Count FROM sales JOIN days ON Transaction_Date = d GROUP BY d",

@@ -130,6 +130,14 @@ class Build:
         return gold.bridge_promotion_product(self.promotions(), self.products(), CLOCK)
 
 
+# whole numbers that can be missing; shown as double, the one type in which both engines'
+# data frames hold numbers beside gaps
+SPARSE_NUMBERS = frozenset(
+    "Phone_Length Line_Count Quantity_On_Hand Reorder_Level Age Tenure_Days Duration_Days Quantity Line_Number "
+    "Previous_Quantity Customer_Tenure_Days".split()
+)
+
+
 def present(df: DataFrame) -> DataFrame:
     """Types both engines print alike: dates and times as text, whole numbers as long, decimals
     as double; the audit stamps are left out."""
@@ -142,6 +150,8 @@ def present(df: DataFrame) -> DataFrame:
             c = c.cast("string")
         elif kind.startswith("timestamp"):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif name in SPARSE_NUMBERS:
+            c = c.cast("double")
         elif kind in ("tinyint", "smallint", "int"):
             c = c.cast("bigint")
         elif kind.startswith("decimal"):
