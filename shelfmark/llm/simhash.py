@@ -192,18 +192,19 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _ball_points(value: Column, group: list[int], radius: int) -> Column:
-    """All values within `radius` bits of `value` among the bits of a group."""
+def _flips(group: list[int], radius: int) -> Column:
+    """One row for each way to change at most `radius` bits of a group."""
     flips = [0]
     for r in range(1, radius + 1):
         flips += [_signed(sum(1 << b for b in c)) for c in itertools.combinations(group, r)]
-    return F.explode(F.transform(F.array(*[F.lit(x) for x in flips]), lambda x: value.bitwiseXOR(x)))
+    return F.explode(F.array(*[F.lit(x) for x in flips])).alias("flip")
 
 
 def value_pairs(values: DataFrame, group: list[int], threshold: int) -> DataFrame:
     """(u, v) with u < v: distinct values (of `value`) of a part that differ by 1..threshold bits."""
-    near = values.select(F.col("value").alias("u"), _ball_points(F.col("value"), group, (threshold + 1) // 2).alias("point"))
-    far = values.select(F.col("value").alias("v"), _ball_points(F.col("value"), group, threshold // 2).alias("point"))
+    point = F.col("value").bitwiseXOR(F.col("flip")).alias("point")
+    near = values.select("value", _flips(group, (threshold + 1) // 2)).select(F.col("value").alias("u"), point)
+    far = values.select("value", _flips(group, threshold // 2)).select(F.col("value").alias("v"), point)
     met = near.join(far, "point").where("u <> v")
     return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 

@@ -7,6 +7,9 @@ window is missed. Neighbouring windows mostly share their fingerprint, so a text
 for each run of windows with the same one. Runs of documents whose fingerprint an item has are
 extended to their windows, and these are compared with the windows of items word by word.
 
+Arrays of runs are unfolded by the outer generators, though none is empty: for the others the
+optimizer infers a filter on the array's size and moves it below the projections that build it.
+
 The items' fingerprints are broadcast only when their counted number is below a bound; beyond
 it, fingerprints are joined by a shuffle and matched documents are read a second time.
 
@@ -101,9 +104,9 @@ def item_windows(items: DataFrame, span: int = SPAN) -> tuple[DataFrame, list[in
     lengths = sorted(r["n"] for r in sized.select("n").distinct().collect())
     if not lengths:
         return sized.sparkSession.createDataFrame([], "window string, fingerprint bigint, n int, items array<bigint>"), []
-    runs = _runs(sized.withColumnRenamed("n", "own"), lengths).select("item_id", "words", "own", F.inline("runs")).where("n = own")
+    runs = _runs(sized.withColumnRenamed("n", "own"), lengths).select("item_id", "words", "own", F.inline_outer("runs")).where("n = own")
     windows = runs.select(
-        "item_id", "fingerprint", "n", F.explode(_window_texts(F.col("first"), F.col("until"), F.col("n"))).alias("window")
+        "item_id", "fingerprint", "n", F.explode_outer(_window_texts(F.col("first"), F.col("until"), F.col("n"))).alias("window")
     )
     return windows.groupBy("window", "fingerprint", "n").agg(F.collect_set("item_id").alias("items")), lengths
 
@@ -126,13 +129,13 @@ def decontaminate(
         F.lit(None).cast("bigint").alias("fingerprint"), F.lit(-1).alias("first"), F.size("words").alias("until"), F.lit(0).alias("n")
     )
     if prints.count() <= broadcast_rows:
-        every = worded.select("doc_id", "text_hash", "words", F.inline(F.concat(F.array(own), "runs")))
+        every = worded.select("doc_id", "text_hash", "words", F.inline_outer(F.concat(F.array(own), "runs")))
         met = every.join(F.broadcast(prints.withColumn("met", F.lit(True))), ["fingerprint", "n"], "left")
         kept = met.where("met or first < 0")
         texts = F.when(F.col("first") >= 0, _window_texts(F.col("first"), F.col("until"), F.col("n")))
         read = cut(kept.select("doc_id", "text_hash", "first", "until", "n", texts.alias("texts")))
     else:
-        every = worded.select("doc_id", "text_hash", F.inline(F.concat(F.array(own), "runs")))
+        every = worded.select("doc_id", "text_hash", F.inline_outer(F.concat(F.array(own), "runs")))
         met = every.join(prints.withColumn("met", F.lit(True)), ["fingerprint", "n"], "left")
         kept = cut(met.where("met or first < 0").select("doc_id", "text_hash", "first", "until", "n"))
         places = kept.where("first >= 0").distinct().groupBy("doc_id", "text_hash").agg(
@@ -140,7 +143,7 @@ def decontaminate(
         )
         again = documents.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
         same = places["doc_id"].eqNullSafe(again["_id"]) & (places["text_hash"] == again["_hash"])
-        found = places.join(again, same).select("doc_id", "text_hash", words(F.col("text")).alias("words"), F.inline("places"))
+        found = places.join(again, same).select("doc_id", "text_hash", words(F.col("text")).alias("words"), F.inline_outer("places"))
         found = found.select(
             "doc_id", "text_hash", "first", "until", "n", _window_texts(F.col("first"), F.col("until"), F.col("n")).alias("texts")
         )
@@ -150,8 +153,8 @@ def decontaminate(
     hits = cut(placed.join(windows.select("window", "n", "items"), ["window", "n"]).select("doc_id", "text_hash", "start", "n", "items"))
     covered = hits.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("spans"))
     covered = covered.select("doc_id", "text_hash", _union_length(F.col("spans")).alias("n_hit"))
-    named = hits.select("doc_id", "text_hash", F.explode("items").cast("string").alias("item")).distinct()
-    named = named.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    named = hits.select("doc_id", "text_hash", F.explode("items").alias("item")).distinct()
+    named = named.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.col("item").cast("string"))).alias("items"))
     found = covered.join(named.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_hash"),
                          covered["doc_id"].eqNullSafe(F.col("_id")) & (covered["text_hash"] == F.col("_hash")))
     found = found.select(F.col("_id").alias("found_id"), F.col("_hash").alias("found_hash"), "n_hit", "items")
