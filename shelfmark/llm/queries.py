@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, secrets, simhash, winnow
+from shelfmark.llm import chat, packing, secrets, simhash, winnow
 from shelfmark.llm.frames import cut, table
 
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -30,6 +37,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.digest(winnow.decontaminate(documents, table(spark, sf_dir, "benchmark").select("item_id", "text")))
 
 
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
