@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, packing, secrets, simhash, winnow
+from shelfmark.llm import chat, langid, packing, quality, secrets, simhash, winnow
 from shelfmark.llm.frames import cut, table
 
 
@@ -42,6 +42,17 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("host"))
+    return quality.judge(documents).drop("host")
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
