@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, langid, packing, quality, secrets, simhash, templates, winnow
+from shelfmark.llm import chat, langid, packing, quality, secrets, simhash, suffixes, templates, winnow
 from shelfmark.llm.frames import cut, table
 
 
@@ -53,6 +53,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.report(table(spark, sf_dir, "documents"))
