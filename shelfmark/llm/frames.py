@@ -26,6 +26,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_column(df: DataFrame, name: str = "text"):
     """The text with null as the empty string."""
     return F.coalesce(df[name], F.lit(""))
@@ -45,4 +53,4 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterato
             yield batch.slice(start)
 
 
-__all__ = ["cut", "slices", "table", "text_column"]
+__all__ = ["cut", "free_name", "slices", "table", "text_column"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, langid, packing, quality, secrets, simhash, suffixes, templates, winnow
+from shelfmark.llm import chat, htmltext, langid, packing, quality, secrets, simhash, suffixes, templates, winnow
 from shelfmark.llm.frames import cut, table
 
 
@@ -48,6 +48,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents).drop("host")
 
 
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.frames import cut, slices
+from shelfmark.llm.frames import cut, free_name, slices
 
 DEPTH = 3
 TOKENS = 5
@@ -128,11 +128,11 @@ def recurring_lines(
 
 
 def _with_dropped(documents: DataFrame, **settings) -> DataFrame:
-    """All columns of `documents` and `_dropped`."""
-    dropped = _keyed(recurring_lines(documents.select("doc_id", "text"), **settings)).withColumnRenamed("dropped", "_dropped")
-    rows = documents.withColumn("text_hash_", F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(dropped["_id"]) & (rows["text_hash_"] == dropped["_hash"])
-    return rows.join(dropped, same, "left").select(*[rows[c] for c in documents.columns], "_dropped")
+    """All columns of `documents` and, last, the positions to drop."""
+    found = _keyed(recurring_lines(documents.select("doc_id", "text"), **settings))
+    same = documents["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(documents["text"]) == found["_hash"])
+    last = found["dropped"].alias(free_name(documents, "dropped"))
+    return documents.join(found, same, "left").select(*[documents[c] for c in documents.columns], last)
 
 
 def remaining(text: str | None, dropped: list[int] | None) -> str | None:
@@ -145,7 +145,7 @@ def remaining(text: str | None, dropped: list[int] | None) -> str | None:
 
 def _rewritten(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", 16 << 20):
-        texts = [remaining(t, d) for t, d in zip(batch.column("text").to_pylist(), batch.column("_dropped").to_pylist())]
+        texts = [remaining(t, d) for t, d in zip(batch.column("text").to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
         yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns], columns)
 
 
@@ -159,7 +159,7 @@ def drop_lines(documents: DataFrame, **settings) -> DataFrame:
 def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", 16 << 20):
         rows = []
-        for text, dropped in zip(batch.column("text").to_pylist(), batch.column("_dropped").to_pylist()):
+        for text, dropped in zip(batch.column("text").to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
             left = remaining(text or "", dropped)
             rows.append(((text or "").count("\n") + bool(text), len(dropped or ()), hashlib.sha256(left.encode()).hexdigest()))
         columns = list(zip(*rows)) or [()] * 3

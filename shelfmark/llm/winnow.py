@@ -189,3 +189,11 @@ def digest(results: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def keep_clean(documents: DataFrame, items: DataFrame, **settings) -> DataFrame:
+    """Rows of `documents` without a window of an item, with all their columns."""
+    found = decontaminate(documents, items, **settings).where("n_hit > 0")
+    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = documents["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(documents["text"]) == found["_hash"])
+    return documents.join(found, same, "left_anti")
