@@ -24,7 +24,6 @@ import math
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -147,24 +146,36 @@ def blocks(html: str) -> list[Block]:
 # --- vectors ------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=20_000)
-def _path_slots(path: tuple[str, ...]) -> tuple[int, ...]:
+_SEEN_PATHS: dict[tuple[str, ...], list[int]] = {}
+_SEEN_WORDS: dict[str, int] = {}
+REMEMBERED = 50_000  # paths and words whose slots a task remembers
+
+
+def _path_slots(path: tuple[str, ...]) -> list[int]:
     """Slots of a path: its words anywhere, and the innermost element's on their own."""
-    words = {w for part in path for w in part.split()}
-    inner = {f"in {w}" for w in path[-1].split()} if path else set()
-    return tuple(sorted({zlib.crc32(w.encode()) % PATH_SIZE for w in words | inner}))
+    if path not in _SEEN_PATHS:
+        if len(_SEEN_PATHS) >= REMEMBERED:
+            _SEEN_PATHS.clear()
+        words = {w for part in path for w in part.split()}
+        inner = {f"in {w}" for w in path[-1].split()} if path else set()
+        _SEEN_PATHS[path] = sorted({zlib.crc32(w.encode()) % PATH_SIZE for w in words | inner})
+    return _SEEN_PATHS[path]
 
 
-@lru_cache(maxsize=100_000)
 def _word_slot(word: str) -> int:
-    return zlib.crc32(word.encode()) % WORD_SIZE
+    slot = _SEEN_WORDS.get(word)
+    if slot is None:
+        if len(_SEEN_WORDS) >= REMEMBERED:
+            _SEEN_WORDS.clear()
+        slot = _SEEN_WORDS[word] = zlib.crc32(word.encode()) % WORD_SIZE
+    return slot
 
 
 def vectors(page: list[Block]) -> np.ndarray:
     """(blocks, INPUT) of a page."""
     x = np.zeros((len(page), INPUT), np.float32)
     for i, (path, text, links) in enumerate(page):
-        x[i, list(_path_slots(path))] = 1
+        x[i, _path_slots(path)] = 1
         words = text.lower().split(" ")
         counts = np.bincount([_word_slot(w) for w in words], minlength=WORD_SIZE)
         x[i, PATH_SIZE : PATH_SIZE + WORD_SIZE] = counts / math.sqrt(float((counts * counts).sum()))
