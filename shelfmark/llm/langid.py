@@ -43,9 +43,17 @@ def held_out():
 
 
 def training_rows(documents: DataFrame) -> list[tuple[str, str]]:
-    """(lang, text window): at most SAMPLE rows a language."""
+    """(lang, text window): at most SAMPLE rows a language, those with the least hashes. Rows are
+    counted first, and only hashes so low that about four times as many are expected go further, so
+    what is ranked does not grow with the table."""
     order = F.xxhash64("doc_id", F.lit(1))
     known = documents.where(~held_out()).where("lang is not null and text is not null and text <> ''")
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row for each label
+    if not sizes:
+        return []
+    highest = {lang: min(2**64 * 4 * SAMPLE // n, 2**64 - 1) - 2**63 for lang, n in sizes.items()}
+    bound = F.create_map(*[F.lit(x) for pair in sorted(highest.items()) for x in pair])
+    known = known.where(order <= bound[F.col("lang")])
     window = F.substring("text", F.pmod(order, F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1, F.lit(SAMPLE_CHARS))
     rows = known.select("lang", order.alias("_o"), window.alias("window"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("_o", "window"))

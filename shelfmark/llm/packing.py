@@ -105,7 +105,8 @@ def pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> D
 
 
 def _complement(counts: np.ndarray, gap: int, most: int) -> tuple[int, ...] | None:
-    """One to three available lengths, none above `most`, that sum to `gap`; the largest first part wins."""
+    """One to three available lengths, none above `most`, that sum to `gap`: of pairs the one that is
+    available most often, of triples the one with the largest parts."""
     if gap <= most and counts[gap] > 0:
         return (gap,)
     free = counts[: gap + 1] > 0
@@ -115,7 +116,8 @@ def _complement(counts: np.ndarray, gap: int, most: int) -> tuple[int, ...] | No
         return None
     pair = free[parts] & free[gap - parts] & ((2 * parts != gap) | (counts[parts] > 1))
     if pair.any():
-        a = int(parts[pair][-1])
+        large = parts[pair][2 * parts[pair] >= gap]
+        a = int(large[np.argmax(np.minimum(counts[large], counts[gap - large]))])
         return (a, gap - a)
     for a in parts[::-1].tolist():
         rest = gap - a
@@ -133,12 +135,22 @@ def _complement(counts: np.ndarray, gap: int, most: int) -> tuple[int, ...] | No
     return None
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[tuple[int, int], ...], int]]:
-    """Kinds of sequences as (((length, copies), ...), number of sequences)."""
+Plan = list[tuple[tuple[tuple[int, int], ...], int]]
+"""Kinds of sequences as (((length, copies), ...), number of sequences)."""
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """The shorter of two plans: exact complements with best fit of the rest, and, where few lengths
+    occur and complements waste what others need, best fit alone."""
+    plans = [_plan(histogram, capacity, exact) for exact in (True, False)]
+    return min(plans, key=lambda p: sum(times for _, times in p))
+
+
+def _plan(histogram: dict[int, int], capacity: int, exact: bool) -> Plan:
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    planned: list[tuple[tuple[tuple[int, int], ...], int]] = []
+    planned: Plan = []
     left = np.zeros_like(counts)
 
     def kind(lengths: tuple[int, ...]) -> tuple[tuple[int, int], ...]:
@@ -148,7 +160,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
         while counts[length]:
             gap = capacity - length
             counts[length] -= 1  # the piece itself
-            rest = () if not gap else _complement(counts, gap, length)
+            rest = () if not gap else _complement(counts, gap, length) if exact else None
             counts[length] += 1
             if rest is None:
                 left[length], counts[length] = counts[length], 0
@@ -180,7 +192,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
     return planned + [(kind(lengths), bins) for kinds in gaps.values() for lengths, bins in kinds]
 
 
-def places(planned: list[tuple[tuple[tuple[int, int], ...], int]]) -> dict[str, np.ndarray]:
+def places(planned: Plan) -> dict[str, np.ndarray]:
     """The plan by length and rank: pieces of `length` with ranks from `rank` on stand `copies` to a
     sequence, from `sequence` and `offset` on. Sorted by length and rank."""
     taken: dict[int, int] = {}

@@ -14,13 +14,17 @@ Only buckets that can hold a repeat are refined to the end across documents:
    bytes, and its place.
 2. Rows are sorted by both. A run whose least bucket occurs once repeats nothing. Of runs with
    the same bytes, all but the first are repeats. Runs that share a least bucket but differ
-   in their bytes are refined: 3. their windows are sorted by the LENGTH-byte bucket (two
-   independent identifiers of 64 bits), and all but the first of a bucket are repeats.
-
-Before each shuffle a task settles what it can see itself: of equal runs or windows in the texts
-at hand only the first is sent, the others have an earlier copy already; and of a least bucket
-with different runs, one marker. So a string that a third of all documents hold sends one row
-for each few megabytes of text.
+   in their bytes are refined.
+3. Windows of such runs go together in blocks of up to BLOCK, by the distance from their start to
+   that q-gram. A block's bucket is that of its core, the 93 bytes that all its windows share; the
+   few bytes on either side travel as they are. Equal blocks are settled like equal runs.
+4. Blocks that share a core but differ beside it are refined to single windows: the core's bucket
+   and the bytes beside it, so no text is needed again. All but the first window are repeats.
+
+Before each shuffle a task settles what it can see itself: of equal runs, blocks or windows at
+hand only the first is sent, the others have an earlier copy already; of a bucket that holds
+different ones, one mark is sent and they are refined. So a string that a third of all
+documents hold, between whatever else, sends a row or two for each few megabytes of text.
 
 Defined results: a null or empty text has no bytes; order is by doc_id, null last; rows that
 repeat id and text are one document, each with its result; different texts of one id are
@@ -114,15 +118,107 @@ def count_of(place: np.ndarray) -> np.ndarray:
     return place & ((1 << COUNT_BITS) - 1)
 
 
-ROW = ("bucket", "bytes_id", "doc", "place", "kind")
-SCHEMA = "bucket bigint, bytes_id bigint, doc bigint, place bigint, kind tinyint"
+ROW = ("bucket", "one", "two", "doc", "place", "kind")
+SCHEMA = "bucket bigint, one bigint, two bigint, doc bigint, place bigint, kind tinyint"
+Rows = tuple[np.ndarray, ...]
+"""Columns of ROW. Within a bucket, `one` and `two` tell different bytes apart."""
 
 
-def _batch(bucket, bytes_id, doc, place, kind) -> pa.RecordBatch:
-    columns = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (bucket, bytes_id, doc, place)]
+def _batch(rows: Iterable[np.ndarray]) -> pa.RecordBatch:
+    *numbers, kind = rows
+    columns = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in numbers]
     return pa.RecordBatch.from_arrays([*columns, pa.array(np.asarray(kind, np.int8))], list(ROW))
 
 
+def _stacked(parts: list[Rows]) -> Rows:
+    return tuple(np.concatenate([np.ascontiguousarray(x).view(np.int64) if x.dtype != np.int8 else x for x in column]) for column in zip(*parts))
+
+
+def _picked(rows: Rows, chosen: np.ndarray, kind: int) -> Rows:
+    return (*(x[chosen] for x in rows[:5]), np.full(int(chosen.sum()), kind, np.int8))
+
+
+def _settle_here(rows: Rows, inside: np.ndarray | None) -> tuple[Rows, Rows, Rows, Rows]:
+    """FIRST rows, marks, repeats and rows to refine among the FIRST rows of the texts at hand. `inside`
+    has rows that hold repeats of their own; it is missing for single windows, which are not refined."""
+    order = np.lexsort((rows[4], rows[3], rows[2], rows[1], rows[0]))
+    rows = tuple(x[order] for x in rows)
+    bucket, one, two, doc, place, _ = rows
+    new_bucket = np.append(True, bucket[1:] != bucket[:-1])
+    new_bytes = new_bucket | np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
+    head = np.maximum.accumulate(np.where(new_bytes, np.arange(len(order)), 0))
+    # rows that repeat id and text are the same document
+    repeat = ~new_bytes & ((doc != doc[head]) | (place != place[head]))
+    group = np.cumsum(new_bucket) - 1
+    mixed = np.zeros(group[-1] + 1, bool)
+    if inside is not None:
+        mixed = (np.bincount(group, new_bytes) > 1) | (np.bincount(group, inside[order]) > 0)
+    marked = np.zeros(len(order), bool)
+    marked[np.flatnonzero(new_bucket)[mixed]] = True
+    refined = new_bytes & mixed[group]
+    return (
+        _picked(rows, new_bytes & ~refined, FIRST),
+        _picked(rows, marked, MARK),
+        _picked(rows, repeat, REPEAT),
+        _picked(rows, refined, REFINE),
+    )
+
+
+def _spread(rows: Rows) -> Rows:
+    """The rows under a key of their own, so that they gather nowhere."""
+    return (refine(rows[3].view(np.uint64), rows[4].view(np.uint64)), *rows[1:])
+
+
+def _settle_groups(rows: Rows) -> tuple[Rows, Rows]:
+    """Repeats and rows to refine among sorted FIRST rows and marks."""
+    bucket, one, two, doc, place, kind = rows
+    new_bucket = np.append(True, bucket[1:] != bucket[:-1])
+    new_bytes = new_bucket | np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
+    group = np.cumsum(new_bucket) - 1
+    mixed = (np.bincount(group, new_bytes) > 1) | (np.bincount(group, kind == MARK) > 0)
+    first = kind == FIRST
+    byte_group = np.cumsum(new_bytes) - 1
+    positions = np.flatnonzero(first)
+    head = np.full(byte_group[-1] + 1, len(bucket))
+    np.minimum.at(head, byte_group[positions], positions)
+    leads = np.zeros(len(bucket), bool)
+    leads[head[head < len(bucket)]] = True
+    lead = np.minimum(head[byte_group], len(bucket) - 1)
+    repeat = first & ~leads & ((doc != doc[lead]) | (place != place[lead]))
+    return _picked(rows, repeat, REPEAT), _picked(rows, leads & mixed[group], REFINE)
+
+
+def _whole_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[Rows]:
+    """Columns of sorted rows, cut between buckets only. A bucket has a row or two for each slice of texts."""
+    held: Rows | None = None
+    for batch in batches:
+        new = tuple(batch.column(c).to_numpy() for c in ROW)
+        held = new if held is None else _stacked([held, new])
+        if len(held[0]) and held[0][0] != held[0][-1]:
+            at = int(np.searchsorted(held[0], held[0][-1]))
+            yield tuple(x[:at] for x in held)
+            held = tuple(x[at:] for x in held)
+    if held is not None and len(held[0]):
+        yield held
+
+
+def _settled_batches(batches: Iterable[pa.RecordBatch], windows: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket, one, two, doc, place: repeats, and rows to refine. With `windows`, blocks
+    to refine become single windows."""
+    for rows in _whole_buckets(batches):
+        passed = (rows[5] == REPEAT) | (rows[5] == REFINE)
+        parts = [tuple(x[passed] for x in rows)]
+        rest = tuple(x[~passed] for x in rows)
+        if len(rest[0]):
+            repeats, refined = _settle_groups(rest)
+            parts += [_spread(repeats), _windows_of_blocks(refined) if windows else refined]
+        yield _batch(_stacked(parts))
+
+
+def _ordered(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "one", "two", "doc", "place")
+
+
 def _repeats_inside(grams: np.ndarray, value: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Runs that hold the q-gram of their least bucket more than once, so that windows of one run may be equal."""
     widest = 2 * LONGEST_RUN - 1
@@ -137,37 +233,6 @@ def _repeats_inside(grams: np.ndarray, value: np.ndarray, start: np.ndarray, siz
     return found
 
 
-def _settle(
-    bucket: np.ndarray, bytes_id: np.ndarray, doc: np.ndarray, place: np.ndarray, inside: np.ndarray | None = None
-) -> pa.RecordBatch:
-    """Rows of the texts at hand, settled among themselves; `inside` marks runs with repeats of their
-    own, and is missing for windows, which are not refined further. Repeats and rows to refine travel
-    under a key of their own, so they do not gather anywhere."""
-    refinable = inside is not None
-    order = np.lexsort((place, doc, bytes_id, bucket))
-    bucket, bytes_id, doc, place = (x[order] for x in (bucket, bytes_id, doc, place))
-    new_bucket = np.append(True, bucket[1:] != bucket[:-1])
-    new_bytes = new_bucket | np.append(True, bytes_id[1:] != bytes_id[:-1])
-    head = np.maximum.accumulate(np.where(new_bytes, np.arange(len(order)), 0))
-    same_place = (doc == doc[head]) & (place == place[head])
-    group = np.cumsum(new_bucket) - 1
-    different = np.bincount(group, new_bytes) > 1
-    if refinable:
-        different |= np.bincount(group, inside[order]) > 0
-    mixed = different[group] if refinable else np.zeros(len(order), bool)
-    kind = np.where(~new_bytes, REPEAT, np.where(mixed, REFINE, FIRST))
-    spread = refine(doc.view(np.uint64), place.view(np.uint64))
-    key = np.where(kind == FIRST, bucket, spread)
-    # rows that repeat id and text are the same document
-    stays = new_bytes | ~same_place
-    rows = [x[stays] for x in (key, bytes_id, doc, place, kind)]
-    if refinable and different.any():
-        marked = np.flatnonzero(new_bucket)[different]
-        marks = (bucket[marked], bytes_id[marked], doc[marked], place[marked], np.full(len(marked), MARK))
-        rows = [np.concatenate(x) for x in zip(rows, marks)]
-    return _batch(*rows)
-
-
 def _tag(text_hash: np.ndarray) -> np.ndarray:
     return text_hash & 0xFFFF
 
@@ -194,54 +259,10 @@ def _run_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_id = refine(refine(whole[at[start]], whole[at[start + size - 1]]), size.astype(np.uint64))
         text = owner[start]
         inside = _repeats_inside(grams, value[start], at[start], size)
-        yield _settle(value[start], bytes_id, doc[text], _place(tag[text], at[start] - first[text], size), inside)
-
-
-def _settled_groups(batches: Iterable[pa.RecordBatch], refinable: bool) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket, bytes_id, doc, place: repeats and rows to refine."""
-
-    def settle(bucket, bytes_id, doc, place, kind) -> pa.RecordBatch:
-        own = (kind == REPEAT) | (kind == REFINE)
-        passed = [x[own] for x in (bucket, bytes_id, doc, place, kind)]
-        bucket, bytes_id, doc, place, kind = (x[~own] for x in (bucket, bytes_id, doc, place, kind))
-        if not len(bucket):
-            return _batch(*passed)
-        new_bucket = np.append(True, bucket[1:] != bucket[:-1])
-        new_bytes = new_bucket | np.append(True, bytes_id[1:] != bytes_id[:-1])
-        group = np.cumsum(new_bucket) - 1
-        mixed = (np.bincount(group, new_bytes) > 1) | (np.bincount(group, kind == MARK) > 0)
-        first = kind == FIRST
-        # the first FIRST row of equal bytes
-        byte_group = np.cumsum(new_bytes) - 1
-        positions = np.flatnonzero(first)
-        head = np.full(byte_group[-1] + 1, len(bucket))
-        np.minimum.at(head, byte_group[positions], positions)
-        leads = np.zeros(len(bucket), bool)
-        leads[head[head < len(bucket)]] = True
-        lead = np.minimum(head[byte_group], len(bucket) - 1)
-        same_place = (doc == doc[lead]) & (place == place[lead])
-        repeat = first & ~leads & ~same_place
-        further = first & leads & mixed[group] if refinable else np.zeros(len(bucket), bool)
-        chosen = repeat | further
-        found = [x[chosen] for x in (bucket, bytes_id, doc, place, np.where(repeat, REPEAT, REFINE))]
-        return _batch(*[np.concatenate(x) for x in zip(passed, found)])
-
-    held: list[np.ndarray] | None = None
-    for batch in batches:
-        new = [batch.column(c).to_numpy() for c in ROW]
-        held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
-        if len(held[0]) and held[0][0] != held[0][-1]:
-            at = int(np.searchsorted(held[0], held[0][-1]))
-            yield settle(*[x[:at] for x in held])
-            held = [x[at:] for x in held]
-    if held is not None and len(held[0]):
-        yield settle(*held)
-
-
-def _settled(rows: DataFrame, refinable: bool) -> DataFrame:
-    ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "bytes_id", "doc", "place")
-    found = ordered.mapInArrow(lambda b: _settled_groups(b, refinable), SCHEMA)
-    return found.select("doc", "place", "kind")
+        none = np.zeros(len(start), np.int64)
+        place = _place(tag[text], at[start] - first[text], size)
+        found = _settle_here((value[start], bytes_id, none, doc[text], place, none.astype(np.int8)), inside)
+        yield _batch(_stacked([found[FIRST], found[MARK], _spread(found[REPEAT]), _spread(found[REFINE])]))
 
 
 # --- texts on the move --------------------------------------------------------------------
@@ -270,22 +291,104 @@ def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
         yield batch, [press.decompress(x) for x in batch.column("packed").to_pylist()]
 
 
-def _window_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each window of the runs to refine."""
+# --- blocks and windows -------------------------------------------------------------------
+# Window r of a block starts r bytes before the core and ends BLOCK - 1 - r bytes after it. A row has
+# the bytes before the core in `one`, the nearest lowest, under a byte with the largest r and the
+# number of windows, and the bytes after it in `two`.
+
+BLOCK = 8
+CORE = LENGTH - BLOCK + 1
+
+
+def cores(grams: np.ndarray) -> np.ndarray:
+    """Identifiers of the buckets of CORE bytes."""
+    twice = refine(grams[:-GRAM], grams[GRAM:])
+    rest = CORE - 2 * GRAM
+    return refine(twice[:-rest], twice[rest:])
+
+
+def _nearest_gram(grams: np.ndarray, value: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each window of each run (start, size), in order, the first position of the run's q-gram in it."""
+    widest = 2 * LONGEST_RUN - 1
+    padded = np.lib.stride_tricks.sliding_window_view(np.append(grams, np.zeros(widest, np.uint64)), widest)
+    column = np.arange(widest)
+    found = []
+    for i in range(0, len(start), 1 << 13):
+        some = slice(i, i + (1 << 13))
+        at = np.where(padded[start[some]] == value[some, None], column, widest)
+        at = np.minimum.accumulate(at[:, ::-1], axis=1)[:, ::-1]
+        inside = column[:LONGEST_RUN] < size[some, None]
+        found.append((at[:, :LONGEST_RUN] + start[some, None])[inside])
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def _bytes_beside(data: np.ndarray, at: np.ndarray, step: int, count: np.ndarray) -> np.ndarray:
+    """Up to BLOCK - 1 bytes from `at` on, in steps of +1 or -1, as one number; zero beyond `count`."""
+    packed = np.zeros(len(at), np.uint64)
+    for i in range(BLOCK - 1):
+        inside = i < count
+        byte = np.where(inside, data[np.clip(at + step * i, 0, len(data) - 1)], 0).astype(np.uint64)
+        packed |= byte << np.uint64(8 * i)
+    return packed
+
+
+def _windows_of_blocks(rows: Rows) -> Rows:
+    """FIRST rows of the single windows of blocks: `bucket` and `one` identify a window's bytes."""
+    core, before, after, doc, place, _ = rows
+    before, after = before.view(np.uint64), after.view(np.uint64)
+    top = (before >> np.uint64(56)).astype(np.int64)
+    most, count = top >> 4, top & 15
+    row = np.repeat(np.arange(len(core)), count)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    r = most[row] - nth
+    left = before[row] & ((np.uint64(1) << (8 * r).astype(np.uint64)) - np.uint64(1))
+    right = after[row] & ((np.uint64(1) << (8 * (BLOCK - 1 - r)).astype(np.uint64)) - np.uint64(1))
+    beside = left | right << (8 * r).astype(np.uint64)
+    ids = [refine(refine(core.view(np.uint64)[row], beside, lane), r.astype(np.uint64), lane) for lane in (0, 1)]
+    tag, start = place[row] >> (START_BITS + COUNT_BITS), start_of(place[row]) + nth
+    zero = np.zeros(len(row), np.int64)
+    return (*ids, zero, doc[row], _place(tag, start, 1), np.full(len(row), REFINE, np.int8))
+
+
+def _block_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the blocks of the runs to refine."""
     for batch, texts in _unpacked(batches):
         doc, tag = batch.column("doc").to_numpy(), batch.column("tag").to_numpy()
         data, first, _ = _joined(texts)
         places = batch.column("places")
         text = np.repeat(np.arange(len(texts)), places.value_lengths().to_numpy())
         place = places.flatten().to_numpy()
-        start, count = start_of(place), count_of(place)
-        owner = np.repeat(text, count)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        at = np.repeat(start, count) + nth
-        _, one = buckets(data, 0)
-        _, other = buckets(data, 1)
-        where = first[owner] + at
-        yield _settle(one[where], other[where], doc[owner], _place(tag[owner], at, 1))
+        start, size = first[text] + start_of(place), count_of(place)
+        grams, _ = buckets(data)
+        value = least_in_windows(grams)[start]
+        near = _nearest_gram(grams, value, start, size)
+        run = np.repeat(np.arange(len(start)), size)
+        at = start[run] + np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
+        core = near - (near - at) // BLOCK * BLOCK
+        new = np.flatnonzero(np.append(True, (core[1:] != core[:-1]) | (run[1:] != run[:-1])))
+        count = np.diff(np.append(new, len(run)))
+        core, at, text = core[new], at[new], text[run[new]]
+        most = core - at
+        least = most - count + 1
+        before = _bytes_beside(data, core - 1, -1, most) | ((most << 4) + count).astype(np.uint64) << np.uint64(56)
+        after = _bytes_beside(data, core + CORE, 1, BLOCK - 1 - least)
+        place = _place(tag[text], at - first[text], count)
+        none = np.zeros(len(new), np.int8)
+        found = _settle_here((cores(grams)[core], before, after, doc[text], place, none), none.astype(bool))
+        parts = [found[FIRST], found[MARK], _spread(found[REPEAT])]
+        if len(found[REFINE][0]):
+            windows = _settle_here(_windows_of_blocks(found[REFINE]), None)
+            parts += [_picked(windows[FIRST], np.ones(len(windows[FIRST][0]), bool), REFINE), _spread(windows[REPEAT])]
+        yield _batch(_stacked(parts))
+
+
+def _window_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket and one: the windows to refine have an earlier copy but for the first."""
+    for rows in _whole_buckets(batches):
+        repeats = tuple(x[rows[5] == REPEAT] for x in rows)
+        windows = _picked(rows, rows[5] == REFINE, FIRST)
+        parts = [repeats] + ([_settle_groups(windows)[0]] if len(windows[0]) else [])
+        yield _batch(_stacked(parts))
 
 
 def _result_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,13 +421,14 @@ def _by_text(rows: DataFrame) -> DataFrame:
 def repeated_places(documents: DataFrame) -> DataFrame:
     """(doc, place) of the windows of `documents` (doc, text_hash, text) that also start earlier."""
     runs = documents.select("doc", "text_hash", "text").mapInArrow(_run_batches, SCHEMA)
-    settled = cut(_settled(runs, True))
+    settled = cut(_ordered(runs).mapInArrow(lambda b: _settled_batches(b, False), SCHEMA).select("doc", "place", "kind"))
     texts = _packed(documents)
     open_runs = _by_text(settled.where(F.col("kind") == REFINE))
     joined = texts.join(open_runs, (texts["doc"] == open_runs["_doc"]) & (texts["tag"] == open_runs["_tag"]))
-    windows = joined.select("doc", "tag", "packed", "places").mapInArrow(_window_batches, SCHEMA)
-    refined = cut(_settled(windows, False))
-    return settled.where(F.col("kind") == REPEAT).select("doc", "place").unionByName(refined.select("doc", "place"))
+    blocks = joined.select("doc", "tag", "packed", "places").mapInArrow(_block_batches, SCHEMA)
+    windows = _ordered(blocks).mapInArrow(lambda b: _settled_batches(b, True), SCHEMA)
+    refined = cut(_ordered(windows).mapInArrow(_window_batches, SCHEMA).select("doc", "place"))
+    return settled.where(F.col("kind") == REPEAT).select("doc", "place").unionByName(refined)
 
 
 def _packed(documents: DataFrame) -> DataFrame:
