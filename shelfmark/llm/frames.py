@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _packed_batches(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in slices(batches, column, 8 << 20):
+        packed = [None if t is None else press.compress(t.encode()) for t in batch.column(column).to_pylist()]
+        at = batch.schema.names.index(column)
+        yield batch.set_column(at, column, pa.array(packed, pa.binary()))
+
+
+def packed(df: DataFrame, column: str = "text") -> DataFrame:
+    """`df` with a text column compressed, for a shuffle that moves whole texts."""
+    schema = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == column else f.dataType, True) for f in df.schema])
+    return df.mapInArrow(lambda b: _packed_batches(b, column), schema)
+
+
+def unpacked(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Batches of a packed table, cut at `most` compressed bytes, each with its texts."""
+    import zstandard
+
+    press = zstandard.ZstdDecompressor()
+    for batch in slices(batches, column, most):
+        yield batch, [None if x is None else press.decompress(x).decode() for x in batch.column(column).to_pylist()]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """`name`, lengthened until `df` has no such column."""
     taken = {c.lower() for c in df.columns}
@@ -53,4 +79,4 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterato
             yield batch.slice(start)
 
 
-__all__ = ["cut", "free_name", "slices", "table", "text_column"]
+__all__ = ["cut", "free_name", "packed", "slices", "table", "text_column", "unpacked"]

@@ -2,15 +2,15 @@
 
 A line is a list of tokens, cut at ASCII white space. The tree has a fixed depth: the number of
 tokens, then `DEPTH` leading tokens, where tokens that look like values (with a digit, or without
-a letter) are a wildcard. In a leaf, a token that at least `RECURS` documents hold at its
-position is constant and any other is a variable field, so lines that differ in such fields get
-one template. A template of which at least `CONSTANT` of the tokens are constant, and which
+a letter) are a wildcard. In a leaf, a token that recurs at its position, `RECURS` times or
+more, is constant and any other is a variable field, so lines that differ in such fields get one
+template. (Equal lines of one document count once, different ones each.) A template of which at least `CONSTANT` of the tokens are constant, and which
 `RECURS` documents or more hold, recurs: its first line in the corpus (by doc_id, then position)
 stays and the others are dropped. Lines of fewer than `TOKENS` tokens recur by chance; they stay.
 
-A line moves as a hash of its leaf until the leaf is known to be shared; only lines of shared
-leaves bring their tokens. Counts of documents are combined before they are shuffled, so a
-line that a third of all documents hold is a few rows of each task.
+A line moves as hashes of its leaf and its content. Only lines of shared leaves go further, and of
+equal ones the tokens are brought once. Counts are combined before they are shuffled, so a line
+that a third of all documents hold is a few rows of each task. Texts move compressed.
 
 Defined results: a null text stays null; rows that repeat id and text are one document, whose
 lines stay or go together; rows that repeat an id with another text are documents of their own;
@@ -28,9 +28,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.frames import cut, free_name, slices
+from shelfmark.llm.frames import cut, free_name, packed, slices, unpacked
 
-DEPTH = 3
+DEPTH = 4
 TOKENS = 5
 RECURS = 3
 CONSTANT = 0.6
@@ -54,30 +54,31 @@ def leaf(found: list[bytes], depth: int = DEPTH) -> int:
     return _hash(b"%d %b" % (len(found), b" ".join(found[:depth])))
 
 
-def _leaf_batches(batches: Iterable[pa.RecordBatch], least: int, depth: int) -> Iterator[pa.RecordBatch]:
+PLACES = "doc_id bigint, text_hash bigint, lines array<struct<line:int,leaf:bigint,content:bigint>>"
+
+
+def _place_batches(batches: Iterable[pa.RecordBatch], least: int, depth: int) -> Iterator[pa.RecordBatch]:
+    entry = pa.struct([("line", pa.int32()), ("leaf", pa.int64()), ("content", pa.int64())])
     for batch in slices(batches, "text", 8 << 20):
-        numbers, leaves = [], []
+        placed = []
         for text in batch.column("text").to_pylist():
             lines = [(i, t) for i, t in enumerate(map(tokens, (text or "").split("\n"))) if len(t) >= least]
-            numbers.append([i for i, _ in lines])
-            leaves.append([leaf(t, depth) for _, t in lines])
+            placed.append([(i, leaf(t, depth), _hash(b" ".join(t))) for i, t in lines])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array(numbers, pa.list_(pa.int32())), pa.array(leaves, pa.list_(pa.int64()))],
-            ["doc_id", "text_hash", "numbers", "leaves"],
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(placed, pa.list_(entry))], ["doc_id", "text_hash", "lines"]
         )
 
 
 def _token_batches(batches: Iterable[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 4 << 20):
+    for batch, texts in unpacked(batches):
         rows: list[tuple] = []
-        for doc_id, text_hash, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "wanted"))):
+        for text, wanted in zip(texts, batch.column("wanted").to_pylist()):
             lines = (text or "").split("\n")
-            for i in wanted:
-                found = tokens(lines[i])
-                rows.append((doc_id, text_hash, i, leaf(found, depth), [_hash(t) for t in found]))
-        columns = list(zip(*rows)) or [()] * 5
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "text_hash", "line", "leaf", "tokens"])
+            for found in (tokens(lines[i]) for i in wanted):
+                rows.append((leaf(found, depth), _hash(b" ".join(found)), [_hash(t) for t in found]))
+        columns = list(zip(*rows)) or [()] * 3
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["leaf", "content", "tokens"])
 
 
 def _same(a: DataFrame, b: DataFrame) -> Column:
@@ -93,46 +94,57 @@ def recurring_lines(
 ) -> DataFrame:
     """(doc_id, text_hash, dropped): positions of the lines to drop of rows (doc_id, text)."""
     rows = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    placed = rows.mapInArrow(
-        lambda b: _leaf_batches(b, least, depth), "doc_id bigint, text_hash bigint, numbers array<int>, leaves array<bigint>"
+    placed = rows.mapInArrow(lambda b: _place_batches(b, least, depth), PLACES)
+    placed = cut(placed.where("size(lines) > 0").dropDuplicates(["doc_id", "text_hash"]))
+    leaves = placed.select(F.explode(F.array_distinct("lines.leaf")).alias("leaf"))
+    shared = leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= recurs).select("leaf")
+    held = cut(placed.select("doc_id", "text_hash", F.inline("lines")).join(shared, "leaf"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "line")
+    contents = (
+        held.groupBy("leaf", "content", "doc_id", "text_hash")
+        .agg(F.min(place).alias("first"))
+        .groupBy("leaf", "content")
+        .agg(F.count("*").alias("n"), F.min("first").alias("first"))
     )
-    placed = cut(placed.dropDuplicates(["doc_id", "text_hash"]))
-    held = placed.select(F.explode(F.array_distinct("leaves")).alias("leaf"))
-    shared = held.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= recurs).select("leaf")
-    lines = placed.select("doc_id", "text_hash", F.inline(F.arrays_zip("numbers", "leaves")).alias("line", "leaf"))
-    wanted = lines.join(shared, "leaf").groupBy("doc_id", "text_hash").agg(F.collect_list("line").alias("wanted"))
-    wanted = _keyed(wanted)
-    brought = rows.join(wanted, _same(rows, wanted)).select("doc_id", "text_hash", "text", "wanted")
-    read = brought.mapInArrow(
-        lambda b: _token_batches(b, depth), "doc_id bigint, text_hash bigint, line int, leaf bigint, tokens array<bigint>"
+    contents = cut(contents)
+    # tokens of one line of each content
+    wanted = contents.groupBy(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).agg(
+        F.collect_list("first.line").alias("wanted")
     )
-    read = cut(read.dropDuplicates(["doc_id", "text_hash", "line"]))
-    # constant tokens: held by enough documents at their position in the leaf
-    at = read.select("leaf", "doc_id", "text_hash", F.posexplode("tokens").alias("position", "token"))
-    by_document = at.distinct().groupBy("leaf", "position", "token").agg(F.count("*").alias("n"))
-    constants = by_document.where(F.col("n") >= recurs).select("leaf", "position", "token", F.lit(True).alias("constant"))
-    fields = read.select("doc_id", "text_hash", "line", "leaf", F.posexplode("tokens").alias("position", "token"))
-    marked = fields.join(constants, ["leaf", "position", "token"], "left")
+    texts = packed(rows)
+    brought = texts.join(wanted, _same(texts, wanted)).select("text", "wanted")
+    read = brought.mapInArrow(lambda b: _token_batches(b, depth), "leaf bigint, content bigint, tokens array<bigint>")
+    read = cut(read.dropDuplicates(["leaf", "content"]).join(contents.select("leaf", "content", "n"), ["leaf", "content"]))
+    fields = read.select("leaf", "content", "n", F.posexplode("tokens").alias("position", "token"))
+    constants = fields.groupBy("leaf", "position", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= recurs)
+    constants = constants.select("leaf", "position", "token", F.lit(True).alias("constant"))
+    marked = fields.drop("n").join(constants, ["leaf", "position", "token"], "left")
     field = F.struct("position", F.when(F.col("constant"), F.col("token")).alias("token"))
-    shaped = marked.groupBy("leaf", "doc_id", "text_hash", "line").agg(
-        F.xxhash64(F.array_sort(F.collect_list(field))).alias("template"),
-        (F.count("constant") / F.count("*")).alias("share"),
+    shaped = marked.groupBy("leaf", "content").agg(
+        F.xxhash64(F.array_sort(F.collect_list(field))).alias("template"), (F.count("constant") / F.count("*")).alias("share")
+    )
+    shaped = shaped.where(F.col("share") >= constant).select("leaf", "content", "template")
+    lines = cut(held.join(shaped, ["leaf", "content"]).select("leaf", "template", "doc_id", "text_hash", "line"))
+    kinds = (
+        lines.groupBy("leaf", "template", "doc_id", "text_hash")
+        .agg(F.min(place).alias("first"))
+        .groupBy("leaf", "template")
+        .agg(F.count("*").alias("n"), F.min("first").alias("first"))
+        .where(F.col("n") >= recurs)
+        .select("leaf", "template", "first")
     )
-    shaped = cut(shaped.where(F.col("share") >= constant))
-    where = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "line")
-    documents_with = shaped.select("leaf", "template", "doc_id", "text_hash").distinct().groupBy("leaf", "template").agg(F.count("*").alias("n"))
-    first = shaped.groupBy("leaf", "template").agg(F.min(where).alias("first"))
-    kinds = first.join(documents_with.where(F.col("n") >= recurs), ["leaf", "template"]).select("leaf", "template", "first")
-    later = shaped.join(kinds, ["leaf", "template"]).where(~(where == F.col("first")))
+    later = lines.join(kinds, ["leaf", "template"]).where(~(place == F.col("first")))
     return later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list("line")).alias("dropped"))
 
 
 def _with_dropped(documents: DataFrame, **settings) -> DataFrame:
-    """All columns of `documents` and, last, the positions to drop."""
+    """All columns of `documents`, the text packed, and, last, the positions to drop."""
     found = _keyed(recurring_lines(documents.select("doc_id", "text"), **settings))
-    same = documents["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(documents["text"]) == found["_hash"])
+    hashed = free_name(documents, "hash_of_text")
+    rows = packed(documents.withColumn(hashed, F.xxhash64("text")))
+    same = rows["doc_id"].eqNullSafe(found["_id"]) & (rows[hashed] == found["_hash"])
     last = found["dropped"].alias(free_name(documents, "dropped"))
-    return documents.join(found, same, "left").select(*[documents[c] for c in documents.columns], last)
+    return rows.join(found, same, "left").select(*[rows[c] for c in documents.columns], last)
 
 
 def remaining(text: str | None, dropped: list[int] | None) -> str | None:
@@ -144,9 +156,9 @@ def remaining(text: str | None, dropped: list[int] | None) -> str | None:
 
 
 def _rewritten(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 16 << 20):
-        texts = [remaining(t, d) for t, d in zip(batch.column("text").to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns], columns)
+    for batch, texts in unpacked(batches):
+        left = [remaining(t, d) for t, d in zip(texts, batch.column(batch.num_columns - 1).to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()) if c == "text" else batch.column(c) for c in columns], columns)
 
 
 def drop_lines(documents: DataFrame, **settings) -> DataFrame:
@@ -157,9 +169,9 @@ def drop_lines(documents: DataFrame, **settings) -> DataFrame:
 
 
 def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 16 << 20):
+    for batch, texts in unpacked(batches):
         rows = []
-        for text, dropped in zip(batch.column("text").to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+        for text, dropped in zip(texts, batch.column(batch.num_columns - 1).to_pylist()):
             left = remaining(text or "", dropped)
             rows.append(((text or "").count("\n") + bool(text), len(dropped or ()), hashlib.sha256(left.encode()).hexdigest()))
         columns = list(zip(*rows)) or [()] * 3

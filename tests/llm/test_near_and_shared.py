@@ -37,7 +37,7 @@ def corpus(seed, n):
             if kind > 0.8:
                 lines.insert(rng.randrange(len(lines) + 1), passage)
             if kind > 0.9:
-                lines.append(f"Posted on {rng.randint(1, 30)} by user{rng.randint(1, 99)} in all things here")
+                lines.append(f"This was posted on {rng.randint(1, 30)} by user{rng.randint(1, 99)} in all things here")
             text = "\n".join(lines)
         texts.append(text)
         rows.append((i * 3, text))
@@ -244,7 +244,7 @@ def brute_lines(rows):
         holders = {}
         for key, _, found in lines:
             for p, t in enumerate(found):
-                holders.setdefault((p, t), set()).add(key)
+                holders.setdefault((p, t), set()).add((key, tuple(found)))
         kinds = {}
         for key, i, found in lines:
             shape = tuple(t if len(holders[p, t]) >= templates.RECURS else None for p, t in enumerate(found))
@@ -270,9 +270,9 @@ def test_line_templates(documents):
 
 
 def test_first_line_of_a_template_stays(documents):
-    rows = [(i, f"own text {'abcdef'[i]} of it\nPosted on {i} May by user{i} in all things") for i in range(5, 0, -1)]
+    rows = [(i, f"own text {'abcdef'[i]} of it\nWe posted this on {i} May by user{i} in all things") for i in range(5, 0, -1)]
     docs = templates.drop_lines(documents(rows))
-    assert {r.doc_id: "Posted" in r.text for r in docs.collect()} == {1: True, 2: False, 3: False, 4: False, 5: False}
+    assert {r.doc_id: "posted" in r.text for r in docs.collect()} == {1: True, 2: False, 3: False, 4: False, 5: False}
 
 
 def test_line_templates_odd_rows(documents, odd):
