@@ -107,6 +107,7 @@ OUTLIER_STOCK_QUANTITY = 10000
 COLDEST_PLAUSIBLE_C = -20
 HOTTEST_PLAUSIBLE_C = 45
 SHORTEST_PHONE = 10
+LONGEST_CUSTOMER_ID = 50
 
 # Acceptance thresholds, in percent of valid rows, best first
 STATUS_LADDER = ((95, "EXCELLENT"), (85, "GOOD"))

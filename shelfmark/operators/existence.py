@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.salting import row_bucket, salted_join
+from shelfmark.operators.salting import salted_join
 
 _HIT, _REF, _KEY = "__hit", "__ref", "__key"
-_NULL_BUCKETS = 4096
 
 
 def flag_existing(
@@ -19,7 +18,7 @@ def flag_existing(
     reference_key: str | None = None,
     reference_is_unique: bool = False,
     null_passes: bool = False,
-    salts: int = 8,
+    salts: int | None = None,
 ) -> DataFrame:
     """Add ``flag`` = 1 where ``key`` occurs in ``reference``.
 
@@ -31,7 +30,7 @@ def flag_existing(
     keys = reference.select(F.col(reference_key or key).alias(_REF)).filter(F.col(_REF).isNotNull())
     join_key: Column = F.col(key)
     if null_passes:
-        spread = F.concat(F.lit("\u0000"), row_bucket(df, _NULL_BUCKETS).cast("string"))
+        spread = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in df.columns]).cast("string"))
         join_key = F.coalesce(F.col(key).cast("string"), spread)
     keyed = df.withColumn(_KEY, join_key)
     if reference_is_unique:

@@ -17,12 +17,21 @@ def row_bucket(df: DataFrame, buckets: int) -> Column:
     return F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(buckets))
 
 
-def salted_join(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]], how: str = "inner", salts: int = 8) -> DataFrame:
+def default_salts(df: DataFrame) -> int:
+    """One salt for each 32 shuffle partitions, eight at least."""
+    conf = df.sparkSession.conf
+    partitions = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    return max(8, int(partitions) // 32)
+
+
+def salted_join(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]], how: str = "inner", salts: int | None = None) -> DataFrame:
     """Join ``df`` to a lookup with one row per key, each key's rows spread over ``salts`` tasks.
 
     Skewed partitions are split at run time only where both sides of a join come straight from
     a shuffle. A lookup that is itself an aggregate or window is not; it is repeated per salt
-    here instead, which costs ``salts`` copies of the lookup and no copy of ``df``."""
+    here instead, which costs ``salts`` copies of the lookup and no copy of ``df``. By default the
+    salts grow with the shuffle partitions, which a run fits to its largest table."""
+    salts = salts or default_salts(df)
     copies = lookup.withColumn(_COPY, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     match = [F.col(left) == F.col(right) for left, right in on] + [F.col(_SALT) == F.col(_COPY)]
     return df.withColumn(_SALT, row_bucket(df, salts)).join(copies, reduce(and_, match), how).drop(_SALT, _COPY)

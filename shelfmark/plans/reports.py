@@ -216,11 +216,13 @@ def suspect_categories(products: DataFrame) -> DataFrame:
 
 
 def store_mismatches(header: DataFrame, lines: DataFrame) -> DataFrame:
-    """Lines booked for another store than their header; both valid, which the join checks."""
-    h = header.select("Transaction_ID", F.col("Store_ID").alias("Header_Store_ID"), F.col(VALID).alias("h_valid"))
-    l = lines.select("Transaction_ID", F.col("Store_ID").alias("Line_Store_ID"), F.col(VALID).alias("l_valid"))
-    differ = (F.col("Header_Store_ID") != F.col("Line_Store_ID")) & (F.col("h_valid") + F.col("l_valid") == 2)
-    return h.join(l, "Transaction_ID").filter(differ).drop("h_valid", "l_valid")
+    """Valid lines booked for another store than their valid header.
+
+    Each side is reduced to its valid rows first: invalid ones share blank ids, and all of these
+    would meet."""
+    h = header.filter(F.col(VALID) == 1).select("Transaction_ID", F.col("Store_ID").alias("Header_Store_ID"))
+    l = lines.filter(F.col(VALID) == 1).select("Transaction_ID", F.col("Store_ID").alias("Line_Store_ID"))
+    return h.join(l, "Transaction_ID").filter(F.col("Header_Store_ID") != F.col("Line_Store_ID"))
 
 
 def sample(df: DataFrame, rows: int, *order: str) -> DataFrame:

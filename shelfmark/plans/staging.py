@@ -195,6 +195,8 @@ def customers_rules(clock: RunClock) -> list[Rule]:
         Rule("DQ_Phone_Valid", f"length(rtrim(Phone_Number)) >= {rules.SHORTEST_PHONE}", 10),
         Rule("Has_Missing_Email", "Email IS NULL"),
         Rule("Has_Missing_Phone", "Phone_Number IS NULL"),
+        # the whole id stays the key; ids longer than the source system allows are marked
+        Rule("Has_Long_Customer_ID", f"length(Customer_ID) > {rules.LONGEST_CUSTOMER_ID}"),
     ]
 
 
@@ -203,7 +205,7 @@ def stage_customers(raw: DataFrame, clock: RunClock) -> DataFrame:
         raw,
         {
             # normalized here, so that spellings of one id meet in the later dedupe
-            "Customer_ID": text.key(text.bounded("Customer_ID", 50)),
+            "Customer_ID": text.key("Customer_ID"),
             "Full_Name": text.blank_to_null("Full_Name"),
             "Gender": text.upper_text("Gender"),
             "Birthdate": dates.iso_date("Birthdate"),

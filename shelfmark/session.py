@@ -19,18 +19,14 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # the JVM never compiles a method above 8000 bytes of bytecode; wide cleaning projections
-    # that would exceed it are generated per operator instead, in methods that it does compile
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Only a new session can take these. Recording the caller of every column expression doubles
 # the time to build a wide plan.
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
-# stored (compressed) bytes per shuffle partition; beyond the limit partitions grow and spill
+# stored (compressed) bytes per shuffle partition
 PARTITION_BYTES = 64 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -46,7 +42,7 @@ def fit_shuffle(spark: SparkSession, largest_table_bytes: int) -> int:
     Adaptive execution merges partitions that turn out small, but never splits an ordinary
     shuffle that was started with too few."""
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(base, min(MOST_PARTITIONS, largest_table_bytes // PARTITION_BYTES + 1))
+    partitions = max(base, largest_table_bytes // PARTITION_BYTES + 1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return partitions
 

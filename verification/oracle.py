@@ -6,7 +6,9 @@ pulls in as it needs them."""
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
+from shelfmark.functions import rules
 from verification import feeds
 
 # whole numbers that can be missing are shown as double
@@ -73,9 +75,9 @@ def flag(condition: str) -> str:
     return f"coalesce({condition}, false)::INTEGER"
 
 
-def first_like(x: str, rules: str, rest: str) -> str:
-    """``rules`` is 'pattern>label; pattern>label'."""
-    arms = " ".join("WHEN {0} LIKE '{1}' THEN '{2}'".format(x, *(t.strip() for t in r.split(">"))) for r in rules.split(";"))
+def first_like(x: str, patterns: Sequence[tuple[str, str]], rest: str) -> str:
+    """The label of the first pattern that fits."""
+    arms = " ".join(f"WHEN {x} LIKE '{pattern}' THEN '{label}'" for pattern, label in patterns)
     return f"CASE {arms} ELSE {rest} END"
 
 
@@ -277,7 +279,7 @@ staged(
     "stg_customers",
     "raw_crm_customers",
     {
-        "Customer_ID": key("substr(Customer_ID, 1, 50)"),
+        "Customer_ID": key("Customer_ID"),
         "Full_Name": blank("Full_Name"),
         "Gender": f"upper({blank('Gender')})",
         "Birthdate": iso("Birthdate"),
@@ -297,6 +299,7 @@ staged(
         ("DQ_Phone_Valid", "length(rtrim(Phone_Number)) >= 10"),
         ("Has_Missing_Email", "Email IS NULL"),
         ("Has_Missing_Phone", "Phone_Number IS NULL"),
+        ("Has_Long_Customer_ID", "length(Customer_ID) > 50"),
     ],
     "DQ_Customer_ID_Valid + DQ_Full_Name_Valid + DQ_Registration_Date_Valid = 3",
 )
@@ -350,13 +353,12 @@ staged(
 )
 
 
-def weighed(weights: str) -> str:
-    """'20 Store_ID 15 City' as a weighted sum of DQ_.._Valid flags."""
-    words = weights.split()
-    return " + ".join(f"{w} * DQ_{c}_Valid" for w, c in zip(words[::2], words[1::2]))
+def weighed(weights: Sequence[tuple[str, int]]) -> str:
+    """Weighted sum of DQ_.._Valid flags."""
+    return " + ".join(f"{weight} * DQ_{column}_Valid" for column, weight in weights)
 
 
-def silver(name: str, source: str, by: str, columns: str, weights: str, valid: str, order: str = LATEST, only: str = "DQ_Is_Valid = 1") -> None:
+def silver(name: str, source: str, by: str, columns: str, weights: Sequence[tuple[str, int]], valid: str, order: str = LATEST, only: str = "DQ_Is_Valid = 1") -> None:
     CTE[name] = (
         f"SELECT {columns}, 1 AS Is_Valid, {weighed(weights)} AS DQ_Score, Batch_ID, Source_File FROM "
         f"(SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {order}) AS pos FROM {source} WHERE {only}) AS d "
@@ -373,11 +375,10 @@ silver(
     "stores", "stg_stores", "Store_ID",
     f"Store_ID, Store_Name, {cap('City')} AS City, upper(Region) AS Region, {_MANAGER} AS Store_Manager, "
     "Store_Area_sqm, Open_Date, Has_Multiple_Managers",
-    "20 Store_ID 20 Store_Name 15 City 15 Region 15 Store_Area 15 Open_Date",
+    (("Store_ID", 20), ("Store_Name", 20), ("City", 15), ("Region", 15), ("Store_Area", 15), ("Open_Date", 15)),
     "DQ_Store_Area_Valid = 1 AND DQ_Open_Date_Valid = 1",
 )
 
-_CHANNELS = "%ONLINE%>ONLINE; %IN%STORE%>IN-STORE; %STORE%>IN-STORE; %MIX%>MIXED"
 _GENDER = "CASE {0} WHEN 'F' THEN 'F' WHEN 'FEMALE' THEN 'F' WHEN 'M' THEN 'M' WHEN 'MALE' THEN 'M' WHEN 'O' THEN 'O' WHEN 'OTHER' THEN 'O' ELSE 'N/A' END"
 _PHONE = "CASE WHEN trim(Phone_Number)[1] = '+' THEN trim(Phone_Number) ELSE 'N/A' END"
 _NAME = "array_to_string([upper(w[1]) || lower(w[2:]) for w in string_split(trim(Full_Name), ' ')], ' ')"
@@ -386,56 +387,42 @@ silver(
     "customers", "stg_customers", "Customer_ID",
     f"Customer_ID, {_NAME} AS Full_Name, {_GENDER.format('Gender')} AS Gender, Birthdate, Registration_Date, "
     f"coalesce(upper(Email), 'N/A') AS Email, {_PHONE} AS Phone_Number, coalesce({cap('City')}, 'N/A') AS City, "
-    f"{first_like('Preferred_Channel', _CHANNELS, _UNKNOWN)} AS Preferred_Channel, "
+    f"{first_like('Preferred_Channel', rules.CHANNEL_PATTERNS, _UNKNOWN)} AS Preferred_Channel, "
     f"(Email IS NOT NULL)::INTEGER AS Has_Email, {_HAS_PHONE} AS Has_Phone",
-    "20 Customer_ID 15 Full_Name 10 Gender 15 Birthdate 15 Registration_Date 15 Email 10 Phone",
+    (("Customer_ID", 20), ("Full_Name", 15), ("Gender", 10), ("Birthdate", 15), ("Registration_Date", 15), ("Email", 15), ("Phone", 10)),
     "true",
 )
 
-_CATEGORIES = "F%>Food; CL%>Clothing; BEVE%>Beverages; H%E>Home; ELEC%>Electronics; E%S>Electronics"
-_SUBS = (
-    "W%N>Women; WO%>Women; ACC%>Accessories; SN%>Snacks; S%S>Snacks; MO%>Mobile; M%E>Mobile; M%N>Men; L%S>Laptops; "
-    "LPATOPS>Laptops; C%G>Cleaning; CLE%>Cleaning; S%A>Soda; SO%>Soda"
-)
-_PROMO = (
-    "%DISCOUNT%>DISCOUNT; %BOGO%>BOGO; %BUY%ONE%GET%>BOGO; %BUNDLE%>BUNDLE; %REDUCTION%>REDUCTION; %PRICE%CUT%>REDUCTION; "
-    "%SALE%>DISCOUNT; %OFF%>DISCOUNT"
-)
-_SKY = (
-    "%CLEAR%>CLEAR; %PARTLY%CLOUD%>PARTLY CLOUDY; %CLOUD%>CLOUDY; %OVERCAST%>CLOUDY; %RAIN%>RAINY; %DRIZZLE%>RAINY; "
-    "%SNOW%>SNOWY; %STORM%>STORMY; %THUNDER%>STORMY; %FOG%>FOGGY"
-)
-
 silver(
     "products", "stg_products", "Product_SKU",
-    f"Product_SKU, Product_Name, {first_like('Category', _CATEGORIES, 'Category')} AS Category, "
-    f"{first_like('Sub_Category', _SUBS, 'Sub_Category')} AS Sub_Category, Price, Cost_Price, Supplier_ID, "
+    f"Product_SKU, Product_Name, {first_like('Category', rules.CATEGORY_PATTERNS, 'Category')} AS Category, "
+    f"{first_like('Sub_Category', rules.SUB_CATEGORY_PATTERNS, 'Sub_Category')} AS Sub_Category, Price, Cost_Price, Supplier_ID, "
     f"coalesce(Last_Updated, {AS_OF}) AS Effective_From, NULL::DATE AS Effective_To, 1 AS Is_Current, 1 AS Version_Number, "
     "(Cost_Price IS NOT NULL)::INTEGER AS Has_Cost_Price, Has_Price_Issue",
-    "20 Product_SKU 15 Product_Name 15 Category 10 Sub_Category 20 Price 10 Cost_Price 10 Supplier_ID",
+    (("Product_SKU", 20), ("Product_Name", 15), ("Category", 15), ("Sub_Category", 10), ("Price", 20), ("Cost_Price", 10), ("Supplier_ID", 10)),
     "true",
     order=f"Last_Updated DESC NULLS LAST, {LATEST}",
 )
 silver(
     "promotions", "stg_promotions", "Promotion_ID",
-    f"Promotion_ID, Promo_Name, {first_like('Promo_Type', _PROMO, _OTHER)} AS Promo_Type, Start_Date, End_Date, "
+    f"Promotion_ID, Promo_Name, {first_like('Promo_Type', rules.PROMO_TYPE_PATTERNS, _OTHER)} AS Promo_Type, Start_Date, End_Date, "
     f"Promo_Cost, coalesce({key('Eligible_SKUs')}, 'N/A') AS Eligible_SKUs, Has_Multiple_SKUs, Has_Invalid_Date_Range",
-    "20 Promotion_ID 15 Promo_Name 15 Promo_Type 15 Start_Date 15 End_Date 10 Promo_Cost 10 Date_Range",
+    (("Promotion_ID", 20), ("Promo_Name", 15), ("Promo_Type", 15), ("Start_Date", 15), ("End_Date", 15), ("Promo_Cost", 10), ("Date_Range", 10)),
     "DQ_Promo_Cost_Valid = 1",
 )
 _LOCATION = "CASE WHEN starts_with(Retail_Location_ID, 'LOC_') THEN substr(Retail_Location_ID, 5) ELSE Retail_Location_ID END"
 silver(
     "weather", f"(SELECT *, {_LOCATION} AS Store_ID FROM stg_weather)", "Weather_Date, Store_ID",
-    f"Weather_Date, Store_ID, Temperature_C, Precipitation_mm, {first_like('Weather_Condition', _SKY, 'Weather_Condition')} AS Weather_Condition, "
+    f"Weather_Date, Store_ID, Temperature_C, Precipitation_mm, {first_like('Weather_Condition', rules.WEATHER_PATTERNS, 'Weather_Condition')} AS Weather_Condition, "
     "Has_Missing_Temperature, Is_Extreme_Temperature",
-    "25 Weather_Date 25 Retail_Location_ID 20 Temperature 15 Precipitation 15 Weather_Condition",
+    (("Weather_Date", 25), ("Retail_Location_ID", 25), ("Temperature", 20), ("Precipitation", 15), ("Weather_Condition", 15)),
     "DQ_Precipitation_Valid = 1",
 )
 silver(
     "inventory", "stg_inventory", "Product_SKU, Store_ID",
     "Inventory_ID, Product_SKU, Store_ID, Snapshot_Date, Quantity_On_Hand, Reorder_Level, Is_Below_Reorder_Level, "
     "Is_Negative_Quantity, Is_Outlier_Quantity, 1 AS Is_Latest_Snapshot",
-    "15 Inventory_ID 25 Product_SKU 20 Store_ID 15 Snapshot_Date 15 Quantity_On_Hand 10 Reorder_Level",
+    (("Inventory_ID", 15), ("Product_SKU", 25), ("Store_ID", 20), ("Snapshot_Date", 15), ("Quantity_On_Hand", 15), ("Reorder_Level", 10)),
     "DQ_Reorder_Level_Valid = 1 AND Product_SKU IN (SELECT Product_SKU FROM stg_products WHERE DQ_Is_Valid = 1) "
     "AND Store_ID IN (SELECT Store_ID FROM stg_stores WHERE DQ_Is_Valid = 1)",
     order=f"Snapshot_Date DESC NULLS LAST, {LATEST}",
@@ -445,8 +432,7 @@ silver(
     "headers", "stg_header", "Transaction_ID",
     "Transaction_ID, Transaction_Date, Transaction_TS, Store_ID, coalesce(Customer_ID, 'N/A') AS Customer_ID, Payment_Method, "
     "Total_Amount, Total_Discount, Line_Count, Is_Walk_In, Has_Discount",
-    "15 Transaction_ID 15 Transaction_Date 10 Transaction_TS 15 Store_ID 10 Customer_ID 10 Payment_Method 15 Total_Amount "
-    "5 Total_Discount 5 Line_Count",
+    (("Transaction_ID", 15), ("Transaction_Date", 15), ("Transaction_TS", 10), ("Store_ID", 15), ("Customer_ID", 10), ("Payment_Method", 10), ("Total_Amount", 15), ("Total_Discount", 5), ("Line_Count", 5)),
     "Store_ID IN (SELECT Store_ID FROM stores)",
 )
 silver(
@@ -454,8 +440,7 @@ silver(
     "Transaction_Line_ID, Transaction_ID, Line_Number, Product_SKU, Store_ID, Quantity, Unit_Price, Cost_Price, "
     "coalesce(nullif(Discount_Amount, 0), Unit_Price * Quantity - Line_Sales_Amount)::DECIMAL(18,2) AS Discount_Amount, Line_Sales_Amount, Promotion_ID, "
     "Is_Negative_Quantity AS Is_Return, Is_Outlier_Quantity, Has_Discount, Has_Promotion, Has_Price_Issue",
-    "10 Transaction_Line_ID 15 Transaction_ID 5 Line_Number 15 Product_SKU 10 Store_ID 10 Quantity 15 Unit_Price 10 Cost_Price "
-    "10 Line_Sales_Amount",
+    (("Transaction_Line_ID", 10), ("Transaction_ID", 15), ("Line_Number", 5), ("Product_SKU", 15), ("Store_ID", 10), ("Quantity", 10), ("Unit_Price", 15), ("Cost_Price", 10), ("Line_Sales_Amount", 10)),
     "true",
 )
 
@@ -628,19 +613,14 @@ _DISCOUNT = money("Discount_Amount", "Total_Discount") + ", "
 _BUYERS = "count(DISTINCT Customer_ID) AS Unique_Customers"
 _YM = "year(Transaction_Date) AS Year, month(Transaction_Date) AS Month"
 
-_CODES = (
-    "0 Clear;1 Mainly Clear;2 Partly Cloudy;3 Overcast;45 Foggy;48 Foggy;51 Light Drizzle;53 Moderate Drizzle;55 Dense Drizzle;"
-    "61 Slight Rain;63 Moderate Rain;65 Heavy Rain;71 Slight Snow;73 Moderate Snow;75 Heavy Snow;95 Thunderstorm"
-)
-
-
 def decoded(code: str) -> str:
-    arms = " ".join(f"WHEN {c.split(' ', 1)[0]} THEN '{c.split(' ', 1)[1]}'" for c in _CODES.split(";"))
-    return f"CASE {code} {arms} ELSE 'Unknown' END"
+    arms = " ".join(f"WHEN {number} THEN '{label}'" for number, label in rules.WEATHER_CODES.items())
+    return f"CASE {code} {arms} ELSE '{rules.WEATHER_CODE_DEFAULT}' END"
 
 
-def located(values: str, default: str) -> str:
-    arms = " ".join(f"WHEN '{v.split()[0]}' THEN {v.split()[1]}" for v in values.split(","))
+def located(position: int, default: float) -> str:
+    """Latitude (1) or longitude (2) of a city."""
+    arms = " ".join(f"WHEN '{place[0]}' THEN {place[position]}" for place in rules.CITY_COORDINATES)
     return f"CAST(CASE trim(City) {arms} ELSE {default} END AS DOUBLE)"
 
 
@@ -676,7 +656,7 @@ _ALWAYS = [("accepted_values(Is_Valid)", "Is_Valid <> 1"), rule("DQ_Score BETWEE
 
 ORACLE_BODIES: dict[str, str] = {
     "clean_keys": f"SELECT Raw_ID, {key('Transaction_ID')} AS Transaction_ID, {opt_key('Customer_ID')} AS Customer_ID, {key('Payment_Method')} AS Payment_Method, coalesce({opt_key('Customer_ID')}, 'N/A') AS Customer_Or_NA FROM raw_pos_transactions_header",
-    "clean_contacts": f"SELECT Raw_ID, substr(Customer_ID, 1, 3) AS Customer_Prefix, trim(City) AS City_Trimmed, {blank('Full_Name')} AS Full_Name, lower({blank('Email')}) AS Email, upper({blank('Preferred_Channel')}) AS Preferred_Channel, {na('City')} AS City_Or_NA, CAST(length(rtrim(Phone_Number)) AS DOUBLE) AS Phone_Length FROM raw_crm_customers",
+    "clean_contacts": f"SELECT Raw_ID, substr(Customer_ID, 1, 50) AS Customer_Prefix, trim(City) AS City_Trimmed, {blank('Full_Name')} AS Full_Name, lower({blank('Email')}) AS Email, upper({blank('Preferred_Channel')}) AS Preferred_Channel, {na('City')} AS City_Or_NA, CAST(length(rtrim(Phone_Number)) AS DOUBLE) AS Phone_Length FROM raw_crm_customers",
     "parse_currency": f"SELECT Raw_ID, CAST({amount('Unit_Price', _LM)} AS DOUBLE) AS Unit_Price, CAST({amount('Cost_Price', _LM)} AS DOUBLE) AS Cost_Price, CAST({opt_amount('Discount_Amount', _LM)} AS DOUBLE) AS Discount_Amount, coalesce(CAST({opt_amount('Discount_Amount', _LM)} AS DOUBLE), 0) AS Discount_Or_Zero, CAST({amount('Line_Sales_Amount', _LM)} AS DOUBLE) AS Line_Sales_Amount FROM raw_pos_transactions_lines",
     "parse_header_amounts": f"SELECT Raw_ID, CAST({amount('Total_Amount')} AS DOUBLE) AS Total_Amount, CAST({opt_amount('Total_Discount')} AS DOUBLE) AS Total_Discount, CAST({whole('Line_Count')} AS DOUBLE) AS Line_Count FROM raw_pos_transactions_header",
     "safe_casts": f"SELECT {out('n:Raw_ID n:Quantity_On_Hand n:Reorder_Level d:Snapshot_Date')} FROM stg_inventory",
@@ -686,10 +666,10 @@ ORACLE_BODIES: dict[str, str] = {
     "list_head": "SELECT Raw_ID, coalesce(nullif(trim(split_part(Store_Manager, ';', 1)), ''), 'N/A') AS Store_Manager FROM raw_erp_stores",
     "prefix_strip": f"SELECT Raw_ID, regexp_replace({key('Retail_Location_ID')}, '^LOC_', '') AS Store_ID FROM raw_api_weather",
     "phone_filter": f"SELECT Raw_ID, {_PHONE} AS Phone_Number FROM raw_crm_customers",
-    "standardize_products": f"SELECT Raw_ID, {first_like('Category', _CATEGORIES, 'Category')} AS Category, {first_like('Sub_Category', _SUBS, 'Sub_Category')} AS Sub_Category FROM stg_products",
-    "standardize_promo_types": f"SELECT Raw_ID, {first_like('Promo_Type', _PROMO, _OTHER)} AS Promo_Type FROM stg_promotions",
-    "standardize_weather": f"SELECT Raw_ID, {first_like('Weather_Condition', _SKY, 'Weather_Condition')} AS Weather_Condition FROM stg_weather",
-    "standardize_customers": f"SELECT Raw_ID, {_GENDER.format(key('Gender'))} AS Gender, {first_like(key('Preferred_Channel'), _CHANNELS, _UNKNOWN)} AS Preferred_Channel FROM raw_crm_customers",
+    "standardize_products": f"SELECT Raw_ID, {first_like('Category', rules.CATEGORY_PATTERNS, 'Category')} AS Category, {first_like('Sub_Category', rules.SUB_CATEGORY_PATTERNS, 'Sub_Category')} AS Sub_Category FROM stg_products",
+    "standardize_promo_types": f"SELECT Raw_ID, {first_like('Promo_Type', rules.PROMO_TYPE_PATTERNS, _OTHER)} AS Promo_Type FROM stg_promotions",
+    "standardize_weather": f"SELECT Raw_ID, {first_like('Weather_Condition', rules.WEATHER_PATTERNS, 'Weather_Condition')} AS Weather_Condition FROM stg_weather",
+    "standardize_customers": f"SELECT Raw_ID, {_GENDER.format(key('Gender'))} AS Gender, {first_like(key('Preferred_Channel'), rules.CHANNEL_PATTERNS, _UNKNOWN)} AS Preferred_Channel FROM raw_crm_customers",
     "calendar_dimension": """
 SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS Date_SK, CAST(d AS VARCHAR) AS Date_Value, year(d) AS Year, quarter(d) AS Quarter,
   'Q' || quarter(d) AS Quarter_Name, quarter(d) AS Quarter_Sort, month(d) AS Month, monthname(d) AS Month_Name, monthname(d)[1:3] AS Month_Short,
@@ -829,7 +809,7 @@ SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS Date_SK, CAST(d AS VARCHAR) AS D
     "weather_decode": f"SELECT event_id, event_id % 100 AS code, {decoded('event_id % 100')} AS Weather_Condition FROM events",
     "payload_flatten": f"SELECT event_id, Store_ID, Weather_Date, Temperature_C, Precipitation_mm, {decoded('code')} AS Weather_Condition FROM flat",
     "weather_load_profile": "SELECT count(*) AS Total_Records, min(Weather_Date) AS First_Date, max(Weather_Date) AS Last_Date, count(DISTINCT Store_ID) AS Stores_Covered, count(*) FILTER (WHERE Temperature_C IS NULL) AS Missing_Temperature FROM flat",
-    "city_coordinates": f"SELECT Raw_ID, City, {located('Cairo 30.0444,Giza 29.9870,Alexandria 31.2001,Riyadh 24.7136,Jeddah 21.4858,Dubai 25.2048,Doha 25.2854', '25.0')} AS Latitude, {located('Cairo 31.2357,Giza 31.2118,Alexandria 29.9187,Riyadh 46.6753,Jeddah 39.1925,Dubai 55.2708,Doha 51.5310', '45.0')} AS Longitude FROM raw_erp_stores",
+    "city_coordinates": f"SELECT Raw_ID, City, {located(1, rules.DEFAULT_LATITUDE)} AS Latitude, {located(2, rules.DEFAULT_LONGITUDE)} AS Longitude FROM raw_erp_stores",
     "scd2_history": f"""SELECT Product_SKU, CAST(Price AS DOUBLE) AS Price, CAST(Cost_Price AS DOUBLE) AS Cost_Price, CAST(Last_Updated AS VARCHAR) AS Effective_From,
   CAST(CAST(lead(Last_Updated) OVER w - INTERVAL 1 DAY AS DATE) AS VARCHAR) AS Effective_To, (lead(Last_Updated) OVER w IS NULL)::BIGINT AS Is_Current,
   row_number() OVER w AS Version_Number FROM changes WINDOW w AS (PARTITION BY Product_SKU ORDER BY Last_Updated)""",

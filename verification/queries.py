@@ -189,7 +189,7 @@ def _(b: Build):
 def _(b: Build):
     return b.raw("crm_customers").select(
         "Raw_ID",
-        text.bounded("Customer_ID", 3).alias("Customer_Prefix"),
+        text.bounded("Customer_ID", rules.LONGEST_CUSTOMER_ID).alias("Customer_Prefix"),
         F.trim("City").alias("City_Trimmed"),
         text.blank_to_null("Full_Name").alias("Full_Name"),
         text.lower_text("Email").alias("Email"),
