@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from shelfmark.clock import RunClock
 from shelfmark.plans import warehouse
+from shelfmark.schemas import GOLD
 from shelfmark.sources.lake import Lake
 
 
@@ -22,11 +23,15 @@ def main() -> int:
     clock = RunClock.on(options.as_of) if options.as_of else RunClock.now()
     spark = SparkSession.builder.appName("shelfmark").getOrCreate()
     lake = Lake(spark, options.lake_root)
-    loaded = warehouse.run(lake, options.raw_dir, clock, not options.append, options.mask_contacts)
-    for file, ok in loaded.items():
-        print(f"{'loaded' if ok else 'FAILED'} {file}")
-    warehouse.check_all(lake).filter("Failures > 0").show(200, truncate=False)
-    return 0 if all(loaded.values()) else 1
+    try:
+        warehouse.run(lake, options.raw_dir, clock, not options.append, options.mask_contacts)
+    except warehouse.LoadFailed as failure:
+        print(failure)
+        return 1
+    name = lake.name(GOLD, "quality_report")
+    failed = lake.read(GOLD, "quality_report").filter("Failures > 0").count()
+    print(f"{failed} checks failed; all results are in {name}")
+    return 1 if failed else 0
 
 
 if __name__ == "__main__":

@@ -77,6 +77,8 @@ def sales_monthly(fact: DataFrame, products: DataFrame) -> DataFrame:
     lines = fact.join(category, "Product_SKU").withColumns(
         {"Year": F.year("Transaction_Date"), "Month": F.month("Transaction_Date")}
     )
+    # one shuffle of the lines: both sums below are by keys that hold the transaction
+    lines = lines.repartition("Transaction_ID")
     base = lines.groupBy("Year", "Month", "Store_ID", "Category", "Transaction_ID", "Customer_ID").agg(*_line_sums())
     # one copy of each summed row per level, instead of one per level and distinct count
     levels = F.array(
@@ -104,6 +106,8 @@ def sales_monthly(fact: DataFrame, products: DataFrame) -> DataFrame:
 def product_performance(fact: DataFrame) -> DataFrame:
     """Per product, store and month; NULL store means all stores."""
     lines = fact.withColumns({"Year": F.year("Transaction_Date"), "Month": F.month("Transaction_Date")})
+    # one shuffle of the lines, as above; copies for the levels stay where they are
+    lines = lines.repartition("Transaction_ID")
     per_transaction = lines.groupBy("Product_SKU", "Year", "Month", "Store_ID", "Transaction_ID").agg(
         *_line_sums(), F.sum(cents("Unit_Price")).alias("Price_Sum")
     )

@@ -102,8 +102,10 @@ def promotion_effect(fact: DataFrame, promotions: DataFrame) -> DataFrame:
 def weather_impact(fact: DataFrame, weather: DataFrame, dates: DataFrame, year: int) -> DataFrame:
     days = weather.select(F.col("Weather_Date").alias("Transaction_Date"), "Store_ID", "Weather_Condition", "Temperature_C")
     in_year = dates.filter(F.col("Year") == year)
-    # the year is also put to the fact's own date, which its scan can use
+    # the year is also put to the fact's own date and to the month it is stored by, which its scan can use
     lines = fact.filter(F.col("Transaction_Date").between(F.lit(f"{year}-01-01").cast("date"), F.lit(f"{year}-12-31").cast("date")))
+    if "Sales_Month" in fact.columns:
+        lines = lines.filter(F.col("Sales_Month").between(year * 100 + 1, year * 100 + 12))
     return (
         _on_date(lines, in_year, "Transaction_Date")
         .join(days, ["Transaction_Date", "Store_ID"])

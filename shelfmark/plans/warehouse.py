@@ -6,11 +6,13 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfmark.clock import RunClock
 from shelfmark.operators.checks import run_checks
 from shelfmark.operators.surrogate import dense_key, hash_key
 from shelfmark.plans import aggregates, contracts, gold, silver
+from shelfmark.plans.reports import enough_fact_rows
 from shelfmark.plans.staging import STAGERS
 from shelfmark.schemas import ENTITIES, GOLD, RAW, SILVER, STAGING
 from shelfmark.session import fit_shuffle, tune
@@ -119,11 +121,33 @@ def check_all(lake: Lake) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+class LoadFailed(RuntimeError):
+    """Some files could not be loaded; `loaded` has the status per file."""
+
+    def __init__(self, loaded: dict[str, bool]) -> None:
+        super().__init__(f"not loaded: {[file for file, ok in loaded.items() if not ok]}")
+        self.loaded = loaded
+
+
+def store_quality(lake: Lake) -> DataFrame:
+    """Store the report of all checks with the row gate of the fact, and return what failed."""
+    gate = enough_fact_rows(lake.read(GOLD, "fact_sales"))
+    short = gate.select(
+        F.lit("fact_sales").alias("Table_Name"), F.lit("least_rows").alias("Check_Name"), (1 - F.col("Passed")).cast("long").alias("Failures")
+    )
+    return lake.refresh(GOLD, "quality_report", check_all(lake).unionByName(short)).filter("Failures > 0")
+
+
 def run(lake: Lake, raw_dir: str, clock: RunClock, truncate: bool = True, mask_contacts: bool = False) -> dict[str, bool]:
-    """Load the files and rebuild every table; returns the load status per file."""
+    """Load the files and rebuild every table; returns the load status per file.
+
+    A file that cannot be loaded stops the run before anything is rebuilt, so the published
+    tables never mix the data of two days. The report of the checks is stored at the end."""
     tune(lake.spark)
     lake.create_layers()
     loaded = load_all(lake, raw_dir, clock.run_ts, truncate)
+    if not all(loaded.values()):
+        raise LoadFailed(loaded)
     missing = [e.file for e in ENTITIES.values() if not lake.exists(RAW, e.table)]
     if missing:
         raise RuntimeError(f"no raw data for {missing}")
@@ -132,4 +156,5 @@ def run(lake: Lake, raw_dir: str, clock: RunClock, truncate: bool = True, mask_c
     refine_all(lake, clock, mask_contacts)
     publish_all(lake, clock)
     aggregate_all(lake, clock)
+    store_quality(lake)
     return loaded

@@ -12,8 +12,15 @@ from pyspark.sql import types as T
 from shelfmark.schemas import ENTITIES, ENTITY_BY_FILE, MANIFEST_SCHEMA, MANIFEST_TABLE, RAW, Entity
 from shelfmark.sources.lake import Lake
 
-# Texts that an exporting tool writes for a missing value.
-TEXT_NULLS = ("nan", "None")
+# Texts that a file reader takes for a missing value.
+TEXT_NULLS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+    "NaN", "None", "n/a", "nan", "null",
+)
+
+# Quotes are doubled inside quoted text, which may hold line breaks. A record with another number
+# of fields than the header fails the load; nothing of it is stored.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST"}
 
 
 def batch_id(source: str, entity: str, at: dt.datetime) -> str:
@@ -28,15 +35,15 @@ def entity_for(file_name: str) -> Entity:
 
 
 def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a headered file; reads its first line only."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    """Column names of a headered file; reads its first record only."""
+    return spark.read.options(**CSV_OPTIONS).option("inferSchema", False).csv(path).columns
 
 
 def read_csv_text(spark: SparkSession, path: str, entity: Entity, names: Iterable[str] | None = None) -> DataFrame:
     """A headered CSV as text columns of the entity, whatever the column order in the file."""
     present = list(names) if names is not None else header_columns(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in present])
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
     for alias, column in entity.aliases:
         if alias in present and column not in present:
             df = df.withColumnRenamed(alias, column)
@@ -52,9 +59,9 @@ def text_nulls_removed(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def to_raw(df: DataFrame, entity: Entity, batch: str, loaded_at: dt.datetime, file_name: str | None = None, first_id: int = 0) -> DataFrame:
     """Raw rows of one load: text columns, lineage, and an id that grows with the file order."""
-    file_column = F.lit(file_name) if file_name else F.col("_metadata.file_name")
-    # the file name has to be taken off the scan before other projections hide it
-    df = df.withColumn("Source_File", file_column)
+    if file_name or "Source_File" not in df.columns:
+        # the file name has to be taken off the scan before other projections hide it
+        df = df.withColumn("Source_File", F.lit(file_name) if file_name else F.col("_metadata.file_name"))
     df = text_nulls_removed(df, entity.columns)
     return df.select(
         (F.monotonically_increasing_id() + F.lit(first_id)).alias("Raw_ID"),
@@ -72,7 +79,7 @@ def next_raw_id(lake: Lake, table: str) -> int:
     return 0 if last is None else last + 1
 
 
-def _manifest_row(spark: SparkSession, entity: Entity, batch: str, rows: int, start, end, status: str, error: str | None):
+def manifest_row(spark: SparkSession, entity: Entity, batch: str, rows: int, start, end, status: str, error: str | None):
     return spark.createDataFrame(
         [(batch, entity.source, entity.entity, entity.file, rows, start, end, status, error)], MANIFEST_SCHEMA
     )
@@ -83,7 +90,7 @@ def load_file(lake: Lake, path: str, entity: Entity, loaded_at: dt.datetime, tru
     spark = lake.spark
     batch = batch_id(entity.source, entity.entity, loaded_at)
     started = dt.datetime.now()
-    lake.append(RAW, MANIFEST_TABLE, _manifest_row(spark, entity, batch, 0, started, None, "STARTED", None))
+    lake.append(RAW, MANIFEST_TABLE, manifest_row(spark, entity, batch, 0, started, None, "STARTED", None))
     try:
         seen = Observation()
         first_id = 0 if truncate else next_raw_id(lake, entity.table)
@@ -95,8 +102,8 @@ def load_file(lake: Lake, path: str, entity: Entity, loaded_at: dt.datetime, tru
             lake.append(RAW, entity.table, raw)
         status, rows, error = "COMPLETED", seen.get["rows"], None
     except Exception as problem:  # any failed load is reported, the other files go on
-        status, rows, error = "FAILED", 0, str(problem).split("\n")[0][:1000]
-    row = _manifest_row(spark, entity, batch, rows, started, dt.datetime.now(), status, error)
+        status, rows, error = "FAILED", 0, str(problem)
+    row = manifest_row(spark, entity, batch, rows, started, dt.datetime.now(), status, error)
     lake.append(RAW, MANIFEST_TABLE, row)
     return status == "COMPLETED"
 

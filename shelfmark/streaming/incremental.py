@@ -5,29 +5,38 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.schemas import RAW, Entity
+from shelfmark.schemas import MANIFEST_TABLE, RAW, Entity
 from shelfmark.sources.lake import Lake
-from shelfmark.sources.landing import batch_id, next_raw_id, to_raw
+from shelfmark.sources.landing import CSV_OPTIONS, manifest_row, next_raw_id, to_raw
 
 
 def land_new_files(lake: Lake, folder: str, entity: Entity, checkpoint: str, loaded_at: dt.datetime, columns: list[str] | None = None):
     """Append files not seen before to the raw table, then stop.
 
-    A batch that is run again after a failure appends its rows again; they share their key and
-    are reduced to one by the silver dedupe, as repeated rows of any load are.
-    ``columns`` is the column order of the files, the entity's own order by default."""
+    ``columns`` is the column order of the files, the entity's own order by default; a file whose
+    header says otherwise fails the batch instead of being read in the wrong order. Each batch
+    has its manifest row and is known by its number in the checkpoint, so a batch that is run
+    again after a failure is not stored twice."""
     spark: SparkSession = lake.spark
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (columns or entity.columns)])
-    files = spark.readStream.schema(schema).option("header", True).csv(folder)
-    batch = batch_id(entity.source, entity.entity, loaded_at)
+    files = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", False).csv(folder)
+    files = files.withColumn("Source_File", F.col("_metadata.file_name"))
 
     def append(rows, epoch: int) -> None:
         # the stream has a session of its own, with its own view of the table's files
         own = Lake(rows.sparkSession, lake.root, lake.prefix)
-        raw = to_raw(rows, entity, f"{batch}_{epoch}", loaded_at, entity.file, next_raw_id(own, entity.table))
-        own.append(RAW, entity.table, raw)
+        batch = f"{entity.source.lower()}_{entity.entity}_stream_{epoch}"
+        stored = own.exists(RAW, entity.table) and not own.read(RAW, entity.table).filter(F.col("Batch_ID") == batch).isEmpty()
+        started = dt.datetime.now()
+        if not stored:
+            raw = to_raw(rows, entity, batch, loaded_at, None, next_raw_id(own, entity.table))
+            own.append(RAW, entity.table, raw)
+        found = own.read(RAW, entity.table).filter(F.col("Batch_ID") == batch).count()
+        row = manifest_row(own.spark, entity, batch, found, started, dt.datetime.now(), "COMPLETED", None)
+        own.append(RAW, MANIFEST_TABLE, row)
 
     query = (
         files.writeStream.foreachBatch(append)
@@ -36,6 +45,7 @@ def land_new_files(lake: Lake, folder: str, entity: Entity, checkpoint: str, loa
         .start()
     )
     query.awaitTermination()
-    if lake.exists(RAW, entity.table):
-        spark.catalog.refreshTable(lake.name(RAW, entity.table))
+    for table in (entity.table, MANIFEST_TABLE):
+        if lake.exists(RAW, table):
+            spark.catalog.refreshTable(lake.name(RAW, table))
     return query

@@ -150,3 +150,63 @@ def test_samples(raw):
     sky = raw("api_weather", [SAMPLE["api_weather"], {**SAMPLE["api_weather"], "Temperature_C": None}])
     assert reports.missing_temperature_sample(sky).count() == 1
     assert reports.dirty_header_sample(raw("pos_transactions_header", [SAMPLE["pos_transactions_header"]] * 7)).count() == 5
+
+
+def test_quoted_csv_text(lake, tmp_path):
+    entity = ENTITIES["erp_stores"]
+    path = str(tmp_path / entity.file)
+    rows = [
+        {**SAMPLE["erp_stores"], "Store_ID": "S1", "Store_Name": 'The "Big" one, north', "City": "two\nlines"},
+        {**SAMPLE["erp_stores"], "Store_ID": "S2", "Store_Manager": "NA", "Region": "n/a", "City": "null"},
+    ]
+    write_csv(path, list(entity.columns)[::-1], rows)
+    lake.create_layers()
+    assert landing.load_file(lake, path, entity, dt.datetime(2025, 1, 1))
+    got = {r["Store_ID"]: r for r in lake.read(RAW, entity.table).collect()}
+    assert got["S1"]["Store_Name"] == 'The "Big" one, north' and got["S1"]["City"] == "two\nlines"
+    assert got["S2"]["Store_Manager"] is None and got["S2"]["Region"] is None and got["S2"]["City"] is None
+
+
+def test_a_broken_record_fails_the_load_with_its_whole_error(lake, tmp_path):
+    entity = ENTITIES["erp_stores"]
+    path = tmp_path / entity.file
+    path.write_text(",".join(entity.columns) + "\na,b\n")
+    lake.create_layers()
+    assert not landing.load_file(lake, str(path), entity, dt.datetime(2025, 1, 1))
+    errors = [r["Error_Message"] for r in lake.read(RAW, MANIFEST_TABLE).collect() if r["Error_Message"]]
+    assert len(errors) == 1 and len(errors[0].split("\n")) > 1
+
+
+def test_nothing_is_published_after_a_failed_load(lake, tmp_path):
+    files = tmp_path / "in"
+    files.mkdir()
+    write_all(files)
+    warehouse.run(lake, str(files), RunClock.on("2025-01-01"))
+    before = sorted(map(str, lake.read(GOLD, "fact_sales").collect()))
+    report = {(r["Table_Name"], r["Check_Name"]): r["Failures"] for r in lake.read(GOLD, "quality_report").collect()}
+    assert report["fact_sales", "least_rows"] == 1 and len(report) > 50
+    write_all(files, pos_transactions_lines=[{**SAMPLE["pos_transactions_lines"], "Transaction_Line_ID": "l9"}])
+    (files / "pos_transactions_header.csv").write_text("broken\n1\n")
+    with pytest.raises(warehouse.LoadFailed) as failure:
+        warehouse.run(lake, str(files), RunClock.on("2025-01-02"))
+    assert failure.value.loaded["pos_transactions_header.csv"] is False and failure.value.loaded["erp_stores.csv"]
+    assert sorted(map(str, lake.read(GOLD, "fact_sales").collect())) == before
+
+
+def test_streamed_files_keep_their_name_and_have_a_manifest(lake, tmp_path):
+    entity = ENTITIES["erp_stores"]
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    lake.create_layers()
+    write_csv(folder / "a.csv", entity.columns, [SAMPLE["erp_stores"]] * 2)
+    land_new_files(lake, str(folder), entity, str(tmp_path / "check"), dt.datetime(2025, 1, 1))
+    assert [r["Source_File"] for r in lake.read(RAW, entity.table).collect()] == ["a.csv"] * 2
+    assert [(r["Row_Count"], r["Load_Status"]) for r in lake.read(RAW, MANIFEST_TABLE).collect()] == [(2, "COMPLETED")]
+    # the same batch again, as after a failure before its commit
+    land_new_files(lake, str(folder), entity, str(tmp_path / "another"), dt.datetime(2025, 1, 2))
+    assert lake.count(RAW, entity.table) == 2
+    # columns in another order fail instead of being read wrongly
+    write_csv(folder / "b.csv", list(entity.columns)[::-1], [SAMPLE["erp_stores"]])
+    with pytest.raises(Exception):
+        land_new_files(lake, str(folder), entity, str(tmp_path / "check"), dt.datetime(2025, 1, 3))
+    assert lake.count(RAW, entity.table) == 2
