@@ -467,9 +467,11 @@ def composed_pages(n: int = COMPOSED, seed: int = 5) -> list[tuple[list[Block],
 
 
 def training_pages(pages: DataFrame) -> list[str]:
-    """At most SAMPLE pages of the table."""
+    """At most SAMPLE pages of the table, those with the least hashes. Pages are counted first, and only
+    hashes so low that about four times as many are expected are ranked."""
     usable = pages.where(F.length("html").between(1, SAMPLE_CHARS)).select(F.xxhash64("page_id", "html").alias("_o"), "html")
-    return [r["html"] for r in usable.orderBy("_o").limit(SAMPLE).collect()]
+    highest = min(2**64 * 4 * SAMPLE // max(usable.count(), 1), 2**64 - 1) - 2**63
+    return [r["html"] for r in usable.where(F.col("_o") <= highest).orderBy("_o").limit(SAMPLE).collect()]
 
 
 def fit(pages: DataFrame) -> Weights:
