@@ -19,36 +19,62 @@ def _iso_shaped(text: Column) -> Column:
     return (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
 
 
+def _compact(text: Column) -> Column:
+    """'yyyyMMdd' in ISO order, otherwise NULL."""
+    digits = (F.length(text) == 8) & (F.translate(text, "0123456789", "") == "")
+    return F.when(digits, F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)))
+
+
+def _day_time(time: Column) -> Column:
+    """A time of day with AM or PM as one of 24 hours; any other text as it is."""
+    upper = F.upper(F.trim(time))
+    half = F.right(upper, F.lit(2))
+    clock = F.trim(F.substring_index(F.substring_index(upper, "AM", 1), "PM", 1))
+    hour = F.substring_index(clock, ":", 1).try_cast("int")
+    shifted = hour % 12 + F.when(half == "PM", 12).otherwise(0)
+    written = F.concat(F.lit(" "), F.lpad(shifted.cast("string"), 2, "0"), F.substr(clock, F.length(F.substring_index(clock, ":", 1)) + 1))
+    return F.when(half.isin("AM", "PM") & hour.between(1, 12), written).otherwise(time)
+
+
+def _separated(text: Column, day_first: bool) -> Column:
+    """The timestamp of two short numbers and a year between '/', '-' or '.', with an optional time:
+    month first, and day first where that is no date and `day_first` allows it."""
+    token = F.translate(F.substring_index(text, " ", 1), "-.", "//")
+    first = F.substring_index(token, "/", 1)
+    second = F.substring_index(F.substring_index(token, "/", 2), "/", -1)
+    year = F.substring_index(token, "/", -1)
+    time = _day_time(F.substr(text, F.length(token) + 1))
+    shaped = (F.length(F.translate(token, "/", "")) == F.length(token) - 2) & (F.length(year) == 4) & (F.length(first) <= 2)
+
+    def arranged(month: Column, day: Column) -> Column:
+        return F.concat(year, F.lit("-"), month, F.lit("-"), day, time).try_cast("timestamp_ntz")
+
+    found = F.coalesce(arranged(first, second), arranged(second, first)) if day_first else arranged(first, second)
+    return F.when(shaped, found)
+
+
 def iso_date(c: Column | str) -> Column:
-    """The date of 'yyyy-MM-dd' with an optional time of day."""
+    """The date of 'yyyy-MM-dd' with an optional time of day, of 'yyyyMMdd', or month first with
+    '/', '-' or '.' between."""
     text = F.trim(as_col(c))
-    return F.when(_iso_shaped(text), text.try_cast("timestamp_ntz").cast("date"))
+    iso = F.when(_iso_shaped(text), text.try_cast("timestamp_ntz"))
+    return F.coalesce(iso, _compact(text).try_cast("timestamp_ntz"), _separated(text, False)).cast("date")
 
 
 def _mixed(c: Column | str, sql_type: str) -> Column:
     text = F.trim(as_col(c))
-    first = F.substring_index(text, "/", 1)
-    second = F.substring_index(F.substring_index(text, "/", 2), "/", -1)
-    year_and_time = F.substring_index(text, "/", -1)
-    two_slashes = F.length(F.translate(text, "/", "")) == F.length(text) - 2
-    four_digit_year = F.substring(year_and_time, 5, 1).isin("", " ")
-    year, time = F.substring(year_and_time, 1, 4), F.substr(year_and_time, F.lit(5))
-
-    def arranged(month: Column, day: Column) -> Column:
-        return F.concat(year, F.lit("-"), month, F.lit("-"), day, time).try_cast("timestamp_ntz")
-
-    slashed = F.coalesce(arranged(first, second), arranged(second, first))
-    found = F.when(two_slashes & four_digit_year, slashed).when(_iso_shaped(text), text.try_cast("timestamp_ntz"))
-    return found.cast(sql_type)
+    iso = F.when(_iso_shaped(text), text.try_cast("timestamp_ntz"))
+    return F.coalesce(_separated(text, True), iso, _compact(text).try_cast("timestamp_ntz")).cast(sql_type)
 
 
 def mixed_date(c: Column | str) -> Column:
-    """Month first, then day first, then ISO: '03/04/2024' is March 4."""
+    """Month first, then day first, then ISO or compact: '03/04/2024' is March 4. Separators may be
+    '/', '-' or '.'."""
     return _mixed(c, "date")
 
 
 def mixed_timestamp(c: Column | str) -> Column:
-    """As :func:`mixed_date`, with an optional time of day."""
+    """As :func:`mixed_date`, with an optional time of day, of 24 hours or with AM or PM."""
     return _mixed(c, "timestamp")
 
 

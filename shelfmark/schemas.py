@@ -41,8 +41,8 @@ class Entity:
         )
 
 
-def _entity(table: str, source: str, entity: str, columns: str, **options) -> Entity:
-    return Entity(f"{table}.csv", table, source, entity, tuple(columns.split()), **options)
+def _entity(table: str, source: str, entity: str, columns: tuple[str, ...], **options) -> Entity:
+    return Entity(f"{table}.csv", table, source, entity, columns, **options)
 
 
 # Files, tables and column names of the source systems.
@@ -51,37 +51,60 @@ ENTITIES = {
     for e in (
         _entity(
             "pos_transactions_header", "POS", "transactions_header",
-            "Transaction_ID Transaction_Date Transaction_TS Store_ID Customer_ID Payment_Method "
-            "Total_Amount Total_Discount Line_Count",
+            (
+                "Transaction_ID", "Transaction_Date", "Transaction_TS", "Store_ID", "Customer_ID",
+                "Payment_Method", "Total_Amount", "Total_Discount", "Line_Count",
+            ),
         ),
         _entity(
             "pos_transactions_lines", "POS", "transactions_lines",
-            "Transaction_Line_ID Transaction_ID Line_Number Product_SKU Store_ID Quantity Unit_Price "
-            "Cost_Price Discount_Amount Line_Sales_Amount Promotion_ID",
+            (
+                "Transaction_Line_ID", "Transaction_ID", "Line_Number", "Product_SKU", "Store_ID",
+                "Quantity", "Unit_Price", "Cost_Price", "Discount_Amount", "Line_Sales_Amount",
+                "Promotion_ID",
+            ),
         ),
         _entity(
             "erp_products", "ERP", "products",
-            "Product_SKU Product_Name Category Sub_Category Price Cost_Price Supplier_ID Last_Updated",
+            (
+                "Product_SKU", "Product_Name", "Category", "Sub_Category", "Price", "Cost_Price",
+                "Supplier_ID", "Last_Updated",
+            ),
         ),
         _entity(
             "erp_stores", "ERP", "stores",
-            "Store_ID Store_Name City Region Store_Manager Store_Area_sqm Open_Date",
+            (
+                "Store_ID", "Store_Name", "City", "Region", "Store_Manager", "Store_Area_sqm",
+                "Open_Date",
+            ),
         ),
         _entity(
             "erp_inventory", "ERP", "inventory",
-            "Inventory_ID Product_SKU Store_ID Snapshot_Date Quantity_On_Hand Reorder_Level",
+            (
+                "Inventory_ID", "Product_SKU", "Store_ID", "Snapshot_Date", "Quantity_On_Hand",
+                "Reorder_Level",
+            ),
         ),
         _entity(
             "crm_customers", "CRM", "customers",
-            "Customer_ID Full_Name Gender Birthdate Registration_Date Email Phone_Number City Preferred_Channel",
+            (
+                "Customer_ID", "Full_Name", "Gender", "Birthdate", "Registration_Date", "Email",
+                "Phone_Number", "City", "Preferred_Channel",
+            ),
         ),
         _entity(
             "mkt_promotions", "MKT", "promotions",
-            "Promotion_ID Promo_Name Promo_Type Start_Date End_Date Promo_Cost Eligible_SKUs",
+            (
+                "Promotion_ID", "Promo_Name", "Promo_Type", "Start_Date", "End_Date", "Promo_Cost",
+                "Eligible_SKUs",
+            ),
         ),
         _entity(
             "api_weather", "API", "weather",
-            "Weather_Date Retail_Location_ID Temperature_C Precipitation_mm Weather_Condition",
+            (
+                "Weather_Date", "Retail_Location_ID", "Temperature_C", "Precipitation_mm",
+                "Weather_Condition",
+            ),
             aliases=(("Store_ID", "Retail_Location_ID"),),
         ),
     )

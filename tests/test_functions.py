@@ -30,7 +30,7 @@ CASES = [
     (lambda c: numbers.to_amount(c, numbers.THOUSANDS_MARKS, "decimal(10,2)"), ["1,200.50", "$5"], [N("1200.50"), None]),
     (lambda c: numbers.to_decimal(c, "decimal(5,2)"), ["1000.00", "-12.5", "None"], [None, N("-12.50"), None]),
     (numbers.to_int, ["7", " 8 ", "1.5", "x", "-2", ""], [7, 8, None, None, -2, None]),
-    (dates.iso_date, ["2024-05-01", "2024-5-1", "2024", "2024-02-30", "2024-05-01 10:00:00", "1/2/2024"], [D(2024, 5, 1), None, None, None, D(2024, 5, 1), None]),
+    (dates.iso_date, ["2024-05-01", "2024-5-1", "2024", "2024-02-30", "2024-05-01 10:00:00", "1/2/2024"], [D(2024, 5, 1), None, None, None, D(2024, 5, 1), D(2024, 1, 2)]),
     (dates.mixed_date, ["1/5/2024", "13/5/2024", "2024-05-01", "x", "3/4/2024", "2/30/2024", "1/2/3/2024", "1/5/24", "1/5/20245"],
      [D(2024, 1, 5), D(2024, 5, 13), D(2024, 5, 1), None, D(2024, 3, 4), None, None, None, None]),
     (dates.mixed_timestamp, ["1/5/2024 9:30", "2024-01-05 09:30:00", "1/5/2024", "31/1/2024 23:59", "x"],
@@ -114,3 +114,17 @@ def test_percent_is_rounded_once(spark):
     df = frame(spark, "a decimal(18,2), b decimal(18,2)", (N("1"), N("3")), (N("0.01"), N("2.00")), (N("2"), N("0")))
     assert column(df.select(numbers.percent("a", "b"))) == [N("33.33"), N("0.50"), N("0.00")]
     assert column(df.select(numbers.share(F.lit(1), F.lit(0))))[0] is None
+
+
+def test_date_forms(spark):
+    texts = ["20240102", "1/2/2024", "1-2-2024", "1.2.2024", "2024-01-02", "2024-01-02 03:04:05", "2024", "x", "31/12/2024", "", "2024010", "1/2/24"]
+    df = frame(spark, "a string", *[(t,) for t in texts])
+    two = D(2024, 1, 2)
+    assert column(df.select(dates.iso_date("a"))) == [two, two, two, two, two, two, None, None, None, None, None, None]
+    assert column(df.select(dates.mixed_date("a"))) == [two, two, two, two, two, two, None, None, D(2024, 12, 31), None, None, None]
+
+
+def test_times_of_half_days(spark):
+    texts = ["1/5/2024 9:30 PM", "1-5-2024 12:00 AM", "1/5/2024 12:15 pm", "13/5/2024 1:05:09 am", "1/5/2024 21:30", "1/5/2024 13:00 PM", "1/5/2024 xx PM"]
+    got = column(frame(spark, "a string", *[(t,) for t in texts]).select(F.date_format(dates.mixed_timestamp("a"), "yyyy-MM-dd HH:mm:ss")))
+    assert got == ["2024-01-05 21:30:00", "2024-01-05 00:00:00", "2024-01-05 12:15:00", "2024-05-13 01:05:09", "2024-01-05 21:30:00", None, None]

@@ -13,7 +13,10 @@ from verification import feeds
 
 # whole numbers that can be missing are shown as double
 SPARSE_NUMBERS = frozenset(
-    "Line_Count Quantity_On_Hand Reorder_Level Age Quantity Line_Number Previous_Quantity Customer_Tenure_Days".split()
+    (
+        "Line_Count", "Quantity_On_Hand", "Reorder_Level", "Age", "Quantity", "Line_Number",
+        "Previous_Quantity", "Customer_Tenure_Days",
+    )
 )
 AS_OF = "DATE '2025-01-01'"
 
@@ -45,22 +48,28 @@ def whole(x: str) -> str:
     return f"CASE WHEN regexp_full_match(trim({x}), '[+-]?[0-9]+') THEN TRY_CAST(trim({x}) AS INTEGER) END"
 
 
+def slashed(x: str) -> str:
+    return rf"regexp_replace(trim({x}), '^(\d{{1,2}})[-./](\d{{1,2}})[-./](\d{{4}})', '\1/\2/\3')"
+
+
 def iso(x: str) -> str:
-    return rf"CASE WHEN regexp_full_match(trim({x}), '\d{{4}}-\d{{2}}-\d{{2}}') THEN TRY_CAST(trim({x}) AS DATE) END"
+    return (
+        rf"CASE WHEN regexp_full_match(trim({x}), '\d{{4}}-\d{{2}}-\d{{2}}') THEN TRY_CAST(trim({x}) AS DATE) "
+        rf"WHEN regexp_full_match(trim({x}), '\d{{8}}') THEN try_strptime(trim({x}), '%Y%m%d')::DATE "
+        rf"WHEN regexp_full_match({slashed(x)}, '\d{{1,2}}/\d{{1,2}}/\d{{4}}') THEN try_strptime({slashed(x)}, '%m/%d/%Y')::DATE END"
+    )
 
 
 def mixed_date(x: str) -> str:
     return (
-        rf"CASE WHEN regexp_full_match(trim({x}), '\d{{1,2}}/\d{{1,2}}/\d{{4}}') THEN "
-        f"coalesce(try_strptime(trim({x}), '%m/%d/%Y'), try_strptime(trim({x}), '%d/%m/%Y'))::DATE ELSE {iso(x)} END"
+        rf"CASE WHEN regexp_full_match({slashed(x)}, '\d{{1,2}}/\d{{1,2}}/\d{{4}}') THEN "
+        f"coalesce(try_strptime({slashed(x)}, '%m/%d/%Y'), try_strptime({slashed(x)}, '%d/%m/%Y'))::DATE ELSE {iso(x)} END"
     )
 
 
 def mixed_ts(x: str) -> str:
-    return (
-        f"coalesce(try_strptime(trim({x}), '%m/%d/%Y %H:%M'), try_strptime(trim({x}), '%d/%m/%Y %H:%M'), "
-        f"try_strptime(trim({x}), '%Y-%m-%d %H:%M:%S'))"
-    )
+    forms = ("%m/%d/%Y %H:%M", "%d/%m/%Y %H:%M", "%m/%d/%Y %I:%M %p", "%d/%m/%Y %I:%M %p", "%Y-%m-%d %H:%M:%S")
+    return f"coalesce({', '.join(f"try_strptime({slashed(x)}, '{form}')" for form in forms)})"
 
 
 def cap(x: str) -> str:

@@ -133,8 +133,10 @@ class Build:
 # whole numbers that can be missing; shown as double, the one type in which both engines'
 # data frames hold numbers beside gaps
 SPARSE_NUMBERS = frozenset(
-    "Phone_Length Line_Count Quantity_On_Hand Reorder_Level Age Tenure_Days Duration_Days Quantity Line_Number "
-    "Previous_Quantity Customer_Tenure_Days".split()
+    (
+        "Phone_Length", "Line_Count", "Quantity_On_Hand", "Reorder_Level", "Age", "Tenure_Days",
+        "Duration_Days", "Quantity", "Line_Number", "Previous_Quantity", "Customer_Tenure_Days",
+    )
 )
 
 
