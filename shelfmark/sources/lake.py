@@ -15,8 +15,9 @@ class Lake:
     """Parquet tables under one shared root, one catalog database per layer.
 
     A refresh writes its files to a new folder first and only then points the catalog entry at
-    them, so readers keep the old data until the new data is whole, and a failed build leaves
-    the old table in place. Old folders are kept; dropping them is a retention decision."""
+    them, so a failed build leaves the old table in place. A table without partitions and with the
+    same columns changes its location in one step; for others the entry is dropped and made anew,
+    and readers fail for that moment. Old folders are kept; dropping them is a retention decision."""
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
         self.spark = spark
@@ -75,6 +76,10 @@ class Lake:
         return self.read(layer, table)
 
     def _point_at(self, name: str, path: str, df: DataFrame, partition_by: Sequence[str]) -> None:
+        if not partition_by and self.spark.catalog.tableExists(name) and self.spark.table(name).dtypes == df.dtypes:
+            # one change of the catalog entry: readers see the old files or the new ones
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            return
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         # tables are external: dropping the name leaves the files of the older build
