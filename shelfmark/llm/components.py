@@ -14,18 +14,18 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Alternates two steps until nothing changes: every node's larger neighbours, then its smaller
     ones, are tied to its smallest neighbour. The number of edges never grows, the rounds grow
     with the logarithm of the longest path. Minima are aggregated before the shuffle and joined
-    back as one row per node, so a node with very many links is split like any skewed join.
-    Every round is stored in the checkpoint folder; a lost executor repeats one round at most."""
+    back as one stored row per node, so a node with very many links is split like any skewed join.
+    Every step is stored in the checkpoint folder; a lost executor repeats one step at most."""
     links = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     last = None
     for _ in range(most_rounds):
         # larger neighbours of each node to its smallest neighbour (or itself)
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m")))
         large = both.where("v > u").join(low, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
+        large = cut(large.distinct())
         # smaller neighbours of each node, and the node, to its smallest neighbour
-        least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n"))
         small = large.join(least, F.col("u") == F.col("n"))
         small = small.select(F.explode(F.array(F.col("v"), F.col("u"))).alias("u"), F.col("m").alias("v"))
         links = cut(small.where("u <> v").distinct())

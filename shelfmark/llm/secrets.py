@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.llm.frames import cut
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -140,7 +142,8 @@ def listing(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def report(history: DataFrame, findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Findings joined back to every path of a history (path, blob, ...); paths may repeat."""
-    by_blob = listing(findings, rules)
+    # stored, so that a blob with very many paths meets it in a join that Spark can split
+    by_blob = cut(listing(findings, rules))
     joined = history.join(by_blob, "blob", "left")
     counts = [F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long").alias(f"n_{r.kind}") for r in BASE]
     return joined.select(

@@ -287,8 +287,9 @@ def part_links(prints: DataFrame, group: list[int], threshold: int, distance: in
     i = F.explode(F.sequence(F.lit(0), F.col("cu") - 1)).alias("i")
     j = F.explode(F.sequence(F.when(F.col("u") == F.col("v"), F.col("i")).otherwise(F.lit(0)), F.col("cv") - 1)).alias("j")
     tasks = cut(tasks.select("u", "v", "cv", i).select("u", "v", "i", j))
-    task = F.xxhash64("u", "v", "i", "j").alias("task")
-    one = F.col("u").eqNullSafe(F.col("v")) & (F.col("i") == F.col("j"))
+    one = (F.col("u") == F.col("v")) & (F.col("i") == F.col("j"))
+    # the last bit keeps comparisons within a chunk apart from those of two chunks
+    task = F.shiftleft(F.xxhash64("u", "v", "i", "j"), 1).bitwiseOR(one.cast("bigint")).alias("task")
     sides = tasks.select(task, F.lit(0).alias("side"), F.col("u").alias("value"), F.col("i").alias("chunk")).unionByName(
         tasks.where(~one).select(task, F.lit(1).alias("side"), F.col("v").alias("value"), F.col("j").alias("chunk"))
     )
@@ -321,7 +322,8 @@ def near_duplicates(documents: DataFrame, *, shingle: int = 4, distance: int = 4
     member = components(links).select(F.col("node").alias("print"), F.col("root"))
     named = prints.join(member, "print", "left").withColumn("root", F.coalesce("root", "print"))
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = named.join(lowest, "root").select("print", "component_id")
+    # stored, so that a fingerprint with very many copies meets it in a join that Spark can split
+    by_print = cut(named.join(lowest, "root").select("print", "component_id"))
     return docs.join(by_print, "print").select("doc_id", "print", "component_id")
 
 

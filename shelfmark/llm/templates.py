@@ -97,7 +97,8 @@ def recurring_lines(
     placed = rows.mapInArrow(lambda b: _place_batches(b, least, depth), PLACES)
     placed = cut(placed.where("size(lines) > 0").dropDuplicates(["doc_id", "text_hash"]))
     leaves = placed.select(F.explode(F.array_distinct("lines.leaf")).alias("leaf"))
-    shared = leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= recurs).select("leaf")
+    # stored lookups, so that a join with a hot key is one of two plain shuffles, which Spark can split
+    shared = cut(leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= recurs).select("leaf"))
     held = cut(placed.select("doc_id", "text_hash", F.inline("lines")).join(shared, "leaf"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "line")
     contents = (
@@ -123,7 +124,7 @@ def recurring_lines(
     shaped = marked.groupBy("leaf", "content").agg(
         F.xxhash64(F.array_sort(F.collect_list(field))).alias("template"), (F.count("constant") / F.count("*")).alias("share")
     )
-    shaped = shaped.where(F.col("share") >= constant).select("leaf", "content", "template")
+    shaped = cut(shaped.where(F.col("share") >= constant).select("leaf", "content", "template"))
     lines = cut(held.join(shaped, ["leaf", "content"]).select("leaf", "template", "doc_id", "text_hash", "line"))
     kinds = (
         lines.groupBy("leaf", "template", "doc_id", "text_hash")
@@ -133,7 +134,7 @@ def recurring_lines(
         .where(F.col("n") >= recurs)
         .select("leaf", "template", "first")
     )
-    later = lines.join(kinds, ["leaf", "template"]).where(~(place == F.col("first")))
+    later = lines.join(cut(kinds), ["leaf", "template"]).where(~(place == F.col("first")))
     return later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list("line")).alias("dropped"))
 
 
