@@ -45,7 +45,7 @@ from shelfmark.llm.frames import cut, slices
 
 LENGTH = 100
 GRAM = 32
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: a place is tag (16 bits of the text's hash), start (39 bits), number of windows (8 bits)
 START_BITS, COUNT_BITS = 39, 8
