@@ -65,7 +65,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return templates.report(table(spark, sf_dir, "documents"))
+    return templates.report(table(spark, sf_dir, "documents"), long_recurs=templates.LONG_RECURS)
 
 
 @query

@@ -6,7 +6,10 @@ a letter) are a wildcard. In a leaf, a token that recurs at its position, `RECUR
 more, is constant and any other is a variable field, so lines that differ in such fields get one
 template. (Equal lines of one document count once, different ones each.) A template of which at least `CONSTANT` of the tokens are constant, and which
 `RECURS` documents or more hold, recurs: its first line in the corpus (by doc_id, then position)
-stays and the others are dropped. Lines of fewer than `TOKENS` tokens recur by chance; they stay.
+stays and the others are dropped. Short lines have leaves of their own, since a leaf is the number
+of tokens and the tokens there are. With `long_recurs`, an exactly equal long line, of `LONG_WORDS`
+words or `LONG_CHARS` characters, recurs from that many documents on; a line without spaces, as in
+Chinese, is long by its characters. Only lines without any token are left out.
 
 A line moves as hashes of its leaf and its content. Only lines of shared leaves go further, and of
 equal ones the tokens are brought once. Counts are combined before they are shuffled, so a line
@@ -31,8 +34,11 @@ from pyspark.sql import functions as F
 from shelfmark.llm.frames import cut, free_name, packed, slices, unpacked
 
 DEPTH = 4
-TOKENS = 5
+TOKENS = 1
 RECURS = 3
+LONG_RECURS = 2
+LONG_WORDS = 20
+LONG_CHARS = 100
 CONSTANT = 0.6
 
 _VALUE = re.compile(r"\d|^[\W_]+$")
@@ -46,7 +52,19 @@ def _hash(data: bytes) -> int:
 
 def tokens(line: str) -> list[bytes]:
     """Tokens of a line, those that look like values as the wildcard."""
-    return [WILDCARD if _VALUE.search(t.decode()) else t for t in line.encode().split()]
+    return _masked(line.encode().split())
+
+
+def _masked(raw: list[bytes]) -> list[bytes]:
+    return [WILDCARD if _VALUE.search(t.decode()) else t for t in raw]
+
+
+def is_long(raw: list[bytes]) -> bool:
+    """Whether a line, given by its tokens as they are, has so many words or characters that two equal ones are copies."""
+    if len(raw) >= LONG_WORDS:
+        return True
+    joined = b" ".join(raw)
+    return len(joined) >= LONG_CHARS and len(joined.decode()) >= LONG_CHARS
 
 
 def leaf(found: list[bytes], depth: int = DEPTH) -> int:
@@ -54,16 +72,19 @@ def leaf(found: list[bytes], depth: int = DEPTH) -> int:
     return _hash(b"%d %b" % (len(found), b" ".join(found[:depth])))
 
 
-PLACES = "doc_id bigint, text_hash bigint, lines array<struct<line:int,leaf:bigint,content:bigint>>"
+PLACES = "doc_id bigint, text_hash bigint, lines array<struct<line:int,leaf:bigint,content:bigint,raw:bigint,long:boolean>>"
 
 
 def _place_batches(batches: Iterable[pa.RecordBatch], least: int, depth: int) -> Iterator[pa.RecordBatch]:
-    entry = pa.struct([("line", pa.int32()), ("leaf", pa.int64()), ("content", pa.int64())])
+    entry = pa.struct([("line", pa.int32()), ("leaf", pa.int64()), ("content", pa.int64()), ("raw", pa.int64()), ("long", pa.bool_())])
     for batch in slices(batches, "text", 8 << 20):
         placed = []
         for text in batch.column("text").to_pylist():
-            lines = [(i, t) for i, t in enumerate(map(tokens, (text or "").split("\n"))) if len(t) >= least]
-            placed.append([(i, leaf(t, depth), _hash(b" ".join(t))) for i, t in lines])
+            lines = [(i, t) for i, t in enumerate(x.encode().split() for x in (text or "").split("\n")) if len(t) >= least]
+            masked = [_masked(t) for _, t in lines]
+            placed.append(
+                [(i, leaf(m, depth), _hash(b" ".join(m)), _hash(b" ".join(t)), is_long(t)) for (i, t), m in zip(lines, masked)]
+            )
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("text_hash"), pa.array(placed, pa.list_(entry))], ["doc_id", "text_hash", "lines"]
         )
@@ -90,19 +111,29 @@ def _keyed(df: DataFrame) -> DataFrame:
 
 
 def recurring_lines(
-    documents: DataFrame, *, depth: int = DEPTH, least: int = TOKENS, recurs: int = RECURS, constant: float = CONSTANT
+    documents: DataFrame,
+    *,
+    depth: int = DEPTH,
+    least: int = TOKENS,
+    recurs: int = RECURS,
+    constant: float = CONSTANT,
+    long_recurs: int | None = None,
 ) -> DataFrame:
-    """(doc_id, text_hash, dropped): positions of the lines to drop of rows (doc_id, text)."""
+    """(doc_id, text_hash, dropped): positions of the lines to drop of rows (doc_id, text).
+
+    Equal long lines recur like any other unless `long_recurs` gives them a number of documents."""
+    long_recurs = recurs if long_recurs is None else long_recurs
     rows = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     placed = rows.mapInArrow(lambda b: _place_batches(b, least, depth), PLACES)
     placed = cut(placed.where("size(lines) > 0").dropDuplicates(["doc_id", "text_hash"]))
     leaves = placed.select(F.explode(F.array_distinct("lines.leaf")).alias("leaf"))
     # stored lookups, so that a join with a hot key is one of two plain shuffles, which Spark can split
-    shared = cut(leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= recurs).select("leaf"))
+    counted = leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min(recurs, long_recurs))
+    shared = cut(counted.select("leaf", (F.col("n") >= recurs).alias("grown")))
     held = cut(placed.select("doc_id", "text_hash", F.inline("lines")).join(shared, "leaf"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "line")
     contents = (
-        held.groupBy("leaf", "content", "doc_id", "text_hash")
+        held.where("grown").groupBy("leaf", "content", "doc_id", "text_hash")
         .agg(F.min(place).alias("first"))
         .groupBy("leaf", "content")
         .agg(F.count("*").alias("n"), F.min("first").alias("first"))
@@ -135,7 +166,18 @@ def recurring_lines(
         .select("leaf", "template", "first")
     )
     later = lines.join(cut(kinds), ["leaf", "template"]).where(~(place == F.col("first")))
-    return later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list("line")).alias("dropped"))
+    # equal lines, of which long ones may need fewer documents than a template
+    equal = (
+        held.where("long").groupBy("leaf", "raw", "doc_id", "text_hash")
+        .agg(F.min(place).alias("first"))
+        .groupBy("leaf", "raw")
+        .agg(F.count("*").alias("n"), F.min("first").alias("first"))
+        .where(F.col("n") >= long_recurs)
+        .select("leaf", "raw", "first")
+    )
+    copies = held.where("long").join(cut(equal), ["leaf", "raw"]).where(~(place == F.col("first")))
+    both = later.select("doc_id", "text_hash", "line").unionByName(copies.select("doc_id", "text_hash", "line"))
+    return both.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("dropped"))
 
 
 def _with_dropped(documents: DataFrame, **settings) -> DataFrame:

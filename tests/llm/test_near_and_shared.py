@@ -281,3 +281,20 @@ def test_line_templates_odd_rows(documents, odd):
     kept = templates.drop_lines(odd)
     assert kept.schema == odd.schema
     assert templates.report(documents([])).count() == 0
+
+
+def test_short_lines_and_lines_without_spaces_recur(documents):
+    notice = "本网站所有内容均受版权保护未经许可不得转载"
+    rows = [(i, f"All rights reserved.\n\nown text {'abcde'[i]} of this one\n{notice}") for i in range(5)]
+    left = {r.doc_id: r.text for r in templates.drop_lines(documents(rows)).collect()}
+    assert left[0] == rows[0][1]
+    assert all(left[i] == f"\nown text {'abcde'[i]} of this one" for i in range(1, 5))
+
+
+def test_equal_long_lines_recur_from_two_documents(documents):
+    passage = " ".join(f"{a}{b}" for a in "bdfgk" for b in ("ra", "ti", "po", "nu", "xi"))
+    unspaced = "".join(chr(0x4E00 + i) for i in range(120))
+    brief = "a line of words that is not long"
+    rows = [(i, f"{'ab'[i]} own start of it\n{passage}\n{brief}\n{unspaced}") for i in range(2)]
+    left = {r.doc_id: r.text for r in templates.drop_lines(documents(rows), long_recurs=templates.LONG_RECURS).collect()}
+    assert left == {0: rows[0][1], 1: f"b own start of it\n{brief}"}
