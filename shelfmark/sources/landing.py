@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,7 +57,7 @@ def text_nulls_removed(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(*TEXT_NULLS), F.col(c)) for c in columns})
 
 
-def to_raw(df: DataFrame, entity: Entity, batch: str, loaded_at: dt.datetime, file_name: str | None = None, first_id: int = 0) -> DataFrame:
+def to_raw(df: DataFrame, entity: Entity, batch: str | Column, loaded_at: dt.datetime, file_name: str | None = None, first_id: int = 0) -> DataFrame:
     """Raw rows of one load: text columns, lineage, and an id that grows with the file order."""
     if file_name or "Source_File" not in df.columns:
         # the file name has to be taken off the scan before other projections hide it

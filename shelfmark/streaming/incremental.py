@@ -8,35 +8,47 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.schemas import MANIFEST_TABLE, RAW, Entity
+from shelfmark.schemas import MANIFEST_SCHEMA, MANIFEST_TABLE, RAW, Entity
 from shelfmark.sources.lake import Lake
-from shelfmark.sources.landing import CSV_OPTIONS, manifest_row, next_raw_id, to_raw
+from shelfmark.sources.landing import CSV_OPTIONS, next_raw_id, to_raw
 
 
 def land_new_files(lake: Lake, folder: str, entity: Entity, checkpoint: str, loaded_at: dt.datetime, columns: list[str] | None = None):
     """Append files not seen before to the raw table, then stop.
 
     ``columns`` is the column order of the files, the entity's own order by default; a file whose
-    header says otherwise fails the batch instead of being read in the wrong order. Each batch
-    has its manifest row and is known by its number in the checkpoint, so a batch that is run
-    again after a failure is not stored twice."""
+    header says otherwise fails the batch instead of being read in the wrong order. Each file is
+    a batch of the raw table, known by its path, time and size, so a file that comes again, after a
+    failure or with another checkpoint, is not stored twice, and any other file is stored. Each has
+    its manifest row."""
     spark: SparkSession = lake.spark
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (columns or entity.columns)])
     files = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", False).csv(folder)
-    files = files.withColumn("Source_File", F.col("_metadata.file_name"))
+    named = [F.col(f"_metadata.{x}").cast("string") for x in ("file_path", "file_modification_time", "file_size")]
+    prefix = f"{entity.source.lower()}_{entity.entity}_stream_"
+    files = files.withColumns(
+        {"Source_File": F.col("_metadata.file_name"), "Batch_ID": F.concat(F.lit(prefix), F.sha2(F.concat_ws("|", *named), 256))}
+    )
 
     def append(rows, epoch: int) -> None:
         # the stream has a session of its own, with its own view of the table's files
         own = Lake(rows.sparkSession, lake.root, lake.prefix)
-        batch = f"{entity.source.lower()}_{entity.entity}_stream_{epoch}"
-        stored = own.exists(RAW, entity.table) and not own.read(RAW, entity.table).filter(F.col("Batch_ID") == batch).isEmpty()
         started = dt.datetime.now()
-        if not stored:
-            raw = to_raw(rows, entity, batch, loaded_at, None, next_raw_id(own, entity.table))
-            own.append(RAW, entity.table, raw)
-        found = own.read(RAW, entity.table).filter(F.col("Batch_ID") == batch).count()
-        row = manifest_row(own.spark, entity, batch, found, started, dt.datetime.now(), "COMPLETED", None)
-        own.append(RAW, MANIFEST_TABLE, row)
+        if own.exists(RAW, entity.table):
+            known = own.read(RAW, entity.table).where(F.col("Batch_ID").startswith(prefix)).select("Batch_ID").distinct()
+            # one row a file; a broadcast join keeps the order of the rows, which Raw_ID follows
+            unseen = rows.join(F.broadcast(known), "Batch_ID", "left_anti")
+        else:
+            unseen = rows
+        raw = to_raw(unseen, entity, F.col("Batch_ID"), loaded_at, None, next_raw_id(own, entity.table))
+        own.append(RAW, entity.table, raw)
+        batches = rows.select("Batch_ID").distinct()
+        found = own.read(RAW, entity.table).join(batches, "Batch_ID", "left_semi").groupBy("Batch_ID").count().collect()
+        # files without a record have no row that names them; a batch of such files has one row
+        done = [(r["Batch_ID"], r["count"]) for r in found] or [(f"{prefix}{epoch}", 0)]
+        ended = dt.datetime.now()
+        manifest = [(batch, entity.source, entity.entity, entity.file, n, started, ended, "COMPLETED", None) for batch, n in done]
+        own.append(RAW, MANIFEST_TABLE, own.spark.createDataFrame(manifest, MANIFEST_SCHEMA))
 
     query = (
         files.writeStream.foreachBatch(append)

@@ -210,3 +210,18 @@ def test_streamed_files_keep_their_name_and_have_a_manifest(lake, tmp_path):
     with pytest.raises(Exception):
         land_new_files(lake, str(folder), entity, str(tmp_path / "check"), dt.datetime(2025, 1, 3))
     assert lake.count(RAW, entity.table) == 2
+
+
+def test_streams_of_other_folders_and_checkpoints_lose_no_file(lake, tmp_path):
+    entity = ENTITIES["erp_stores"]
+    lake.create_layers()
+    for i, (folder, name) in enumerate([("one", "a.csv"), ("two", "a.csv"), ("two", "b.csv")]):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        write_csv(tmp_path / folder / name, entity.columns, [SAMPLE["erp_stores"]] * (i + 2))
+        # a checkpoint of its own each time: every stream starts at its first batch
+        land_new_files(lake, str(tmp_path / folder), entity, str(tmp_path / f"check{i}"), dt.datetime(2025, 1, 1 + i))
+    raw = lake.read(RAW, entity.table).collect()
+    assert sorted(r["Source_File"] for r in raw) == ["a.csv"] * 5 + ["b.csv"] * 4
+    assert len({r["Raw_ID"] for r in raw}) == 9
+    rows = {r["Batch_ID"]: r["Row_Count"] for r in lake.read(RAW, MANIFEST_TABLE).collect()}
+    assert sorted(rows.values()) == [2, 3, 4]
