@@ -3,10 +3,11 @@
 A line is a list of tokens, cut at ASCII white space. The tree has a fixed depth: the number of
 tokens, then `DEPTH` leading tokens, where tokens that look like values (with a digit, or without
 a letter) are a wildcard. In a leaf, a token that recurs at its position, `RECURS` times or
-more, is constant and any other is a variable field, so lines that differ in such fields get one
-template. (Equal lines of one document count once, different ones each.) A template of which at least `CONSTANT` of the tokens are constant, and which
+more, is constant; any other, and each wildcard, is a variable field, so lines that differ in such
+fields get one template. (Equal lines of one document count once, different ones each.) A template of which at least `CONSTANT` of the tokens are constant, and which
 `RECURS` documents or more hold, recurs: its first line in the corpus (by doc_id, then position)
-stays and the others are dropped. Short lines have leaves of their own, since a leaf is the number
+stays and the others are dropped. Exactly equal lines that `RECURS` documents hold recur whatever
+their tokens, so rows of values go only where the values are equal. Short lines have leaves of their own, since a leaf is the number
 of tokens and the tokens there are. With `long_recurs`, an exactly equal long line, of `LONG_WORDS`
 words or `LONG_CHARS` characters, recurs from that many documents on; a line without spaces, as in
 Chinese, is long by its characters. Only lines without any token are left out.
@@ -149,6 +150,7 @@ def recurring_lines(
     read = cut(read.dropDuplicates(["leaf", "content"]).join(contents.select("leaf", "content", "n"), ["leaf", "content"]))
     fields = read.select("leaf", "content", "n", F.posexplode("tokens").alias("position", "token"))
     constants = fields.groupBy("leaf", "position", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= recurs)
+    constants = constants.where(F.col("token") != _hash(WILDCARD))
     constants = constants.select("leaf", "position", "token", F.lit(True).alias("constant"))
     marked = fields.drop("n").join(constants, ["leaf", "position", "token"], "left")
     field = F.struct("position", F.when(F.col("constant"), F.col("token")).alias("token"))
@@ -166,16 +168,16 @@ def recurring_lines(
         .select("leaf", "template", "first")
     )
     later = lines.join(cut(kinds), ["leaf", "template"]).where(~(place == F.col("first")))
-    # equal lines, of which long ones may need fewer documents than a template
+    # equal lines, whatever their tokens; long ones may need fewer documents than a template
     equal = (
-        held.where("long").groupBy("leaf", "raw", "doc_id", "text_hash")
+        held.groupBy("leaf", "raw", "long", "doc_id", "text_hash")
         .agg(F.min(place).alias("first"))
-        .groupBy("leaf", "raw")
+        .groupBy("leaf", "raw", "long")
         .agg(F.count("*").alias("n"), F.min("first").alias("first"))
-        .where(F.col("n") >= long_recurs)
+        .where(F.col("n") >= F.when(F.col("long"), long_recurs).otherwise(recurs))
         .select("leaf", "raw", "first")
     )
-    copies = held.where("long").join(cut(equal), ["leaf", "raw"]).where(~(place == F.col("first")))
+    copies = held.join(cut(equal), ["leaf", "raw"]).where(~(place == F.col("first")))
     both = later.select("doc_id", "text_hash", "line").unionByName(copies.select("doc_id", "text_hash", "line"))
     return both.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("dropped"))
 

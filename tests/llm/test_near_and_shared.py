@@ -298,3 +298,12 @@ def test_equal_long_lines_recur_from_two_documents(documents):
     rows = [(i, f"{'ab'[i]} own start of it\n{passage}\n{brief}\n{unspaced}") for i in range(2)]
     left = {r.doc_id: r.text for r in templates.drop_lines(documents(rows), long_recurs=templates.LONG_RECURS).collect()}
     assert left == {0: rows[0][1], 1: f"b own start of it\n{brief}"}
+
+
+def test_rows_of_values_are_not_one_template(documents):
+    rows = [(i, f"own words of {'abcde'[i]} here\n{i} 5 7 9 3{i}\nTotal 20{i} 2020 2021 20{i}2\n1 2 3 4 5") for i in range(5)]
+    rows += [(10 + i, f"{i}1 {i}2 {i}3 {i}4 {i}5") for i in range(3)]  # nothing but values
+    left = {r.doc_id: r.text for r in templates.drop_lines(documents(rows)).collect()}
+    assert left[0] == rows[0][1] and all(left[d] == t for d, t in rows[5:])
+    # the row that is equal in all of them keeps its first copy
+    assert all(left[d] == t.removesuffix("\n1 2 3 4 5") for d, t in rows[1:5])
