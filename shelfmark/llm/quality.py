@@ -2,8 +2,8 @@
 
 Lines are normalised (lower case, digits as 0, white space runs as one space, trimmed) and
 hashed. For each host and line the distinct documents with it are counted over the whole
-corpus; documents of a host with the same text count once, since copies of a document say
-nothing about its lines. A line above the limit of its host is removed: the larger of `LEAST`
+corpus. With `copies`, each document counts; without, documents of a host with the same text count
+once. A line above the limit of its host is removed: the larger of `LEAST`
 documents and `SHARE` of the host's distinct documents. A document that loses more than
 `DEPLETED` of its words, or keeps too few, is rejected.
 
@@ -13,7 +13,7 @@ line that a third of all documents have is spread by document first and summed b
 second shuffle. Only lines above a limit go back to the documents.
 
 Defined results: a null text has no words and fails the base rules; a null host is a host of its
-own; repeated rows count as copies and are judged each; an empty table gives no rows; other
+own; repeated rows (id and text) are one document and are judged each; an empty table gives no rows; other
 columns are ignored."""
 
 from __future__ import annotations
@@ -109,21 +109,28 @@ def profiles(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(_profile_batches, PROFILE)
 
 
-def frequent_lines(profiled: DataFrame, *, least: int = LEAST, share: float = SHARE) -> DataFrame:
-    """(host, line) found in more distinct documents of the host than its limit."""
-    hosts = profiled.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("n"))
+def frequent_lines(profiled: DataFrame, *, least: int = LEAST, share: float = SHARE, copies: bool = False) -> DataFrame:
+    """(host, line) found in more distinct documents of the host than its limit; with `copies`, equal texts under other ids count."""
+    document = ["host", "text_hash", *(["doc_id"] if copies else [])]
+    hosts = profiled.select(*document).distinct().groupBy("host").agg(F.count("*").alias("n"))
     limits = hosts.select(F.col("host").alias("_host"), F.greatest(F.lit(float(least)), F.col("n") * share).alias("most"))
-    lines = profiled.select("host", "text_hash", F.explode("lines.line").alias("line")).distinct()
+    lines = profiled.select(*document, F.explode("lines.line").alias("line")).distinct()
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > least)
     return counts.join(limits, counts["host"].eqNullSafe(limits["_host"])).where("n > most").select("host", "line")
 
 
 def judge(
-    documents: DataFrame, *, least: int = LEAST, share: float = SHARE, depleted: float = DEPLETED, min_words: int = MIN_WORDS
+    documents: DataFrame,
+    *,
+    least: int = LEAST,
+    share: float = SHARE,
+    depleted: float = DEPLETED,
+    min_words: int = MIN_WORDS,
+    copies: bool = False,
 ) -> DataFrame:
     """Per row of `documents` (doc_id, text, host): the base measures, n_removed_words, base_failed and kept."""
     profiled = cut(profiles(documents).withColumn("row", F.monotonically_increasing_id()))
-    frequent = cut(frequent_lines(profiled, least=least, share=share))
+    frequent = cut(frequent_lines(profiled, least=least, share=share, copies=copies))
     held = profiled.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.line", "x.words")
     same = held["host"].eqNullSafe(frequent["host"]) & (held["line"] == frequent["line"])
     lost = held.join(frequent, same).groupBy("row").agg(F.sum("words").alias("lost"))

@@ -155,6 +155,18 @@ def test_frequent_lines_deplete(documents):
     assert all(got[d].kept and got[d].n_removed_words == 0 for d in got if d >= 200)
 
 
+def test_lines_are_counted_by_document(documents):
+    own = lambda i: " ".join(f"own{i}x{k}" for k in range(80))
+    notice = own(7000)
+    rows = [(i, notice, "a") for i in range(60)]  # one notice under many ids
+    rows += [(100, own(100), "a"), (200, notice, "b")]
+    rows += [(300, own(300), "c")] * 40  # one document, repeated
+    got = quality.judge(by_host(documents, rows), least=20, copies=True).collect()
+    assert {(r.host, r.doc_id >= 100, r.kept, r.n_removed_words) for r in got} == {
+        ("a", False, False, 80), ("a", True, True, 0), ("b", True, True, 0), ("c", True, True, 0)
+    }
+
+
 def test_quality_odd_rows(documents, odd):
     got = quality.judge(odd.withColumnRenamed("source", "host")).collect()
     assert len(got) == len(ODD) and all(r.base_failed and not r.kept for r in got)
