@@ -9,24 +9,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators.salting import salted_join
 
 
-def _days(df: DataFrame, group: Sequence[str], start: str, end: str) -> DataFrame:
-    """Starts and ends per group and day, with the counts up to that day."""
-    edges = df.select(
-        *group,
-        F.inline(
-            F.array(
-                F.struct(F.col(start).alias("day"), F.lit(1).alias("starts"), F.lit(0).alias("ends")),
-                F.struct(F.col(end).alias("day"), F.lit(0).alias("starts"), F.lit(1).alias("ends")),
-            )
-        ),
+def _per_day(df: DataFrame, group: Sequence[str], start: str, end: str, usable: Column | None = None) -> DataFrame:
+    """Starts and ends per group and day, of the ``usable`` rows.
+
+    Other rows get no days instead of being filtered: a filter would be pushed below the columns it
+    is computed from, and have every text parsed twice."""
+    days = F.array(
+        F.struct(F.col(start).alias("day"), F.lit(1).alias("starts"), F.lit(0).alias("ends")),
+        F.struct(F.col(end).alias("day"), F.lit(0).alias("starts"), F.lit(1).alias("ends")),
     )
-    per_day = edges.groupBy(*group, "day").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+    edges = df.select(*group, F.inline_outer(days if usable is None else F.when(usable, days))).filter("day IS NOT NULL")
+    return edges.groupBy(*group, "day").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+
+
+def _running(per_day: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The counts up to each day."""
     ordered = Window.partitionBy(*group).orderBy("day")
     return per_day.withColumns(
         {
@@ -38,28 +41,34 @@ def _days(df: DataFrame, group: Sequence[str], start: str, end: str) -> DataFram
     )
 
 
-def pairs_per_group(df: DataFrame, group: Sequence[str], start: str, end: str, name: str = "pairs") -> DataFrame:
-    """Overlapping pairs of each group: all pairs less the disjoint ones."""
-    days = _days(df, group, start, end)
+def _pairs(days: DataFrame, group: Sequence[str], name: str) -> DataFrame:
     rows = F.sum("starts").cast("decimal(38,0)")
     disjoint = F.sum((F.col("starts") * F.col("ended_before")).cast("decimal(38,0)"))
     pairs = F.floor(rows * (rows - 1) / 2) - disjoint
     return days.groupBy(*group).agg(pairs.cast("bigint").alias(name))
 
 
-def count_overlapping_pairs(df: DataFrame, item: str, start: str, end: str, name: str = "Overlapping_Pairs") -> DataFrame:
+def pairs_per_group(df: DataFrame, group: Sequence[str], start: str, end: str, name: str = "pairs") -> DataFrame:
+    """Overlapping pairs of each group: all pairs less the disjoint ones."""
+    return _pairs(_running(_per_day(df, group, start, end), group), group, name)
+
+
+def count_overlapping_pairs(df: DataFrame, item: str, start: str, end: str, name: str = "Overlapping_Pairs", usable: Column | None = None) -> DataFrame:
     """Pairs of rows with different items and overlapping ranges, as a one-row frame.
 
-    Ranges have start <= end. Pairs of rows of one item are counted apart and taken off."""
-    ranges = df.select(item, start, end).filter(F.col(start) <= F.col(end))
-    everything = pairs_per_group(ranges.withColumn("__all", F.lit(1)), ["__all"], start, end, "n").select("n")
-    same_item = pairs_per_group(ranges, [item], start, end, "n").select((-F.col("n")).alias("n"))
+    Ranges have start <= end; with ``usable`` only rows where it holds count. Pairs of rows of one item are counted apart and taken off; both counts
+    come from one sum per item and day, which is shuffled once."""
+    counts = F.col(start) <= F.col(end)
+    by_item = _per_day(df, [item], start, end, counts if usable is None else counts & usable)
+    by_day = by_item.groupBy(F.lit(1).alias("__all"), "day").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+    everything = _pairs(_running(by_day, ["__all"]), ["__all"], "n").select("n")
+    same_item = _pairs(_running(by_item, [item]), [item], "n").select((-F.col("n")).alias("n"))
     return everything.unionByName(same_item).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias(name))
 
 
 def overlap_degree(df: DataFrame, group: Sequence[str], start: str, end: str, name: str = "Overlapping_Others") -> DataFrame:
     """For each row, how many other rows of its group overlap it."""
-    days = _days(df, group, start, end)
+    days = _running(_per_day(df, group, start, end), group)
     at_end = days.select(*[F.col(g).alias(f"e_{g}") for g in group], F.col("day").alias("e_day"), "started")
     at_start = days.select(*[F.col(g).alias(f"s_{g}") for g in group], F.col("day").alias("s_day"), "ended_before")
     met = salted_join(df, at_end, [(g, f"e_{g}") for g in group] + [(end, "e_day")])

@@ -231,7 +231,9 @@ def sample(df: DataFrame, rows: int, *order: str) -> DataFrame:
 
 
 def overlapping_promotions(promotions: DataFrame) -> DataFrame:
-    return count_overlapping_pairs(promotions.filter(F.col(VALID) == 1), "Promotion_ID", "Start_Date", "End_Date", "Overlapping_Promo_Pairs")
+    return count_overlapping_pairs(
+        promotions, "Promotion_ID", "Start_Date", "End_Date", "Overlapping_Promo_Pairs", usable=F.col(VALID) == 1
+    )
 
 
 def enough_fact_rows(fact: DataFrame, least: int = rules.MIN_FACT_ROWS) -> DataFrame:

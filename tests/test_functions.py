@@ -125,6 +125,13 @@ def test_date_forms(spark):
 
 
 def test_times_of_half_days(spark):
-    texts = ["1/5/2024 9:30 PM", "1-5-2024 12:00 AM", "1/5/2024 12:15 pm", "13/5/2024 1:05:09 am", "1/5/2024 21:30", "1/5/2024 13:00 PM", "1/5/2024 xx PM"]
+    texts = ["1/5/2024 9:30 PM", "1-5-2024 12:00 AM", "1/5/2024 12:15 pm", "13/5/2024 1:05:09 am", "1/5/2024 21:30", "1/5/2024 13:00 PM", "1/5/2024 xx PM", "1/5/2024 9 AM", "1/5/2024 9:30 AM PM"]
     got = column(frame(spark, "a string", *[(t,) for t in texts]).select(F.date_format(dates.mixed_timestamp("a"), "yyyy-MM-dd HH:mm:ss")))
-    assert got == ["2024-01-05 21:30:00", "2024-01-05 00:00:00", "2024-01-05 12:15:00", "2024-05-13 01:05:09", "2024-01-05 21:30:00", None, None]
+    assert got == ["2024-01-05 21:30:00", "2024-01-05 00:00:00", "2024-01-05 12:15:00", "2024-05-13 01:05:09", "2024-01-05 21:30:00", None, None, "2024-01-05 09:00:00", None]
+
+
+def test_month_or_day_first(spark):
+    texts = ["0/5/2024", "5/0/2024", "2/30/2024", "30/2/2024", "29/2/2024", "12/12/2024", "13/13/2024", "/5/2024", "xx/5/2024", "1/5-2024", "1/5/2024x"]
+    df = frame(spark, "a string", *[(t,) for t in texts])
+    expected = [None, None, None, None, D(2024, 2, 29), D(2024, 12, 12), None, None, None, D(2024, 1, 5), None]
+    assert column(df.select(dates.mixed_date("a"))) == expected
