@@ -57,3 +57,48 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+LLM_ORACLE["op13_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), sizes AS (
+  SELECT count(*) FILTER (WHERE len(w) > 0)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d
+), tf AS (
+  SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) AS x
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), df AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, sizes GROUP BY term, n_docs
+), scored AS (
+  SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term), sizes GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+# All pairs of a label; components by the ids reachable over any number of links.
+LLM_ORACLE["op11_embedding_duplicates"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE label IS NOT NULL AND list_sum(list_transform(embedding, lambda e: CASE WHEN e IS NULL OR NOT isfinite(e) THEN 1 ELSE 0 END)) = 0
+    AND list_sum(list_transform(embedding, lambda e: abs(e)::DOUBLE)) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+), reach AS (
+  SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+), lowest AS (
+  SELECT u, min(v) AS low FROM reach GROUP BY u
+), counts AS (
+  SELECT u, count(*) AS n FROM links GROUP BY u
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN counts ON counts.u = vec_id LEFT JOIN lowest ON lowest.u = vec_id
+"""

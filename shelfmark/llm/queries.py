@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, htmltext, langid, packing, quality, secrets, simhash, suffixes, templates, winnow
+from shelfmark.llm import chat, htmltext, langid, lexical, packing, quality, secrets, simhash, suffixes, templates, vectors, whitening, winnow
 from shelfmark.llm.frames import cut, table
 
 
@@ -82,3 +82,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], conversations.schema)
     return chat.digest(chat.format_conversations(conversations.unionByName(extra)))
+
+
+@query
+def op11_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
