@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm.frames import cut
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of `edges` (a, b); root is the smallest node reachable.
 
     Alternates two steps until nothing changes: every node's larger neighbours, then its smaller
@@ -18,7 +18,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Every step is stored in the checkpoint folder; a lost executor repeats one step at most."""
     links = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     last = None
-    for _ in range(most_rounds):
+    while True:  # ends: links only ever move to smaller nodes
         # larger neighbours of each node to its smallest neighbour (or itself)
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m")))
@@ -34,7 +34,5 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if last is not None and now == last:
             break
         last = now
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

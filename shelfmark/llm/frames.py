@@ -15,15 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Store `df` in the shared checkpoint folder, so that its lineage ends there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Only a local session (tests) may go
+    without one and gets a temporary folder: elsewhere executors could not read the driver's."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named or tempfile.mkdtemp(prefix="shelfmark-")
+
 
-    The folder is the one the cluster names in spark.checkpoint.dir; a session without one
-    (tests) gets a temporary folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+def cut(df: DataFrame) -> DataFrame:
+    """Store `df` in the shared checkpoint folder, so that its lineage ends there."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shelfmark-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -79,4 +84,4 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterato
             yield batch.slice(start)
 
 
-__all__ = ["cut", "free_name", "packed", "slices", "table", "text_column", "unpacked"]
+__all__ = ["cut", "free_name", "packed", "shared_folder", "slices", "table", "text_column", "unpacked"]
