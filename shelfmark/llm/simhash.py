@@ -320,8 +320,9 @@ def near_duplicates(documents: DataFrame, *, shingle: int = 4, distance: int = 4
             found = part_links(prints.select("print"), group, threshold, distance)
             links = found if links is None else links.unionByName(found)
     member = components(links).select(F.col("node").alias("print"), F.col("root"))
-    named = prints.join(member, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = cut(prints.join(member, "print", "left").withColumn("root", F.coalesce("root", "print")))
+    # stored like the fingerprints, so that a giant component meets its row in a join that Spark can split
+    lowest = cut(named.groupBy("root").agg(F.min("first").alias("component_id")))
     # stored, so that a fingerprint with very many copies meets it in a join that Spark can split
     by_print = cut(named.join(lowest, "root").select("print", "component_id"))
     return docs.join(by_print, "print").select("doc_id", "print", "component_id")
