@@ -151,7 +151,7 @@ def recurring_lines(
     fields = read.select("leaf", "content", "n", F.posexplode("tokens").alias("position", "token"))
     constants = fields.groupBy("leaf", "position", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= recurs)
     constants = constants.where(F.col("token") != _hash(WILDCARD))
-    constants = constants.select("leaf", "position", "token", F.lit(True).alias("constant"))
+    constants = cut(constants.select("leaf", "position", "token", F.lit(True).alias("constant")))
     marked = fields.drop("n").join(constants, ["leaf", "position", "token"], "left")
     field = F.struct("position", F.when(F.col("constant"), F.col("token")).alias("token"))
     shaped = marked.groupBy("leaf", "content").agg(
