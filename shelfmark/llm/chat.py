@@ -20,6 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# characters of a block in which spans are looked for
+BLOCK = 1 << 16
+
 OPEN, MIDDLE, END = "<s>[INST]", "[/INST]", "</s>"
 CONTROL = r"<s>|</s>|\[INST\]|\[/INST\]"
 # the first character of a control string, backslashes of earlier escapes, the rest of it
@@ -122,15 +125,36 @@ def format_conversations(
     )
 
 
-def digest(formatted: DataFrame, *, key: str = "conv_id", learn: str = "assistant") -> DataFrame:
-    """Counts and checksums of what the parser reads back from each formatted conversation."""
+def masked_texts(formatted: str = "formatted", spans: str = "loss_spans") -> tuple[Column, Column]:
+    """The output in blocks, to be kept as `_blocks`, and the array of the texts under the loss mask: cut out
+    of these at the spans, then unescaped.
+
+    The output is cut in blocks first, so that a span of a long conversation is looked for in the
+    blocks it touches and not from the first character on."""
+    whole = F.col(formatted)
+    starts = F.sequence(F.lit(0), F.greatest(F.length(whole) - 1, F.lit(0)), F.lit(BLOCK))
+    blocks = F.transform(starts, lambda at: F.substr(whole, at + 1, F.lit(BLOCK)))
+
+    def cut_out(span: Column) -> Column:
+        first = F.floor(span["start"] / BLOCK).cast("int")
+        last = F.floor(span["end"] / BLOCK).cast("int")
+        near = F.array_join(F.slice("_blocks", first + 1, last - first + 1), "")
+        return unescape(F.substr(near, (span["start"] - first * BLOCK + 1).cast("int"), (span["end"] - span["start"]).cast("int")))
+
+    return blocks, F.transform(spans, cut_out)
+
+
+def digest(formatted: DataFrame, *, key: str = "conv_id") -> DataFrame:
+    """Counts and checksums of what is read back from each formatted conversation: the turns by the
+    parser, the learned text by the loss mask."""
     lines = F.transform("recovered", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    learned = F.array_join(F.transform(F.filter("recovered", lambda t: t["role"] == learn), lambda t: t["text"]), "")
-    return formatted.select(
+    blocks, texts = masked_texts()
+    cut = formatted.withColumn("_blocks", blocks).withColumn("_learned", F.array_join(texts, ""))
+    return cut.select(
         F.col(key),
         F.size("recovered").cast("long").alias("n_turns"),
         F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
-        F.length(learned).cast("long").alias("loss_chars"),
-        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("_learned").cast("long").alias("loss_chars"),
+        F.sha2("_learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
