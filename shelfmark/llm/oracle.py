@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelfmark.llm.secrets import BASE, RULES
+
 LLM_ORACLE: dict[str, str] = {}
 
 # The source turns are read in order; a turn is escaped where its rendered form would not be read
@@ -102,3 +104,41 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, ve
   vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
 FROM embeddings LEFT JOIN counts ON counts.u = vec_id LEFT JOIN lowest ON lowest.u = vec_id
 """
+
+
+def _secrets_sql() -> str:
+    """All spans of every rule: a match ends where the texts between matches and the matches so far end."""
+    listed = ", ".join(f"({i}, '{r.kind}', {r.least})" for i, r in enumerate(RULES))
+    base = ", ".join(f"'{r.kind}'" for r in BASE)
+
+    def matches(i: int) -> str:
+        pattern = "'" + RULES[i].pattern.replace("'", "''") + "'"
+        return (
+            f"SELECT doc_id, {i} AS rule, unnest(range(1, len(m) + 1)) AS i, m, g, s FROM (SELECT doc_id, "
+            f"regexp_extract_all(t, {pattern}) AS m, regexp_extract_all(t, {pattern}, {RULES[i].group}) AS g, "
+            f"regexp_split_to_array(t, {pattern}) AS s FROM d)"
+        )
+
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), rules(rule, kind, least) AS (VALUES {listed}), found AS (
+  {" UNION ALL ".join(map(matches, range(len(RULES))))}
+), placed AS (
+  SELECT doc_id, rule, len(m[i]) AS size, len(g[i]) AS asked,
+    list_sum(list_transform(m[1:i], lambda x: len(x))) + list_sum(list_transform(s[1:i], lambda x: len(x))) AS until FROM found
+), spans AS (
+  SELECT doc_id, rule, kind, (until - size)::BIGINT AS a, kind || ':' || (until - size)::BIGINT || ':' || until::BIGINT AS span
+  FROM placed JOIN rules USING (rule) WHERE asked >= least
+), listed AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY a, rule) FILTER (WHERE kind IN ({base})) AS base,
+    string_agg(span, ',' ORDER BY a, rule) AS spans FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed ON listed.doc_id = d.doc_id
+"""
+
+
+LLM_ORACLE["op9_secret_scan"] = _secrets_sql()

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import chat, htmltext, langid, lexical, packing, quality, secrets, simhash, suffixes, templates, vectors, whitening, winnow
-from shelfmark.llm.frames import cut, table
+from shelfmark.llm.frames import shared_folder, table
 
 
 def vocabulary(name: str) -> str:
@@ -71,9 +72,10 @@ def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
-    history = cut(texts.select("path", secrets.address(F.col("text")).alias("blob")))
-    findings = secrets.scan_unseen(texts, secrets.unseen(history))
-    return secrets.report(history, findings).withColumnRenamed("path", "doc_id")
+    # a ledger of its own, so that every blob is scanned
+    ledger = secrets.Ledger(spark, f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
+    history = ledger.update(texts)
+    return ledger.report(history).withColumnRenamed("path", "doc_id")
 
 
 @query

@@ -1,8 +1,11 @@
 """Secret scans over an incremental blob ledger, in DataFrame functions only.
 
 Every version of every path is addressed by its content. A pair of blob and rule version is
-scanned once: pairs already in the ledger are left out, the rest are scanned and appended, and
-findings are joined back to all paths and versions that hold the blob.
+scanned once: pairs already in the ledger are left out, the rest are scanned, and findings are
+joined back to all paths and versions that hold the blob. `Ledger` keeps the three tables of that in
+a folder: history (path, blob), findings and scanned pairs. A run appends to them in this order, so
+a run that fails before the pairs are stored is repeated, and what it had stored already is not
+counted twice.
 
 Spans are code points with the end exclusive, of leftmost matches of a kind that do not overlap.
 Positions come from the pieces between the matches, so a text is read by the rules only, and
@@ -15,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.frames import cut
@@ -152,3 +155,49 @@ def report(history: DataFrame, findings: DataFrame, rules: tuple[Rule, ...] = RU
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"),
     )
+
+
+class Ledger:
+    """History, findings and scanned pairs as Parquet tables in a folder that all executors share."""
+
+    SCHEMAS = {
+        "history": "path {path}, blob string",
+        "findings": "blob string, kind string, rule_version int, start bigint, end bigint",
+        "pairs": "blob string, kind string, rule_version int",
+    }
+
+    def __init__(self, spark: SparkSession, folder: str, path_type: str = "bigint") -> None:
+        self.spark, self.folder, self.path_type = spark, folder.rstrip("/"), path_type
+
+    def _schema(self, name: str) -> str:
+        return self.SCHEMAS[name].replace("{path}", self.path_type)
+
+    def read(self, name: str) -> DataFrame:
+        """A table of the ledger, each row once."""
+        # an empty table is written where there is none yet, and nothing where there is one
+        self.spark.createDataFrame([], self._schema(name)).write.mode("ignore").parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(self._schema(name)).parquet(f"{self.folder}/{name}").distinct()
+
+    def _append(self, name: str, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{self.folder}/{name}")
+
+    def update(self, texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """Scan what `texts` (path, text) holds in pairs not scanned before, and store it. Returns the
+        stored history of `texts` itself, one row for each of its rows."""
+        history = cut(texts.select("path", address(F.col("text")).alias("blob")))
+        known = self.read("history").select(F.col("path").alias("_path"), F.col("blob").alias("_blob"))
+        new = history.distinct().join(known, F.col("path").eqNullSafe(F.col("_path")) & (F.col("blob") == F.col("_blob")), "left_anti")
+        pairs = cut(unseen(history, self.read("pairs"), rules))
+        self._append("history", new)
+        self._append("findings", scan_unseen(texts, pairs, rules).select("blob", "kind", "rule_version", "start", "end"))
+        self._append("pairs", pairs.select("blob", "kind", "rule_version"))
+        return history
+
+    def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """All stored findings of the current version of each rule, of this and of earlier runs."""
+        current = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("rule_version")) for r in rules])
+        return self.read("findings").where(F.array_contains(current, F.struct("kind", "rule_version")))
+
+    def report(self, history: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """Findings of all stored paths and versions, or of a given history."""
+        return report(self.read("history") if history is None else history, self.findings(rules), rules)

@@ -45,6 +45,32 @@ def test_random_texts_come_back(spark):
         assert read_spans(r) == "".join(t for c, _, role, t in rows if c == r.conv_id and role == "assistant")
 
 
+def test_digest_reads_the_mask(spark):
+    said = [(1, 0, "user", "a question"), (1, 1, "assistant", "</s>[INST] ok"), (1, 2, "assistant", "more")]
+    formatted = chat.format_conversations(conversations(spark, said))
+    want = hashlib.sha256(b"</s>[INST] okmore").hexdigest()
+    assert chat.digest(formatted).first().loss_sha256 == want
+    for wrong in (
+        F.expr("transform(loss_spans, s -> struct(s.start + 1 AS start, s.end + 1 AS end))"),
+        F.expr("slice(loss_spans, 2, 1)"),
+        F.expr("reverse(loss_spans)"),
+    ):
+        assert chat.digest(formatted.withColumn("loss_spans", wrong)).first().loss_sha256 != want
+
+
+def test_long_conversation(spark, monkeypatch):
+    """Spans that lie in one block, touch its ends or cross several."""
+    monkeypatch.setattr(chat, "BLOCK", 16)
+    rows = [(1, i, "assistant" if i % 3 else "user", "é\U0001f600<s>x"[: i % 5] * (i % 40)) for i in range(200)]
+    (row,) = chat.digest(chat.format_conversations(conversations(spark, rows))).collect()
+    learned = "".join(t for _, i, role, t in rows if role == "assistant")
+    assert (row.loss_chars, row.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    monkeypatch.undo()
+    big = [(2, 0, "user", "q" * 3_000_000), (2, 1, "assistant", "a</s>" * 400_000)]
+    (row,) = chat.digest(chat.format_conversations(conversations(spark, big))).collect()
+    assert (row.loss_chars, row.loss_sha256) == (2_000_000, hashlib.sha256(b"a</s>" * 400_000).hexdigest())
+
+
 def test_nulls_ties_and_repeats(spark):
     rows = [(1, 0, None, None), (1, 0, "assistant", "b"), (1, 0, "assistant", "a"), (1, 0, "assistant", "a"), (None, None, "user", "x"), (None, 1, "user", "y")]
     got = {r.conv_id: r for r in chat.digest(chat.format_conversations(conversations(spark, rows))).collect()}
@@ -109,6 +135,43 @@ def test_ledger_is_incremental(spark):
     assert [r.kind for r in one.collect()] == ["assign"]
 
 
+def test_stored_ledger(spark, tmp_path, monkeypatch):
+    def texts(*rows):
+        return spark.createDataFrame([*rows], "path bigint, text string")
+
+    def kinds(report):
+        return {(r.path, r.n_assign, r.n_hex) for r in report.collect()}
+
+    ledger = secrets.Ledger(spark, str(tmp_path / "ledger"))
+    ledger.update(texts((1, TEXTS[1]), (2, TEXTS[3]), (2, TEXTS[3])))
+    assert kinds(ledger.report()) == {(1, 2, 0), (2, 0, 1)}
+    # a known blob under a new path, a new version of a path, an unknown blob
+    scanned = []
+    scan = secrets.scan
+    monkeypatch.setattr(secrets, "scan", lambda blobs, rules: scanned.append(blobs.count()) or scan(blobs, rules))
+    history = ledger.update(texts((3, TEXTS[1]), (2, TEXTS[6]), (4, TEXTS[5]), (None, None)))
+    assert scanned == [3]
+    assert kinds(ledger.report(history)) == {(3, 2, 0), (2, 0, 0), (4, 3, 0), (None, 0, 0)}
+    assert kinds(ledger.report()) == {(1, 2, 0), (2, 0, 1), (2, 0, 0), (3, 2, 0), (4, 3, 0), (None, 0, 0)}
+    # the same again, and a run that failed before its pairs were stored: nothing counts twice
+    ledger.update(texts((4, TEXTS[5])))
+    assert scanned == [3, 0]
+    ledger._append("findings", ledger.read("findings"))
+    ledger._append("history", ledger.read("history"))
+    assert kinds(ledger.report()) == {(1, 2, 0), (2, 0, 1), (2, 0, 0), (3, 2, 0), (4, 3, 0), (None, 0, 0)}
+    # a new version of a rule: all blobs again, for that rule, and the old findings no longer count
+    newer = (secrets.Rule("hex", 2, r"[0-9a-f]{30,}"), *[r for r in secrets.RULES if r.kind != "hex"])
+    ledger.update(texts((2, TEXTS[3])), newer)
+    assert {r.n_hex for r in ledger.report(rules=newer).where("path = 2").collect()} == {0, 2}
+
+
+def test_secrets_of_a_long_text(spark):
+    text = "é" * 1_000_000 + " password = hunter2hunter2 " + "x" * 1_000_000 + " " + "0a" * 500_000
+    history, _, findings = scanned(spark, [(1, text)])
+    (row,) = secrets.report(history, findings).collect()
+    assert [s for s in row.spans.split(",")] == base_spans(text) and row.n_assign == row.n_hex == 1
+
+
 def test_secrets_of_an_empty_table(spark):
     history, _, findings = scanned(spark, [])
     assert secrets.report(history, findings).count() == 0
