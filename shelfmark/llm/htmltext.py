@@ -36,6 +36,10 @@ from shelfmark.llm.frames import slices
 HIDDEN = 16
 PATH_SIZE, WORD_SIZE, PLAIN_SIZE = 96, 32, 6
 INPUT = PATH_SIZE + WORD_SIZE + PLAIN_SIZE
+# deeper paths look alike to the network
+DEEPEST = 100
+# blocks of a long page that are held as vectors at a time
+LONG_PAGE = 20_000
 SAMPLE = 120
 SAMPLE_CHARS = 20_000
 COMPOSED = 400
@@ -46,7 +50,21 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNREAD = frozenset("script style noscript template svg math iframe object textarea select".split())
+#: elements of a formula, which is read as part of its block
+MATH = frozenset(
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
+UNREAD = frozenset("script style noscript template svg iframe object textarea select annotation annotation-xml".split())
+#: unread elements that hold no blocks; a block that starts inside ends them, as they were left open
+NO_BLOCKS = frozenset("svg select annotation annotation-xml".split())
+#: block elements that such an element may hold all the same
+HELD = {"select": frozenset(("option", "optgroup", "hr"))}
+#: elements of HTML that a drawing cannot hold; its own elements are not listed
+BREAKOUT = frozenset(
+    "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
+)
 #: elements that end an open one of the same kind
 CLOSES = {
     "li": ("li",),
@@ -58,8 +76,34 @@ CLOSES = {
     "option": ("option",),
 }
 
-Block = tuple[tuple[str, ...], str, int]
-"""Path, text, characters inside links."""
+MAIN = frozenset(("<article>", "<main>"))
+ASIDE = frozenset(("<nav>", "<footer>", "<aside>", "<form>", "<header>", "<head>", "<title>", "<button>", "<dialog>"))
+_ASIDE_WORDS = frozenset("ad ads advert comments comment sidebar menu cookie notice banner related share".split())
+
+
+class Node:
+    """An open element, tied to the one around it, so that all blocks of a page share their paths."""
+
+    __slots__ = ("aside", "depth", "main", "mask", "part", "up")
+
+    def __init__(self, up: "Node | None", part: str) -> None:
+        words = part.split()
+        self.up, self.part = up, part
+        self.depth: int = up.depth + 1 if up else 1
+        self.mask: int = _mask(part) | (up.mask if up else 0)
+        self.main: bool = bool(up and up.main) or not MAIN.isdisjoint(words)
+        self.aside: bool = bool(up and up.aside) or not ASIDE.isdisjoint(words) or not _ASIDE_WORDS.isdisjoint(words)
+
+    def path(self) -> tuple[str, ...]:
+        parts, node = [], self
+        while node:
+            parts.append(node.part)
+            node = node.up
+        return tuple(reversed(parts))
+
+
+Block = tuple[Node | None, str, int]
+"""Innermost element, text, characters inside links."""
 
 
 class _Blocks(HTMLParser):
@@ -68,25 +112,47 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self._open: list[tuple[str, str]] = []
+        self._open: list[tuple[str, Node]] = []
+        #: places in _open by tag
+        self._at: dict[str, list[int]] = {}
         self._parts: list[str] = []
         self._links = self._in_link = 0
-        self._unread = ""
+        #: an unread element and what is open inside it, with the number of each tag
+        self._unread: list[str] = []
+        self._inside: dict[str, int] = {}
 
     def _end_block(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
-            path = tuple(p for _, p in self._open)
-            self.blocks.append((path, text, self._links))
+            self.blocks.append((self._open[-1][1] if self._open else None, text, self._links))
         self._parts, self._links = [], 0
 
+    def _leave(self, at: int) -> None:
+        """Close the open elements from a place on."""
+        while len(self._open) > at:
+            self._at[self._open.pop()[0]].pop()
+
+    def _end_unread(self) -> None:
+        self._unread, self._inside = [], {}
+
+    def _start_unread(self, tag: str) -> bool:
+        """A start tag inside an unread element: whether it belongs there."""
+        first = self._unread[0]
+        if first in NO_BLOCKS and tag in BREAKOUT and tag not in HELD.get(first, ()):
+            self._end_unread()
+            return False
+        if tag not in VOID:
+            self._unread.append(tag)
+            self._inside[tag] = self._inside.get(tag, 0) + 1
+        return True
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if self._unread:
+        if self._unread and self._start_unread(tag):
             return
         if tag in UNREAD:
-            self._unread = tag
+            self._unread, self._inside = [tag], {tag: 1}
             self._parts.append(" ")
-        elif tag in INLINE:
+        elif tag in INLINE or tag in MATH:
             if tag == "a":
                 self._in_link += 1
             if tag in ("br", "img", "wbr"):
@@ -100,30 +166,39 @@ class _Blocks(HTMLParser):
             for at in range(len(self._open) - 1, -1, -1):
                 name = self._open[at][0]
                 if name == "p" or name in ends:
-                    del self._open[at:]
+                    self._leave(at)
                 elif name not in ("li", "dt", "dd", "td", "th", "tr") or not ends:
                     break
             named = [v for k, v in attrs if k in ("class", "id", "role") and v]
             words = sorted(set(re.findall(r"[a-z]+", " ".join(named).lower())))
-            self._open.append((tag, " ".join([f"<{tag}>", *words])))
+            self._at.setdefault(tag, []).append(len(self._open))
+            self._open.append((tag, Node(self._open[-1][1] if self._open else None, " ".join([f"<{tag}>", *words]))))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in VOID or tag in INLINE:
+        if tag in VOID or tag in INLINE or tag in MATH:
             self.handle_starttag(tag, attrs)
         elif not self._unread:
             self._end_block()
 
     def handle_endtag(self, tag: str) -> None:
         if self._unread:
-            if tag == self._unread:
-                self._unread = ""
-        elif tag == "a":
+            if self._inside.get(tag):
+                while True:
+                    name = self._unread.pop()
+                    self._inside[name] -= 1
+                    if name == tag:
+                        break
+                return
+            if not self._at.get(tag):
+                return
+            # the end of an element around it
+            self._end_unread()
+        if tag == "a":
             self._in_link = max(self._in_link - 1, 0)
-        elif tag not in INLINE:
+        elif tag not in INLINE and tag not in MATH:
             self._end_block()
-            names = [name for name, _ in self._open]
-            if tag in names:
-                del self._open[len(names) - 1 - names[::-1].index(tag) :]
+            if self._at.get(tag):
+                self._leave(self._at[tag][-1])
 
     def handle_data(self, data: str) -> None:
         if not self._unread:
@@ -146,20 +221,28 @@ def blocks(html: str) -> list[Block]:
 # --- vectors ------------------------------------------------------------------------------
 
 
-_SEEN_PATHS: dict[tuple[str, ...], list[int]] = {}
+_SEEN_PARTS: dict[str, int] = {}
 _SEEN_WORDS: dict[str, int] = {}
-REMEMBERED = 50_000  # paths and words whose slots a task remembers
+REMEMBERED = 50_000  # elements and words whose slots a task remembers
+
+
+def _mask(part: str, before: str = "") -> int:
+    """Slots of the words of an element as bits."""
+    key = before + part
+    mask = _SEEN_PARTS.get(key)
+    if mask is None:
+        if len(_SEEN_PARTS) >= REMEMBERED:
+            _SEEN_PARTS.clear()
+        mask = 0
+        for word in part.split():
+            mask |= 1 << zlib.crc32((before + word).encode()) % PATH_SIZE
+        _SEEN_PARTS[key] = mask
+    return mask
 
 
-def _path_slots(path: tuple[str, ...]) -> list[int]:
+def _path_bits(node: Node | None) -> bytes:
     """Slots of a path: its words anywhere, and the innermost element's on their own."""
-    if path not in _SEEN_PATHS:
-        if len(_SEEN_PATHS) >= REMEMBERED:
-            _SEEN_PATHS.clear()
-        words = {w for part in path for w in part.split()}
-        inner = {f"in {w}" for w in path[-1].split()} if path else set()
-        _SEEN_PATHS[path] = sorted({zlib.crc32(w.encode()) % PATH_SIZE for w in words | inner})
-    return _SEEN_PATHS[path]
+    return (node.mask | _mask(node.part, "in ") if node else 0).to_bytes(PATH_SIZE // 8, "little")
 
 
 def _word_slot(word: str) -> int:
@@ -171,11 +254,13 @@ def _word_slot(word: str) -> int:
     return slot
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """(blocks, INPUT) of a page."""
-    x = np.zeros((len(page), INPUT), np.float32)
-    for i, (path, text, links) in enumerate(page):
-        x[i, _path_slots(path)] = 1
+def vectors(page: list[Block], start: int = 0, stop: int | None = None) -> np.ndarray:
+    """(blocks, INPUT) of a page, or of its blocks from `start` to `stop`."""
+    part = page[start:stop]
+    x = np.zeros((len(part), INPUT), np.float32)
+    bits = np.frombuffer(b"".join(_path_bits(node) for node, _, _ in part), np.uint8).reshape(len(part), -1)
+    x[:, :PATH_SIZE] = np.unpackbits(bits, axis=1, bitorder="little")
+    for i, (node, text, links) in enumerate(part):
         words = text.lower().split(" ")
         counts = np.bincount([_word_slot(w) for w in words], minlength=WORD_SIZE)
         x[i, PATH_SIZE : PATH_SIZE + WORD_SIZE] = counts / math.sqrt(float((counts * counts).sum()))
@@ -184,8 +269,8 @@ def vectors(page: list[Block]) -> np.ndarray:
             min(links / len(text), 1.0),
             sum(text.count(c) for c in ".,;:!?") / len(words),
             text[-1] in ".!?:\"'",
-            i / len(page),
-            len(path) / 10,
+            (start + i) / len(page),
+            min(node.depth if node else 0, DEEPEST) / 10,
         )
     return x
 
@@ -210,12 +295,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _unroll(x: np.ndarray, mask: np.ndarray, weights: Weights, side: str, keep: bool) -> tuple[np.ndarray, list]:
-    """States (steps, lanes, HIDDEN) over inputs (steps, lanes, INPUT); padding leaves the state as it is."""
+State = tuple[np.ndarray, np.ndarray]
+
+
+def _unroll(x: np.ndarray, mask: np.ndarray, weights: Weights, side: str, keep: bool, start: State | None = None) -> tuple[np.ndarray, list, State]:
+    """States (steps, lanes, HIDDEN) over inputs (steps, lanes, INPUT), and the last one; padding leaves the
+    state as it is."""
     w, u, v = (weights[k + side] for k in "wuv")
     steps, lanes, _ = x.shape
     a = x @ w + v
-    h, c = np.zeros((lanes, HIDDEN)), np.zeros((lanes, HIDDEN))
+    h, c = start or (np.zeros((lanes, HIDDEN)), np.zeros((lanes, HIDDEN)))
     states, saved = np.empty((steps, lanes, HIDDEN)), []
     for t in range(steps):
         g = a[t] + h @ u
@@ -230,7 +319,7 @@ def _unroll(x: np.ndarray, mask: np.ndarray, weights: Weights, side: str, keep:
         if keep:
             saved.append((before, i, f, o, n, tc))
         states[t] = h
-    return states, saved
+    return states, saved, (h, c)
 
 
 def _back(x: np.ndarray, mask: np.ndarray, weights: Weights, side: str, saved: list, into: np.ndarray) -> Weights:
@@ -265,8 +354,8 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _logits(x: np.ndarray, mask: np.ndarray, weights: Weights, keep: bool = False) -> tuple:
-    forward, saved_f = _unroll(x, mask, weights, "f", keep)
-    backward, saved_b = _unroll(x[::-1], mask[::-1], weights, "b", keep)
+    forward, saved_f, _ = _unroll(x, mask, weights, "f", keep)
+    backward, saved_b, _ = _unroll(x[::-1], mask[::-1], weights, "b", keep)
     both = np.concatenate((forward, backward[::-1]), axis=2)
     return both @ weights["out"] + weights["bias"], both, saved_f, saved_b
 
@@ -299,6 +388,19 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, lanes:
     return weights
 
 
+def _long_logits(page: list[Block], weights: Weights) -> np.ndarray:
+    """As `_logits` of one page, with the vectors and states of LONG_PAGE blocks at a time."""
+    total = np.full(len(page), float(weights["bias"][0]))
+    edges = list(range(0, len(page), LONG_PAGE))
+    for side, order, out in (("f", edges, weights["out"][:HIDDEN]), ("b", edges[::-1], weights["out"][HIDDEN:])):
+        step, state = 1 if side == "f" else -1, None
+        for a in order:
+            x = vectors(page, a, a + LONG_PAGE)[:, None][::step]
+            states, _, state = _unroll(x, np.ones(x.shape[:2], bool), weights, side, False, state)
+            total[a : a + LONG_PAGE] += (states[:, 0] @ out)[::step]
+    return total
+
+
 def label(pages: list[list[Block]], weights: Weights, most_cells: int = 60_000) -> list[np.ndarray]:
     """For each page, which of its blocks are main text."""
     order = sorted(range(len(pages)), key=lambda i: len(pages[i]))
@@ -314,7 +416,9 @@ def label(pages: list[list[Block]], weights: Weights, most_cells: int = 60_000)
             group.clear()
 
     for i in order:
-        if pages[i]:
+        if len(pages[i]) > LONG_PAGE:
+            result[i] = _long_logits(pages[i], weights) > 0
+        elif pages[i]:
             if group and (len(group) + 1) * len(pages[i]) > most_cells // 10:
                 run()
             group.append(i)
@@ -324,17 +428,9 @@ def label(pages: list[list[Block]], weights: Weights, most_cells: int = 60_000)
 
 # --- training pages -----------------------------------------------------------------------
 
-MAIN = frozenset(("<article>", "<main>"))
-ASIDE = frozenset(("<nav>", "<footer>", "<aside>", "<form>", "<header>", "<head>", "<title>", "<button>", "<dialog>"))
-_ASIDE_WORDS = frozenset("ad ads advert comments comment sidebar menu cookie notice banner related share".split())
-
-
 def own_labels(page: list[Block]) -> np.ndarray | None:
     """Labels of a page that names its parts by HTML's own elements; None if it names no article."""
-    labels = []
-    for path, _, _ in page:
-        words = {w for part in path for w in part.split()}
-        labels.append(bool(words & MAIN) and not words & ASIDE and not words & _ASIDE_WORDS)
+    labels = [bool(node and node.main and not node.aside) for node, _, _ in page]
     return np.array(labels) if any(labels) else None
 
 
