@@ -27,9 +27,9 @@ different ones, one mark is sent and they are refined. So a string that a third
 documents hold, between whatever else, sends a row or two for each few megabytes of text.
 
 Defined results: a null or empty text has no bytes; order is by doc_id, null last; rows that
-repeat id and text are one document, each with its result; different texts of one id are
-documents ordered by 16 bits of their hash; an empty table gives no rows; other columns are
-ignored. Texts move compressed."""
+repeat id and text are one document, each with its result; different texts of one id, or without
+one, are documents of their own, ordered by the 64-bit hash of their text and numbered for the
+purpose; an empty table gives no rows; other columns are ignored. Texts move compressed."""
 
 from __future__ import annotations
 
@@ -38,7 +38,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.frames import cut, slices
@@ -437,11 +437,32 @@ def _packed(documents: DataFrame) -> DataFrame:
     return with_id.select("doc_id", "doc", "text_hash", "text").mapInArrow(_packed_batches, PACKED)
 
 
+def _ordered_places(rows: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, doc) of the distinct texts: `doc` numbers them from 0 by doc_id, null last, and
+    hash. Numbers are given inside each partition of a stored range sort and shifted by the sizes of
+    earlier partitions."""
+    order = [F.col("doc_id").asc_nulls_last(), F.col("text_hash")]
+    slim = rows.select("doc_id", "text_hash").distinct()
+    sorted_ = cut(slim.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id()))
+    sizes = sorted_.groupBy("part").agg(F.count("*").alias("size"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each partition
+    shifts = sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("shift"))
+    nth = F.col("nth").bitwiseAND((1 << 33) - 1)
+    return sorted_.join(shifts, "part").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), (nth + F.col("shift")).alias("doc"))
+
+
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row of `documents` (doc_id, text)."""
-    rows = documents.select(
-        "doc_id", F.coalesce("doc_id", F.lit(NULL_DOC)).alias("doc"), F.xxhash64("text").alias("text_hash"), "text"
-    )
+    rows = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    # an id that several texts share, as a missing one may be, cannot tell them apart
+    hashes = rows.groupBy("doc_id").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high"))
+    if hashes.where("low <> high").isEmpty():
+        rows = rows.withColumn("doc", F.coalesce("doc_id", F.lit(NULL_DOC)))
+    else:
+        numbers = cut(_ordered_places(rows))
+        same = rows["doc_id"].eqNullSafe(numbers["_id"]) & (rows["text_hash"] == numbers["_hash"])
+        rows = rows.join(numbers, same).drop("_id", "_hash")
     places = _by_text(repeated_places(rows))
     texts = _packed(rows)
     joined = texts.join(places, (texts["doc"] == places["_doc"]) & (texts["tag"] == places["_tag"]), "left")
