@@ -9,13 +9,12 @@ lost executor repeats work of one stage at most."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm import langid, packing, simhash, templates, winnow
-from shelfmark.llm.frames import table
+from shelfmark.llm.frames import shared_folder, table
 from shelfmark.llm.queries import vocabulary
 
 # No stage after the first has an SQL form; tests compare the stages with brute force.
@@ -56,13 +55,8 @@ STAGES = [
 ]
 
 
-def _folder(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{named or tempfile.mkdtemp(prefix='corpus-')}/corpus-{uuid.uuid4().hex}"
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _folder(spark)
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES[:-1]):
         path = f"{folder}/{i}_{name}"
