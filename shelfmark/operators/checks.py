@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -60,3 +60,39 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
             parts.append(repeated.agg(F.count(F.lit(1)).alias("Failures")).select(F.lit(c.label).alias("Check_Name"), "Failures"))
     report = reduce(DataFrame.unionByName, parts)
     return report.select(F.lit(table).alias("Table_Name"), "Check_Name", "Failures")
+
+
+VIOLATED = "Violated_Rules"
+
+
+def violations(df: DataFrame, checks: Sequence[Check], first: Sequence[Column | str]) -> DataFrame:
+    """``df`` with the labels of the rules that each row violates.
+
+    Row rules are told row by row. Of the rows of a key that has to be unique, the one that comes first
+    by ``first`` keeps the key and the others violate the rule; only rows that meet all row rules
+    compete, so a key is not lost to a row that is turned away anyway. Rows without a key have no
+    rule to violate."""
+    labels = [F.when(c.fails, F.lit(c.label)) for c in checks if c.fails is not None]
+    none = F.expr("cast(array() as array<string>)")
+    marked = df.withColumn(VIOLATED, F.array_compact(F.array(*labels)) if labels else none)
+    for i, check in enumerate(c for c in checks if c.keys):
+        bound = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in check.keys])
+        if check.only_if is not None:
+            bound = bound & F.coalesce(check.only_if, F.lit(False))
+        competes = f"__competes_{i}"
+        marked = marked.withColumn(competes, bound & (F.size(VIOLATED) == 0))
+        # other rows are dealt by a hash of the whole row, so that missing keys gather nowhere
+        spread = F.when(~F.col(competes), F.xxhash64(*[F.col(c) for c in df.columns]))
+        order = Window.partitionBy(competes, spread, *[F.when(F.col(competes), F.col(k)) for k in check.keys]).orderBy(*first)
+        again = F.col(competes) & (F.row_number().over(order) > 1)
+        marked = marked.withColumn(VIOLATED, F.when(again, F.array_append(VIOLATED, F.lit(check.label))).otherwise(F.col(VIOLATED)))
+        marked = marked.drop(competes)
+    return marked
+
+
+def accepted_rows(marked: DataFrame) -> DataFrame:
+    return marked.filter(F.size(VIOLATED) == 0).drop(VIOLATED)
+
+
+def rejected_rows(marked: DataFrame) -> DataFrame:
+    return marked.filter(F.size(VIOLATED) > 0)

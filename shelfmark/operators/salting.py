@@ -9,29 +9,60 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SALT, _COPY = "__salt", "__copy"
+# rows of one key that a single task can take
+HOT_ROWS = 1_000_000
+# keys that are spread, the hottest first; no other key has more than one row in so many
+MOST_HOT = 10_000
 
+_SALT, _COPY, _SALTS = "__salt", "__copy", "__salts"
 
-def row_bucket(df: DataFrame, buckets: int) -> Column:
+
+def row_bucket(df: DataFrame, buckets: Column) -> Column:
     """A bucket number from the whole row: the same on a retried task, even over one key's rows."""
-    return F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(buckets))
+    return F.pmod(F.hash(*[F.col(c) for c in df.columns]), buckets)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, most: int = MOST_HOT) -> DataFrame:
+    """(keys, __salts) of the keys that hold more than ``hot_rows`` rows, ``most`` of them at most: one salt
+    for each ``hot_rows`` rows. Rows are counted before they are shuffled."""
+    counts = df.where(reduce(and_, [F.col(k).isNotNull() for k in keys])).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    hottest = counts.where(F.col("__rows") > hot_rows).orderBy(F.desc("__rows"), *keys).limit(most)
+    return hottest.select(*keys, F.ceil(F.col("__rows") / hot_rows).cast("int").alias(_SALTS))
+
+
+def _salted(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """``df`` with the number of salts of its key, one where the key is not hot."""
+    named = hot.toDF(*[f"__hot_{i}" for i in range(len(keys))], _SALTS)
+    # bounded by the number of keys that are spread
+    same = reduce(and_, [F.col(k) == F.col(f"__hot_{i}") for i, k in enumerate(keys)])
+    joined = df.join(F.broadcast(named), same, "left")
+    return joined.select(*df.columns, F.coalesce(_SALTS, F.lit(1)).alias(_SALTS))
 
 
-def default_salts(df: DataFrame) -> int:
-    """One salt for each 32 shuffle partitions, eight at least."""
-    conf = df.sparkSession.conf
-    partitions = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
-    return max(8, int(partitions) // 32)
+def copied_lookup(lookup: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """The lookup with ``__copy``: rows of hot keys once for each salt, all others once."""
+    salted = _salted(lookup, keys, hot)
+    return salted.withColumn(_COPY, F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))).drop(_SALTS)
 
 
-def salted_join(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]], how: str = "inner", salts: int | None = None) -> DataFrame:
-    """Join ``df`` to a lookup with one row per key, each key's rows spread over ``salts`` tasks.
+def salted_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[tuple[str, str]],
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    most: int = MOST_HOT,
+) -> DataFrame:
+    """Join ``df`` to a lookup with one row per key, the rows of hot keys spread over several tasks.
 
     Skewed partitions are split at run time only where both sides of a join come straight from
-    a shuffle. A lookup that is itself an aggregate or window is not; it is repeated per salt
-    here instead, which costs ``salts`` copies of the lookup and no copy of ``df``. By default the
-    salts grow with the shuffle partitions, which a run fits to its largest table."""
-    salts = salts or default_salts(df)
-    copies = lookup.withColumn(_COPY, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    a shuffle. A lookup that is itself an aggregate or window is not. Here the keys of ``df`` are
+    counted first; only rows of keys above ``hot_rows`` get a salt, and only their rows of the lookup
+    are copied, so the copies grow with the hot keys and not with the tables."""
+    keys = [left for left, _ in on]
+    hot = hot_keys(df, keys, hot_rows, most)
+    copies = copied_lookup(lookup, [right for _, right in on], hot)
+    spread = _salted(df, keys, hot)
+    spread = spread.withColumn(_SALT, row_bucket(df, F.col(_SALTS))).drop(_SALTS)
     match = [F.col(left) == F.col(right) for left, right in on] + [F.col(_SALT) == F.col(_COPY)]
-    return df.withColumn(_SALT, row_bucket(df, salts)).join(copies, reduce(and_, match), how).drop(_SALT, _COPY)
+    return spread.join(copies, reduce(and_, match), how).drop(_SALT, _COPY)

@@ -30,3 +30,18 @@ def dense_key(df: DataFrame, name: str, natural_key: Sequence[str], hex_digits:
     # the broadcast side is bounded by the number of buckets, whatever the table size
     numbered = df.withColumn(name, in_bucket).join(F.broadcast(offsets), _BUCKET)
     return numbered.withColumn(name, F.col(name) + F.col(_BEFORE)).drop(_BUCKET, _BEFORE)
+
+
+def lasting_key(df: DataFrame, name: str, natural_key: Sequence[str], known: DataFrame | None, hex_digits: int = 3) -> DataFrame:
+    """The key map (natural key, ``name``) that a table's keys last by: ``known`` keys as they are, and
+    natural keys of ``df`` that it lacks numbered on from its last one, without gaps.
+
+    Store the result and pass it as ``known`` the next time."""
+    natural = df.select(*natural_key).dropna().distinct()
+    if known is None:
+        return dense_key(natural, name, natural_key, hex_digits).select(*natural_key, F.col(name).cast("bigint").alias(name))
+    unseen = natural.join(known.select(*natural_key), list(natural_key), "left_anti")
+    last = F.coalesce(known.agg(F.max(name)).scalar(), F.lit(0))
+    added = dense_key(unseen, name, natural_key, hex_digits)
+    numbered = added.select(*natural_key, (F.col(name) + last).cast("bigint").alias(name))
+    return known.select(*natural_key, F.col(name).cast("bigint").alias(name)).unionByName(numbered)

@@ -127,3 +127,15 @@ def product_performance(fact: DataFrame) -> DataFrame:
         _per("Price_Sum", F.col("Line_Count") * 100).alias("Avg_Unit_Price"),
         _margin_share("Margin_Pct"),
     )
+
+
+def by_month(fact: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
+    """The three tables, with the month that they are stored by. A month's rows come from the fact rows of
+    that month alone."""
+    daily = sales_daily(fact).withColumn("Sales_Month", F.year("Transaction_Date") * 100 + F.month("Transaction_Date"))
+    month = F.col("Year") * 100 + F.col("Month")
+    return {
+        "agg_sales_daily": daily,
+        "agg_sales_monthly": sales_monthly(fact, products).withColumn("Sales_Month", month),
+        "agg_product_performance": product_performance(fact).withColumn("Sales_Month", month),
+    }

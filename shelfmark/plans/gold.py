@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,9 +171,31 @@ def fact_sales(lines: DataFrame, headers: DataFrame, clock: RunClock) -> DataFra
     )
 
 
+def month_of(date: str) -> Column:
+    return F.year(date) * 100 + F.month(date)
+
+
 def with_sales_month(fact: DataFrame) -> DataFrame:
     """The stored fact is split into folders by month."""
-    return fact.withColumn("Sales_Month", F.year("Transaction_Date") * 100 + F.month("Transaction_Date"))
+    return fact.withColumn("Sales_Month", month_of("Transaction_Date"))
+
+
+def touched_months(fact: DataFrame, headers: DataFrame, *loaded: DataFrame) -> DataFrame:
+    """(Sales_Month) of the months of the fact that new loads can change.
+
+    ``loaded`` are rows of the loads with their Transaction_ID, headers or lines; ``headers`` are all
+    trusted headers after them, ``fact`` is the stored fact before. A transaction touches the month it
+    stood in and the one it stands in now."""
+    changed = reduce(DataFrame.unionAll, [rows.select("Transaction_ID") for rows in loaded]).distinct()
+    now = headers.select("Transaction_ID", month_of("Transaction_Date").alias("Sales_Month"))
+    before = fact.select("Transaction_ID", "Sales_Month")
+    return now.unionByName(before).join(changed, "Transaction_ID", "left_semi").select("Sales_Month").distinct()
+
+
+def in_months(headers: DataFrame, months: Sequence[int]) -> DataFrame:
+    """Headers of some months, by ranges of dates that reach the scan."""
+    ranges = [f"Transaction_Date BETWEEN DATE'{m // 100}-{m % 100:02}-01' AND last_day(DATE'{m // 100}-{m % 100:02}-01')" for m in months]
+    return headers.filter(" OR ".join(ranges) or "false")
 
 
 def fact_inventory_snapshot(inventory: DataFrame, clock: RunClock) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.clock import RunClock
 from shelfmark.operators.checks import run_checks
-from shelfmark.operators.surrogate import dense_key, hash_key
+from shelfmark.operators.surrogate import hash_key, lasting_key
 from shelfmark.plans import aggregates, contracts, gold, silver
 from shelfmark.plans.reports import enough_fact_rows
 from shelfmark.plans.staging import STAGERS
@@ -36,6 +36,15 @@ def staging_name(table: str) -> str:
     return f"stg_{table}"
 
 
+BUCKETED = ("pos_transactions_header", "pos_transactions_lines")
+
+
+def transaction_buckets(lake: Lake) -> int:
+    """Buckets of headers and lines, the same for both: the shuffle partitions that the run was fitted to."""
+    conf = lake.spark.conf
+    return int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions"))
+
+
 def stage_all(lake: Lake, clock: RunClock) -> None:
     for table, stage in STAGERS.items():
         lake.refresh(STAGING, staging_name(table), stage(lake.read(RAW, table), clock))
@@ -67,7 +76,22 @@ def refine_all(lake: Lake, clock: RunClock, mask_contacts: bool = False) -> None
         ),
     }
     for table, build in steps.items():
-        lake.refresh(SILVER, silver_name(table), build())
+        # headers and lines meet by transaction in the fact and in reports: stored so, they need no shuffle there
+        buckets = (transaction_buckets(lake), "Transaction_ID") if table in BUCKETED else None
+        lake.refresh(SILVER, silver_name(table), build(), bucket_by=buckets)
+
+
+def stored_sales(lines: DataFrame, headers: DataFrame, clock: RunClock) -> DataFrame:
+    sales = gold.fact_sales(lines, headers, clock)
+    return gold.with_sales_month(sales.withColumn("Sales_Key", hash_key("Transaction_Line_ID")))
+
+
+def lasting_keys(lake: Lake, table: str, df: DataFrame, name: str, natural: list[str]) -> DataFrame:
+    """The stored key map of a dimension, with new natural keys numbered on. Keys of rows that left the
+    dimension are kept for their return."""
+    stored = f"{table}_keys"
+    known = lake.read(GOLD, stored) if lake.exists(GOLD, stored) else None
+    return lake.refresh(GOLD, stored, lasting_key(df, name, natural, known))
 
 
 def publish_all(lake: Lake, clock: RunClock) -> None:
@@ -82,15 +106,16 @@ def publish_all(lake: Lake, clock: RunClock) -> None:
         "dim_weather": gold.dim_weather(clean("api_weather"), clock),
     }
     for table, df in dimensions.items():
-        lake.refresh(GOLD, table, dense_key(df, *DIMENSION_KEYS[table]))
+        name, natural = DIMENSION_KEYS[table]
+        keys = lasting_keys(lake, table, df, name, natural)
+        lake.refresh(GOLD, table, df.join(keys, natural))
     lake.refresh(GOLD, "dim_date", gold.dim_date(lake.spark, clock))
     lake.refresh(
         GOLD,
         "bridge_promotion_product",
         gold.bridge_promotion_product(clean("mkt_promotions"), clean("erp_products"), clock),
     )
-    sales = gold.fact_sales(clean("pos_transactions_lines"), clean("pos_transactions_header"), clock)
-    sales = gold.with_sales_month(sales.withColumn("Sales_Key", hash_key("Transaction_Line_ID")))
+    sales = stored_sales(clean("pos_transactions_lines"), clean("pos_transactions_header"), clock)
     lake.refresh(GOLD, "fact_sales", sales, partition_by=["Sales_Month"], sort_by=gold.FACT_SALES_SORT)
     stock = gold.fact_inventory_snapshot(clean("erp_inventory"), clock)
     stock = stock.withColumn("Inventory_Snapshot_Key", hash_key("Product_SKU", "Store_ID", "Snapshot_Date"))
@@ -99,13 +124,33 @@ def publish_all(lake: Lake, clock: RunClock) -> None:
 
 def aggregate_all(lake: Lake, clock: RunClock) -> None:
     sales, products = lake.read(GOLD, "fact_sales"), lake.read(GOLD, "dim_product")
-    built = {
-        "agg_sales_daily": aggregates.sales_daily(sales),
-        "agg_sales_monthly": aggregates.sales_monthly(sales, products),
-        "agg_product_performance": aggregates.product_performance(sales),
-    }
-    for table, df in built.items():
-        lake.refresh(GOLD, table, df.withColumn("Created_TS", clock.stamp()))
+    for table, df in aggregates.by_month(sales, products).items():
+        lake.refresh(GOLD, table, df.withColumn("Created_TS", clock.stamp()), partition_by=["Sales_Month"])
+
+
+def publish_loads(lake: Lake, batches: Sequence[str], clock: RunClock) -> list[int]:
+    """Bring the sales fact and its aggregates up to date with some loads of headers and lines, after
+    staging and silver hold them; returns the months that were rewritten.
+
+    Only months that the loads touch are computed and stored; the folders of all others stay as they
+    are. Categories of products are taken as unchanged: when they change, the monthly aggregate has
+    to be built as a whole."""
+    def loaded(table: str) -> DataFrame:
+        staged = lake.read(STAGING, staging_name(table)).filter(F.col("Batch_ID").isin(*batches))
+        return staged.filter("Transaction_ID IS NOT NULL")
+
+    headers, lines = (lake.read(SILVER, silver_name(table)) for table in BUCKETED)
+    touched = gold.touched_months(lake.read(GOLD, "fact_sales"), headers, *map(loaded, BUCKETED))
+    # no more than the months of the calendar
+    months = sorted(r["Sales_Month"] for r in touched.collect())
+    if not months:
+        return months
+    sales = stored_sales(lines, gold.in_months(headers, months), clock)
+    fact = lake.replace_partitions(GOLD, "fact_sales", sales, "Sales_Month", months, gold.FACT_SALES_SORT)
+    part = fact.filter(F.col("Sales_Month").isin(*months))
+    for table, df in aggregates.by_month(part, lake.read(GOLD, "dim_product")).items():
+        lake.replace_partitions(GOLD, table, df.withColumn("Created_TS", clock.stamp()), "Sales_Month", months)
+    return months
 
 
 def check_all(lake: Lake) -> DataFrame:

@@ -115,6 +115,8 @@ ENTITY_BY_FILE = {e.file: e for e in ENTITIES.values()}
 MANIFEST_TABLE = "ingestion_manifest"
 MANIFEST_SCHEMA = T.StructType(
     [
+        # counts the loads of an entity; it is the upper part of the ids of their rows
+        T.StructField("Load_Number", T.LongType()),
         T.StructField("Batch_ID", T.StringType(), False),
         T.StructField("Source_System", T.StringType()),
         T.StructField("Entity_Name", T.StringType()),
@@ -124,9 +126,15 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("Load_End_TS", T.TimestampType()),
         T.StructField("Load_Status", T.StringType()),
         T.StructField("Error_Message", T.StringType()),
+        T.StructField("Duration_Seconds", T.DoubleType()),
+        T.StructField("Created_TS", T.TimestampType()),
     ]
 )
 
+# every streamed file, once as STARTED before its rows are stored and once as COMPLETED after
+LEDGER_TABLE = "landed_files"
+LEDGER_COLUMNS = ("Batch_ID", "Entity_Name", "Source_File", "Load_Number", "Row_Count", "Load_Status", "Load_Day")
+
 WEATHER_PAYLOAD = T.StructType(
     [
         T.StructField(

@@ -5,13 +5,16 @@ import random
 from conftest import column, frame
 from pyspark.sql import functions as F
 
+from shelfmark.operators import checks, salting
 from shelfmark.operators.checks import accepted, holds, not_null, run_checks, unique
 from shelfmark.operators.dedupe import keep_latest
 from shelfmark.operators.existence import flag_existing
-from shelfmark.operators.history import version_history
+from shelfmark.operators.history import PERIOD, merge_versions, version_history
 from shelfmark.operators.overlap import count_overlapping_pairs, overlap_degree
 from shelfmark.operators.quality import Rule, apply_rules, score
-from shelfmark.operators.surrogate import dense_key, hash_key
+from shelfmark.operators.surrogate import dense_key, hash_key, lasting_key
+
+D = dt.date
 
 
 def test_keep_latest_ties_and_nulls(spark):
@@ -105,3 +108,81 @@ def test_checks(spark):
         "not_null(k)": 1, "not_null(v)": 1, "accepted_values(v)": 1, "expression_is_true(v > 0)": 1,
         "unique(k)": 2, "unique(k where cur = 1)": 1,
     }
+
+
+def test_hot_keys_alone_are_copied(spark):
+    rows = [("hot",)] * 1000 + [("warm",)] * 150 + [(f"k{i}",) for i in range(300)] + [(None,)] * 2000
+    df = frame(spark, "key string", *rows).withColumn("n", F.monotonically_increasing_id())
+    lookup = frame(spark, "ref string, value int", ("hot", 1), ("warm", 2), *[(f"k{i}", 3) for i in range(500)])
+    hot = salting.hot_keys(df, ["key"], hot_rows=100)
+    assert {tuple(r) for r in hot.collect()} == {("hot", 10), ("warm", 2)}
+    # 502 rows, nine more copies of one and one more of the other, whatever the number of partitions
+    for partitions in ("4", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        assert salting.copied_lookup(lookup, ["ref"], hot).count() == 512
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    # the number of spread keys is bounded, the hottest first
+    assert [r["key"] for r in salting.hot_keys(df, ["key"], hot_rows=100, most=1).collect()] == ["hot"]
+    for how in ("inner", "left"):
+        got = salting.salted_join(df, lookup, [("key", "ref")], how, hot_rows=100)
+        want = df.join(lookup, df["key"] == lookup["ref"], how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    tasks = salting._salted(df, ["key"], hot).withColumn("salt", salting.row_bucket(df, F.col("__salts")))
+    assert tasks.where("key = 'hot'").select("salt").distinct().count() == 10
+
+
+def history_rows(df):
+    columns = ("k", "price", "Effective_From", "Effective_To", "Is_Current", "Version_Number")
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str)
+
+
+def test_loads_merged_one_by_one_give_the_whole_history(spark):
+    rng = random.Random(5)
+    schema = "k string, price int, day date, Raw_ID int, ok int"
+    how = ("k", "day", ["price"], ["Raw_ID"])
+    loads, n = [], 0
+    for load in range(6):
+        rows = []
+        for k in range(25):
+            for _ in range(rng.choice([0, 0, 1, 1, 3])):
+                n += 1
+                day = D(2024, 1, 1) + dt.timedelta(days=load * 5 + rng.randint(0, 5))
+                rows.append((f"k{k}", rng.choice([1, 2, None]), day, n, rng.choice([1, 1, 1, 0])))
+        loads.append(rows)
+    stored = frame(spark, f"{schema}", *loads[0])
+    stored = version_history(stored, *how, F.col("ok")).select("k", "price", *PERIOD)
+    for i, rows in enumerate(loads[1:], 2):
+        stored = spark.createDataFrame(merge_versions(stored, frame(spark, schema, *rows), *how, F.col("ok")).collect(), stored.schema)
+        whole = frame(spark, schema, *[r for load in loads[:i] for r in load])
+        assert history_rows(stored) == history_rows(version_history(whole, *how, F.col("ok")))
+    # earlier than the open version: closed periods stay
+    late = merge_versions(stored, frame(spark, schema, ("k1", 9, D(2023, 1, 1), n + 1, 1)), *how, F.col("ok"))
+    assert history_rows(late) == history_rows(stored)
+    assert history_rows(merge_versions(stored, frame(spark, schema), *how, F.col("ok"))) == history_rows(stored)
+
+
+def test_keys_last(spark):
+    first = frame(spark, "a string, b int", *[(f"x{i}", i % 3) for i in range(50)], ("x1", 1), (None, 1))
+    known = lasting_key(first, "Key", ["a", "b"], None)
+    before = {(r["a"], r["b"]): r["Key"] for r in known.collect()}
+    assert sorted(before.values()) == list(range(1, 51))
+    second = frame(spark, "a string, b int", *[(f"x{i}", i % 3) for i in range(20, 90)])
+    known = spark.createDataFrame(known.collect(), known.schema)
+    after = {(r["a"], r["b"]): r["Key"] for r in lasting_key(second, "Key", ["a", "b"], known).collect()}
+    assert {k: after[k] for k in before} == before and sorted(after.values()) == list(range(1, 91))
+    assert lasting_key(second.limit(0), "Key", ["a", "b"], known).count() == 50
+    assert sorted(r["Key"] for r in lasting_key(second, "Key", ["a", "b"], known.limit(0)).collect()) == list(range(1, 71))
+
+
+def test_violations_name_every_rule(spark):
+    rules = [*checks.not_null("a"), checks.holds("b > 0"), checks.unique("k"), checks.unique("b", only_if="a = 'u'")]
+    rows = [(1, "x", 1, "x"), (1, "x", 2, "x"), (1, None, 3, "x"), (2, None, -1, None), (None, "u", 5, "u"), (None, "u", 5, "u"), (3, "u", 0, "u"), (4, "u", None, "u")]
+    df = frame(spark, "k int, a string, b int, row string", *rows).withColumn("n", F.monotonically_increasing_id())
+    marked = checks.violations(df, rules, ["n"]).orderBy("n").collect()
+    assert [r[checks.VIOLATED] for r in marked] == [
+        [], ["unique(k)"], ["not_null(a)"], ["not_null(a)", "expression_is_true(b > 0)"], [], ["unique(b where a = 'u')"], ["expression_is_true(b > 0)"], [],
+    ]
+    both = checks.violations(df, rules, ["n"])
+    assert checks.accepted_rows(both).columns == df.columns
+    assert checks.accepted_rows(both).count() + checks.rejected_rows(both).count() == len(rows)
+    assert checks.accepted_rows(checks.violations(df, [], ["n"])).count() == len(rows)

@@ -841,4 +841,31 @@ CTE["changes"] = (
     "OR Price IS DISTINCT FROM lag(Price) OVER v OR Cost_Price IS DISTINCT FROM lag(Cost_Price) OVER v"
 )
 
+CTE["changed"] = "SELECT DISTINCT Transaction_ID FROM stg_lines WHERE Load_Timestamp >= TIMESTAMP '2001-11-04 00:00:00' AND Transaction_ID IS NOT NULL"
+CTE["months"] = (
+    "SELECT DISTINCT year(Transaction_Date) * 100 + month(Transaction_Date) AS Sales_Month FROM (SELECT Transaction_Date FROM headers "
+    "WHERE Transaction_ID IN (SELECT Transaction_ID FROM changed) UNION ALL SELECT Transaction_Date FROM sales "
+    "WHERE Transaction_ID IN (SELECT Transaction_ID FROM changed)) AS x"
+)
+CTE["marked"] = """
+SELECT Raw_ID, Transaction_ID, list_filter([
+  CASE WHEN Transaction_Date IS NULL THEN 'not_null(Transaction_Date)' END,
+  CASE WHEN Total_Amount IS NULL THEN 'not_null(Total_Amount)' END,
+  CASE WHEN Payment_Method NOT IN ('CASH', 'CARD', 'ONLINE', 'CREDIT', 'DEBIT') THEN 'accepted_values(Payment_Method)' END,
+  CASE WHEN Total_Amount <= 0 THEN 'expression_is_true(Total_Amount > 0)' END,
+  CASE WHEN Line_Count <= 0 THEN 'expression_is_true(Line_Count > 0)' END], lambda x: x IS NOT NULL) AS v FROM stg_header"""
+CTE["again"] = (
+    "SELECT Raw_ID FROM marked WHERE len(v) = 0 AND Transaction_ID IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY Transaction_ID ORDER BY Raw_ID DESC) > 1"
+)
+ORACLE_BODIES |= {
+    "merged_history": ORACLE_BODIES["scd2_history"],
+    "lasting_customer_keys": "SELECT Customer_ID, row_number() OVER (ORDER BY City <> 'Dubai', substr(md5(Customer_ID), 1, 3), Customer_ID) AS Customer_Key FROM customers",
+    "enforced_rows": "SELECT Raw_ID, Transaction_ID, CASE WHEN Raw_ID IN (SELECT Raw_ID FROM again) THEN 'unique(Transaction_ID)' ELSE array_to_string(v, '; ') END AS Violated_Rules FROM marked",
+    "touched_months": "SELECT CAST(Sales_Month AS BIGINT) AS Sales_Month FROM months",
+    "rebuilt_months": "SELECT *, CAST(substr(Transaction_Date, 1, 4) || substr(Transaction_Date, 6, 2) AS BIGINT) AS Sales_Month FROM ("
+    + ORACLE_BODIES["agg_daily"].replace("FROM sales AS s", "FROM sales AS s WHERE year(s.Transaction_Date) * 100 + month(s.Transaction_Date) IN (SELECT Sales_Month FROM months)")
+    + ") AS d",
+}
+
 ORACLE = {name: statement(body) for name, body in ORACLE_BODIES.items()}

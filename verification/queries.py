@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from shelfmark.clock import RunClock
 from shelfmark.functions import dates, measures, numbers, rules, text
-from shelfmark.operators.checks import run_checks
+from shelfmark.operators.checks import VIOLATED, accepted, holds, not_null, run_checks, unique, violations
 from shelfmark.operators.dedupe import keep_latest
-from shelfmark.operators.history import version_history
-from shelfmark.operators.surrogate import dense_key
+from shelfmark.operators.history import merge_versions, version_history
+from shelfmark.operators.surrogate import dense_key, lasting_key
 from shelfmark.plans import aggregates, analytics, contracts, gold, reports, silver
 from shelfmark.plans.staging import STAGERS
 from shelfmark.plans.warehouse import DIMENSION_KEYS
@@ -23,6 +23,8 @@ from verification import feeds
 
 CLOCK = RunClock.on("2025-01-01")
 WEATHER_YEAR = 1998
+# lines loaded from then on are the newest loads of the feed
+LAST_LINES = "2001-11-04 00:00:00"
 
 
 def usable_stock():
@@ -605,8 +607,6 @@ def _(b: Build):
 @query("constraint_violations")
 def _(b: Build):
     # the stored rules on rows that silver has not filtered, so that they can fail
-    from shelfmark.operators.checks import accepted, holds, not_null, unique
-
     lines = [
         *not_null("Quantity", "Unit_Price", "Cost_Price", "Promotion_ID"),
         holds("Quantity <> 0"),
@@ -757,3 +757,59 @@ def _(b: Build):
 @query("header_vs_lines")
 def _(b: Build):
     return analytics.header_against_lines(b.headers(), b.lines())
+
+
+# --- one load after another ---------------------------------------------------------------
+
+
+def load_of(df: DataFrame, number: int) -> DataFrame:
+    """The rows of one of the two loads of a feed."""
+    return df.filter(F.col("Batch_ID").endswith(f"_{number}"))
+
+
+@query("merged_history")
+def _(b: Build):
+    staged = b.staged("erp_products")
+    how = ("Product_SKU", "Last_Updated", ["Price", "Cost_Price"], silver.NEWEST, F.col("DQ_Is_Valid") * F.col("DQ_Last_Updated_Valid"))
+    columns = ["Product_SKU", "Price", "Cost_Price", "Effective_From", "Effective_To", "Is_Current", "Version_Number"]
+    stored = version_history(load_of(staged, 1), *how).select(*columns)
+    return merge_versions(stored, load_of(staged, 2), *how)
+
+
+@query("lasting_customer_keys")
+def _(b: Build):
+    customers = b.dim("dim_customer")
+    # a first map of one city's customers, then one of all
+    known = lasting_key(customers.filter("City = 'Dubai'"), "Customer_Key", ["Customer_ID"], None)
+    return lasting_key(customers, "Customer_Key", ["Customer_ID"], known)
+
+
+@query("enforced_rows")
+def _(b: Build):
+    rules_of_headers = [
+        *not_null("Transaction_Date", "Total_Amount"),
+        accepted("Payment_Method", rules.PAYMENT_METHODS),
+        holds("Total_Amount > 0"),
+        holds("Line_Count > 0"),
+        unique("Transaction_ID"),
+    ]
+    marked = violations(b.staged("pos_transactions_header"), rules_of_headers, [F.desc("Raw_ID")])
+    return marked.select("Raw_ID", "Transaction_ID", F.concat_ws("; ", VIOLATED).alias("Violated_Rules"))
+
+
+def months_of_last_lines(b: Build) -> DataFrame:
+    last = b.staged("pos_transactions_lines").filter(f"Load_Timestamp >= TIMESTAMP'{LAST_LINES}'")
+    return gold.touched_months(gold.with_sales_month(b.sales()), b.headers(), last)
+
+
+@query("touched_months")
+def _(b: Build):
+    return months_of_last_lines(b)
+
+
+@query("rebuilt_months")
+def _(b: Build):
+    # no more than the months of the calendar
+    months = [r["Sales_Month"] for r in months_of_last_lines(b).collect()]
+    fact = gold.fact_sales(b.lines(), gold.in_months(b.headers(), months), CLOCK)
+    return aggregates.by_month(gold.with_sales_month(fact), b.products())["agg_sales_daily"]
