@@ -18,13 +18,17 @@ def main() -> int:
     args.add_argument("lake_root")
     args.add_argument("--as-of", help="date of the run, today by default")
     args.add_argument("--append", action="store_true", help="keep earlier raw rows")
-    args.add_argument("--mask-contacts", action="store_true")
+    args.add_argument("--mask-secret-file", help="mask contacts by digests keyed by this file's text")
     options = args.parse_args()
     clock = RunClock.on(options.as_of) if options.as_of else RunClock.now()
+    secret = None
+    if options.mask_secret_file:
+        with open(options.mask_secret_file, encoding="utf-8") as file:
+            secret = file.read().strip()
     spark = SparkSession.builder.appName("shelfmark").getOrCreate()
     lake = Lake(spark, options.lake_root)
     try:
-        warehouse.run(lake, options.raw_dir, clock, not options.append, options.mask_contacts)
+        warehouse.run(lake, options.raw_dir, clock, not options.append, secret)
     except warehouse.LoadFailed as failure:
         print(failure)
         return 1

@@ -100,7 +100,13 @@ def value_label(c: Column | str, groups: dict[str, Sequence[str]], default: str)
     return F.lit(default) if chain is None else chain.otherwise(F.lit(default))
 
 
-def masked(c: Column | str) -> Column:
-    """One-way digest of a personal value; the missing marker stays readable."""
+def masked(c: Column | str, secret: str) -> Column:
+    """Keyed one-way digest of a personal value; the missing marker stays readable.
+
+    Without the secret, short values such as phone numbers cannot be tried out. It is part of the
+    plan, so keep plans and event logs as private as the secret."""
+    if not secret:
+        raise ValueError("masking needs a secret")
     c = as_col(c)
-    return F.when(c == MISSING, c).otherwise(F.sha2(c, 256))
+    inner = F.sha2(F.concat(F.lit(secret), c), 256)
+    return F.when(c == MISSING, c).otherwise(F.sha2(F.concat(F.lit(secret), inner), 256))

@@ -15,6 +15,12 @@ def hash_key(*natural_key: str) -> Column:
     return F.xxhash64(*natural_key)
 
 
+def level_key(*natural_key: str) -> Column:
+    """As :func:`hash_key`, where NULL is a value of its own: it stands for all values of a column, and
+    two columns may hold it."""
+    return F.xxhash64(*[x for k in natural_key for x in (F.col(k).isNull(), F.col(k))])
+
+
 def dense_key(df: DataFrame, name: str, natural_key: Sequence[str], hex_digits: int = 3) -> DataFrame:
     """Keys 1..n without gaps, the same on every run, numbered inside digest buckets.
 

@@ -67,8 +67,8 @@ def clean_stores(staged: DataFrame, clock: RunClock) -> DataFrame:
     )
 
 
-def clean_customers(staged: DataFrame, clock: RunClock, mask_contacts: bool = False) -> DataFrame:
-    """``mask_contacts`` replaces e-mail and phone by digests."""
+def clean_customers(staged: DataFrame, clock: RunClock, mask_secret: str | None = None) -> DataFrame:
+    """With a ``mask_secret``, e-mail and phone are replaced by digests keyed by it."""
     latest = _latest_usable(staged, ["Customer_ID"], stg.customers_rules(clock), ["DQ_Customer_ID_Valid"])
     standard = latest.withColumns(
         {
@@ -88,8 +88,8 @@ def clean_customers(staged: DataFrame, clock: RunClock, mask_contacts: bool = Fa
             "Has_Phone": (F.col("Phone_Number") != text.MISSING).cast("int"),
         }
     )
-    if mask_contacts:
-        flagged = flagged.withColumns({c: text.masked(c) for c in ("Email", "Phone_Number")})
+    if mask_secret is not None:
+        flagged = flagged.withColumns({c: text.masked(c, mask_secret) for c in ("Email", "Phone_Number")})
     return _finish(
         flagged,
         [

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.clock import RunClock
 from shelfmark.operators.checks import run_checks
-from shelfmark.operators.surrogate import hash_key, lasting_key
+from shelfmark.operators.surrogate import hash_key, lasting_key, level_key
 from shelfmark.plans import aggregates, contracts, gold, silver
 from shelfmark.plans.reports import enough_fact_rows
 from shelfmark.plans.staging import STAGERS
@@ -36,6 +36,23 @@ def staging_name(table: str) -> str:
     return f"stg_{table}"
 
 
+# keys that need no order: digests of the natural key
+SILVER_KEYS = {
+    "pos_transactions_header": ("Transaction_Header_SK", ["Transaction_ID"]),
+    "pos_transactions_lines": ("Transaction_Line_SK", ["Transaction_Line_ID"]),
+    "erp_products": ("Product_SK", ["Product_SKU", "Version_Number"]),
+    "erp_stores": ("Store_SK", ["Store_ID"]),
+    "crm_customers": ("Customer_SK", ["Customer_ID"]),
+    "mkt_promotions": ("Promotion_SK", ["Promotion_ID"]),
+    "erp_inventory": ("Inventory_SK", ["Inventory_ID"]),
+    "api_weather": ("Weather_SK", ["Weather_Date", "Store_ID"]),
+}
+AGGREGATE_KEYS = {
+    "agg_sales_daily": ("Daily_Sales_Key", ["Transaction_Date", "Store_ID"]),
+    "agg_sales_monthly": ("Monthly_Sales_Key", ["Year", "Month", "Store_ID", "Category"]),
+    "agg_product_performance": ("Product_Performance_Key", ["Product_SKU", "Store_ID", "Year", "Month"]),
+}
+
 BUCKETED = ("pos_transactions_header", "pos_transactions_lines")
 
 
@@ -50,7 +67,7 @@ def stage_all(lake: Lake, clock: RunClock) -> None:
         lake.refresh(STAGING, staging_name(table), stage(lake.read(RAW, table), clock))
 
 
-def refine_all(lake: Lake, clock: RunClock, mask_contacts: bool = False) -> None:
+def refine_all(lake: Lake, clock: RunClock, mask_secret: str | None = None) -> None:
     def staged(table: str) -> DataFrame:
         # on stored columns this filter reaches the scan
         return lake.read(STAGING, staging_name(table)).filter("DQ_Is_Valid = 1")
@@ -62,7 +79,7 @@ def refine_all(lake: Lake, clock: RunClock, mask_contacts: bool = False) -> None
     steps: dict[str, Callable[[], DataFrame]] = {
         "erp_stores": lambda: silver.clean_stores(staged("erp_stores"), clock),
         "erp_products": lambda: silver.clean_products(staged("erp_products"), clock),
-        "crm_customers": lambda: silver.clean_customers(staged("crm_customers"), clock, mask_contacts),
+        "crm_customers": lambda: silver.clean_customers(staged("crm_customers"), clock, mask_secret),
         "mkt_promotions": lambda: silver.clean_promotions(staged("mkt_promotions"), clock),
         "api_weather": lambda: silver.clean_weather(staged("api_weather"), clock),
         "erp_inventory": lambda: silver.clean_inventory(
@@ -78,7 +95,8 @@ def refine_all(lake: Lake, clock: RunClock, mask_contacts: bool = False) -> None
     for table, build in steps.items():
         # headers and lines meet by transaction in the fact and in reports: stored so, they need no shuffle there
         buckets = (transaction_buckets(lake), "Transaction_ID") if table in BUCKETED else None
-        lake.refresh(SILVER, silver_name(table), build(), bucket_by=buckets)
+        name, natural = SILVER_KEYS[table]
+        lake.refresh(SILVER, silver_name(table), build().withColumn(name, hash_key(*natural)), bucket_by=buckets)
 
 
 def stored_sales(lines: DataFrame, headers: DataFrame, clock: RunClock) -> DataFrame:
@@ -122,10 +140,16 @@ def publish_all(lake: Lake, clock: RunClock) -> None:
     lake.refresh(GOLD, "fact_inventory_snapshot", stock)
 
 
+def stored_aggregates(sales: DataFrame, products: DataFrame, clock: RunClock) -> dict[str, DataFrame]:
+    built = aggregates.by_month(sales, products)
+    for table, (name, natural) in AGGREGATE_KEYS.items():
+        built[table] = built[table].withColumns({name: level_key(*natural), "Created_TS": clock.stamp()})
+    return built
+
+
 def aggregate_all(lake: Lake, clock: RunClock) -> None:
-    sales, products = lake.read(GOLD, "fact_sales"), lake.read(GOLD, "dim_product")
-    for table, df in aggregates.by_month(sales, products).items():
-        lake.refresh(GOLD, table, df.withColumn("Created_TS", clock.stamp()), partition_by=["Sales_Month"])
+    for table, df in stored_aggregates(lake.read(GOLD, "fact_sales"), lake.read(GOLD, "dim_product"), clock).items():
+        lake.refresh(GOLD, table, df, partition_by=["Sales_Month"])
 
 
 def publish_loads(lake: Lake, batches: Sequence[str], clock: RunClock) -> list[int]:
@@ -148,8 +172,8 @@ def publish_loads(lake: Lake, batches: Sequence[str], clock: RunClock) -> list[i
     sales = stored_sales(lines, gold.in_months(headers, months), clock)
     fact = lake.replace_partitions(GOLD, "fact_sales", sales, "Sales_Month", months, gold.FACT_SALES_SORT)
     part = fact.filter(F.col("Sales_Month").isin(*months))
-    for table, df in aggregates.by_month(part, lake.read(GOLD, "dim_product")).items():
-        lake.replace_partitions(GOLD, table, df.withColumn("Created_TS", clock.stamp()), "Sales_Month", months)
+    for table, df in stored_aggregates(part, lake.read(GOLD, "dim_product"), clock).items():
+        lake.replace_partitions(GOLD, table, df, "Sales_Month", months)
     return months
 
 
@@ -183,7 +207,7 @@ def store_quality(lake: Lake) -> DataFrame:
     return lake.refresh(GOLD, "quality_report", check_all(lake).unionByName(short)).filter("Failures > 0")
 
 
-def run(lake: Lake, raw_dir: str, clock: RunClock, truncate: bool = True, mask_contacts: bool = False) -> dict[str, bool]:
+def run(lake: Lake, raw_dir: str, clock: RunClock, truncate: bool = True, mask_secret: str | None = None) -> dict[str, bool]:
     """Load the files and rebuild every table; returns the load status per file.
 
     A file that cannot be loaded stops the run before anything is rebuilt, so the published
@@ -198,7 +222,7 @@ def run(lake: Lake, raw_dir: str, clock: RunClock, truncate: bool = True, mask_c
         raise RuntimeError(f"no raw data for {missing}")
     fit_shuffle(lake.spark, max(lake.stored_bytes(RAW, e.table) for e in ENTITIES.values()))
     stage_all(lake, clock)
-    refine_all(lake, clock, mask_contacts)
+    refine_all(lake, clock, mask_secret)
     publish_all(lake, clock)
     aggregate_all(lake, clock)
     store_quality(lake)

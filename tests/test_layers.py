@@ -152,7 +152,7 @@ def test_customers(staged, clock):
     assert set(got) == {"C1", "C2"}
     assert (got["C1"]["Phone_Number"], got["C1"]["Email"], got["C1"]["Has_Email"], got["C1"]["City"]) == ("N/A", "N/A", 0, "N/A")
     assert (got["C2"]["Full_Name"], got["C2"]["Gender"], got["C2"]["Email"], got["C2"]["Preferred_Channel"]) == ("Ahmed  Hassan", "N/A", "A@B.COM", "IN-STORE")
-    hidden = rows_by(silver.clean_customers(given, clock, mask_contacts=True), "Customer_ID")
+    hidden = rows_by(silver.clean_customers(given, clock, mask_secret="s3"), "Customer_ID")
     assert hidden["C1"]["Email"] == "N/A" and len(hidden["C2"]["Email"]) == 64 and hidden["C2"]["Has_Email"] == 1
 
 

@@ -12,7 +12,7 @@ from shelfmark.operators.existence import flag_existing
 from shelfmark.operators.history import PERIOD, merge_versions, version_history
 from shelfmark.operators.overlap import count_overlapping_pairs, overlap_degree
 from shelfmark.operators.quality import Rule, apply_rules, score
-from shelfmark.operators.surrogate import dense_key, hash_key, lasting_key
+from shelfmark.operators.surrogate import dense_key, hash_key, lasting_key, level_key
 
 D = dt.date
 
@@ -186,3 +186,8 @@ def test_violations_name_every_rule(spark):
     assert checks.accepted_rows(both).columns == df.columns
     assert checks.accepted_rows(both).count() + checks.rejected_rows(both).count() == len(rows)
     assert checks.accepted_rows(checks.violations(df, [], ["n"])).count() == len(rows)
+
+
+def test_level_keys_tell_missing_columns_apart(spark):
+    df = frame(spark, "a string, b string", ("x", None), (None, "x"), ("x", "x"), (None, None))
+    assert df.select(level_key("a", "b")).distinct().count() == 4

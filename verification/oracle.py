@@ -822,7 +822,7 @@ SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS Date_SK, CAST(d AS VARCHAR) AS D
     "scd2_history": f"""SELECT Product_SKU, CAST(Price AS DOUBLE) AS Price, CAST(Cost_Price AS DOUBLE) AS Cost_Price, CAST(Last_Updated AS VARCHAR) AS Effective_From,
   CAST(CAST(lead(Last_Updated) OVER w - INTERVAL 1 DAY AS DATE) AS VARCHAR) AS Effective_To, (lead(Last_Updated) OVER w IS NULL)::BIGINT AS Is_Current,
   row_number() OVER w AS Version_Number FROM changes WINDOW w AS (PARTITION BY Product_SKU ORDER BY Last_Updated)""",
-    "masked_contacts": "SELECT Customer_ID, CASE WHEN Email = 'N/A' THEN Email ELSE sha256(Email) END AS Email, CASE WHEN Phone_Number = 'N/A' THEN Phone_Number ELSE sha256(Phone_Number) END AS Phone_Number, CAST(Has_Email AS BIGINT) AS Has_Email, CAST(Has_Phone AS BIGINT) AS Has_Phone FROM customers",
+    "masked_contacts": "SELECT Customer_ID, CASE WHEN Email = 'N/A' THEN Email ELSE sha256('not a secret' || sha256('not a secret' || Email)) END AS Email, CASE WHEN Phone_Number = 'N/A' THEN Phone_Number ELSE sha256('not a secret' || sha256('not a secret' || Phone_Number)) END AS Phone_Number, CAST(Has_Email AS BIGINT) AS Has_Email, CAST(Has_Phone AS BIGINT) AS Has_Phone FROM customers",
     "header_vs_lines": """SELECT Transaction_ID, CAST(Total_Amount AS DOUBLE) AS Total_Amount, CAST(t AS DOUBLE) AS Lines_Total, coalesce(n, 0) AS Lines_Found,
   CAST(Total_Amount - coalesce(t, 0) AS DOUBLE) AS Gap, (abs(Total_Amount - coalesce(t, 0)) <= 0.01)::BIGINT AS Totals_Match
 FROM headers LEFT JOIN (SELECT Transaction_ID, sum(Line_Sales_Amount) AS t, count(*) AS n FROM lines GROUP BY 1) AS s USING (Transaction_ID)""",

@@ -751,7 +751,7 @@ def _(b: Build):
 
 @query("masked_contacts")
 def _(b: Build):
-    return b.customers(mask_contacts=True).select("Customer_ID", "Email", "Phone_Number", "Has_Email", "Has_Phone")
+    return b.customers(mask_secret="not a secret").select("Customer_ID", "Email", "Phone_Number", "Has_Email", "Has_Phone")
 
 
 @query("header_vs_lines")
