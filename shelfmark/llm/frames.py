@@ -48,13 +48,21 @@ def packed(df: DataFrame, column: str = "text") -> DataFrame:
     return df.mapInArrow(lambda b: _packed_batches(b, column), schema)
 
 
-def unpacked(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Batches of a packed table, cut at `most` compressed bytes, each with its texts."""
+def unpacked(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Batches of a packed table, cut at `most` bytes of text as their frames tell it, each with its texts;
+    a longer text is a batch of its own."""
     import zstandard
 
     press = zstandard.ZstdDecompressor()
-    for batch in slices(batches, column, most):
-        yield batch, [None if x is None else press.decompress(x).decode() for x in batch.column(column).to_pylist()]
+    for batch in batches:
+        frames = batch.column(column).to_pylist()
+        sizes = [0 if x is None else zstandard.frame_content_size(x) for x in frames]
+        start = total = 0
+        for i, size in enumerate([*sizes, most + 1]):
+            if i > start and total + size > most:
+                yield batch.slice(start, i - start), [None if x is None else press.decompress(x) for x in frames[start:i]]
+                start, total = i, 0
+            total += size
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -92,7 +92,7 @@ def _place_batches(batches: Iterable[pa.RecordBatch], least: int, depth: int) ->
 
 
 def _token_batches(batches: Iterable[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    for batch, texts in unpacked(batches):
+    for batch, texts in read_packed(batches):
         rows: list[tuple] = []
         for text, wanted in zip(texts, batch.column("wanted").to_pylist()):
             lines = (text or "").split("\n")
@@ -103,6 +103,11 @@ def _token_batches(batches: Iterable[pa.RecordBatch], depth: int) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["leaf", "content", "tokens"])
 
 
+def read_packed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    for batch, texts in unpacked(batches):
+        yield batch, [None if t is None else t.decode() for t in texts]
+
+
 def _same(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["_id"]) & (a["text_hash"] == b["_hash"])
 
@@ -201,7 +206,7 @@ def remaining(text: str | None, dropped: list[int] | None) -> str | None:
 
 
 def _rewritten(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in unpacked(batches):
+    for batch, texts in read_packed(batches):
         left = [remaining(t, d) for t, d in zip(texts, batch.column(batch.num_columns - 1).to_pylist())]
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()) if c == "text" else batch.column(c) for c in columns], columns)
 
@@ -214,7 +219,7 @@ def drop_lines(documents: DataFrame, **settings) -> DataFrame:
 
 
 def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in unpacked(batches):
+    for batch, texts in read_packed(batches):
         rows = []
         for text, dropped in zip(texts, batch.column(batch.num_columns - 1).to_pylist()):
             left = remaining(text or "", dropped)
