@@ -142,3 +142,71 @@ FROM d LEFT JOIN listed ON listed.doc_id = d.doc_id
 
 
 LLM_ORACLE["op9_secret_scan"] = _secrets_sql()
+
+# Lines by host and distinct document, as the method counts them, beside the base measures.
+LLM_ORACLE["op4_quality_rules"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), split AS (
+  SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS line FROM d
+), lines AS (
+  SELECT doc_id, source, t, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+    trim(regexp_replace(regexp_replace(lower(line), '\p{Nd}', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS plain
+  FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), repeated AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY doc_id
+), starts AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 3)
+), twice AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM starts
+    QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1) GROUP BY doc_id
+), hosts AS (
+  SELECT source, greatest(20.0, count(*) * 0.01) AS most FROM (SELECT DISTINCT source, doc_id, t FROM d) GROUP BY source
+), frequent AS (
+  SELECT c.source, plain FROM (SELECT source, plain, count(DISTINCT (doc_id, t)) AS n FROM lines GROUP BY source, plain) AS c
+  JOIN hosts ON c.source IS NOT DISTINCT FROM hosts.source WHERE n > most
+), lost AS (
+  SELECT doc_id, sum(n) AS n FROM lines JOIN frequent ON lines.source IS NOT DISTINCT FROM frequent.source AND lines.plain = frequent.plain GROUP BY doc_id
+), judged AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: len(x))), 0)::BIGINT AS word_chars,
+    len(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+    coalesce(twice.n, 0)::BIGINT AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS n_removed_words
+  FROM d LEFT JOIN repeated ON repeated.doc_id = d.doc_id LEFT JOIN twice ON twice.doc_id = d.doc_id LEFT JOIN lost ON lost.doc_id = d.doc_id
+), based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM judged
+)
+SELECT *, NOT base_failed AND 2 * n_removed_words <= n_words AND n_words - n_removed_words >= 25 AS kept FROM based
+"""
+
+# Every string of 100 bytes of every text, as it is. A byte is two hexadecimal digits; texts are cut in overlapping
+# pieces first, since a substring far inside a long string is found by counting from its start.
+LLM_ORACLE["op7_suffix_dedup"] = r"""
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), cuts AS (
+  SELECT doc_id, h, len(h) // 2 AS n, unnest(range(0, (len(h) // 2 - 100) // 1000 + 1)) AS k FROM bytes WHERE len(h) >= 200
+), windows AS (
+  SELECT doc_id, 1000 * k + j AS i, md5(substr(c, 2 * j - 1, 200)) AS bytes_of
+  FROM (SELECT doc_id, k, c, unnest(range(1, least(1000, n - 99 - 1000 * k) + 1)) AS j
+    FROM (SELECT doc_id, n, k, substr(h, 2000 * k + 1, 2198) AS c FROM cuts))
+), repeats AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY bytes_of ORDER BY doc_id, i) > 1
+), islands AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS island
+  FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM repeats)
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 99 AS z FROM islands GROUP BY doc_id, island
+), pieces AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS a, a - 1 AS z FROM spans
+  UNION ALL SELECT doc_id, coalesce(max(spans.z), 0) + 1, any_value(len(h) // 2) FROM bytes LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * pieces.a - 1, 2 * (pieces.z - pieces.a + 1)), '' ORDER BY pieces.a) AS left_over
+  FROM pieces JOIN bytes USING (doc_id) GROUP BY doc_id
+), gone AS (
+  SELECT doc_id, sum(z - a + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(left_over)) AS kept_sha256
+FROM bytes JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
