@@ -24,7 +24,7 @@ Only buckets that can hold a repeat are refined to the end across documents:
 Before each shuffle a task settles what it can see itself: of equal runs, blocks or windows at
 hand only the first is sent, the others have an earlier copy already; of a bucket that holds
 different ones, one mark is sent and they are refined. So a string that a third of all
-documents hold, between whatever else, sends a row or two for each few megabytes of text.
+documents hold, between whatever else, sends a few rows for each task that reads texts.
 
 Defined results: a null or empty text has no bytes; order is by doc_id, null last; rows that
 repeat id and text are one document, each with its result; different texts of one id, or without
@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.frames import cut, slices
+from shelfmark.llm.frames import cut, slices, unpacked
 
 LENGTH = 100
 GRAM = 32
@@ -169,6 +169,62 @@ def _spread(rows: Rows) -> Rows:
     return (refine(rows[3].view(np.uint64), rows[4].view(np.uint64)), *rows[1:])
 
 
+class Sent:
+    """What a task has sent to hot buckets, in a table of fixed size.
+
+    A bucket that slice after slice of a task meets would get a row or two from each. The table knows
+    what the task sent before, so that a bucket gets a few rows from each task: bytes sent before, and
+    from an earlier place, are a repeat; a bucket that was marked needs no second mark, and its
+    rows are refined. Buckets compete for the entries; one that was met again keeps its entry. What the
+    table does not know is sent as ever, so its size only decides how much is spared."""
+
+    def __init__(self, bits: int = 18) -> None:
+        self._shift = np.uint64(64 - bits)
+        self._rows = [np.zeros(1 << bits, np.int64) for _ in range(5)]
+        #: 0 empty, 1 sent, 2 met again
+        self._state = np.zeros(1 << bits, np.int8)
+        self._marked = np.zeros(1 << bits, bool)
+
+    def _find(self, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
+        """Entry of each row's bucket, and whether it is the bucket's own."""
+        at = ((rows[0].view(np.uint64) * FACTORS[0][0]) >> self._shift).astype(np.int64)
+        return at, (self._state[at] > 0) & (self._rows[0][at] == rows[0])
+
+    def settle(self, found: tuple[Rows, Rows, Rows, Rows], mixes: bool = True) -> tuple[Rows, Rows, Rows, Rows]:
+        """FIRST rows, marks, repeats and rows to refine of a slice, less what was sent before. Without
+        `mixes` a bucket may hold different bytes and stays as it is."""
+        first, marks, repeats, refined = (_stacked([rows]) for rows in found)
+        at, own = self._find(first)
+        same = own & (self._rows[1][at] == first[1]) & (self._rows[2][at] == first[2])
+        known = self._rows[3][at], self._rows[4][at]
+        marked = own & self._marked[at] if mixes else np.zeros(len(at), bool)
+        later = same & ~marked & ((first[3] > known[0]) | ((first[3] == known[0]) & (first[4] > known[1])))
+        again = same & ~marked & (first[3] == known[0]) & (first[4] == known[1])
+        mixed = own & ~same & ~marked if mixes else np.zeros(len(at), bool)
+        sent = ~(marked | later | again | mixed)
+        mark_at, mark_own = self._find(marks)
+        new_mark = ~(mark_own & self._marked[mark_at])
+        # entries: earlier places of the same bytes, buckets without one, marks
+        self._state[at[own]] = 2
+        self._marked[at[mixed]] = True
+        taken = sent & (same | (self._state[at] < 2))
+        for column, values in zip(self._rows, first):
+            column[at[taken]] = values[taken]
+        self._state[at[taken & ~own]] = 1
+        self._marked[at[taken & ~own]] = False
+        free = new_mark & (mark_own | (self._state[mark_at] < 2))
+        for column, values in zip(self._rows, marks):
+            column[mark_at[free]] = values[free]
+        self._state[mark_at[free & ~mark_own]] = 1
+        self._marked[mark_at[free]] = True
+        return (
+            _picked(first, sent, FIRST),
+            _stacked([_picked(marks, new_mark, MARK), _picked(first, mixed, MARK)]),
+            _stacked([repeats, _picked(first, later, REPEAT)]),
+            _stacked([refined, _picked(first, marked | mixed, REFINE)]),
+        )
+
+
 def _settle_groups(rows: Rows) -> tuple[Rows, Rows]:
     """Repeats and rows to refine among sorted FIRST rows and marks."""
     bucket, one, two, doc, place, kind = rows
@@ -239,6 +295,7 @@ def _tag(text_hash: np.ndarray) -> np.ndarray:
 
 def _run_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each run of windows."""
+    sent = Sent()
     for batch in slices(batches, "text", SLICE_BYTES):
         texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
         doc, tag = batch.column("doc").to_numpy(), _tag(batch.column("text_hash").to_numpy())
@@ -261,7 +318,7 @@ def _run_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside = _repeats_inside(grams, value[start], at[start], size)
         none = np.zeros(len(start), np.int64)
         place = _place(tag[text], at[start] - first[text], size)
-        found = _settle_here((value[start], bytes_id, none, doc[text], place, none.astype(np.int8)), inside)
+        found = sent.settle(_settle_here((value[start], bytes_id, none, doc[text], place, none.astype(np.int8)), inside))
         yield _batch(_stacked([found[FIRST], found[MARK], _spread(found[REPEAT]), _spread(found[REFINE])]))
 
 
@@ -284,11 +341,7 @@ def _packed_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    import zstandard
-
-    press = zstandard.ZstdDecompressor()
-    for batch in slices(batches, "packed", SLICE_BYTES // 4):
-        yield batch, [press.decompress(x) for x in batch.column("packed").to_pylist()]
+    return unpacked(batches, "packed", SLICE_BYTES)
 
 
 # --- blocks and windows -------------------------------------------------------------------
@@ -352,6 +405,7 @@ def _windows_of_blocks(rows: Rows) -> Rows:
 
 def _block_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of the blocks of the runs to refine."""
+    sent, sent_windows = Sent(), Sent()
     for batch, texts in _unpacked(batches):
         doc, tag = batch.column("doc").to_numpy(), batch.column("tag").to_numpy()
         data, first, _ = _joined(texts)
@@ -374,10 +428,10 @@ def _block_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         after = _bytes_beside(data, core + CORE, 1, BLOCK - 1 - least)
         place = _place(tag[text], at - first[text], count)
         none = np.zeros(len(new), np.int8)
-        found = _settle_here((cores(grams)[core], before, after, doc[text], place, none), none.astype(bool))
+        found = sent.settle(_settle_here((cores(grams)[core], before, after, doc[text], place, none), none.astype(bool)))
         parts = [found[FIRST], found[MARK], _spread(found[REPEAT])]
         if len(found[REFINE][0]):
-            windows = _settle_here(_windows_of_blocks(found[REFINE]), None)
+            windows = sent_windows.settle(_settle_here(_windows_of_blocks(found[REFINE]), None), mixes=False)
             parts += [_picked(windows[FIRST], np.ones(len(windows[FIRST][0]), bool), REFINE), _spread(windows[REPEAT])]
         yield _batch(_stacked(parts))
 

@@ -223,6 +223,25 @@ def test_remove_repeats_over_small_slices(documents, monkeypatch):
     assert got == brute_repeats(rows)
 
 
+def test_hot_buckets_get_a_few_rows_from_a_task(documents, monkeypatch):
+    """A passage in every text, with equal and with different bytes around it, over many slices of a task."""
+    monkeypatch.setattr(suffixes, "SLICE_BYTES", 3_000)
+    rng = random.Random(8)
+    passage = " ".join(rng.choices(["some", "words", "that", "come", "again", "and", "on"], k=60))
+    rows = [(i, f"{rng.random()} {rng.random()}" * rng.randint(0, 3) + passage + f"{rng.random()}" * rng.randint(0, 2)) for i in range(150)]
+    rng.shuffle(rows)
+    texts = documents(rows).coalesce(1).selectExpr("doc_id AS doc", "xxhash64(text) AS text_hash", "text")
+    runs = texts.mapInArrow(suffixes._run_batches, suffixes.SCHEMA)
+    hottest = runs.where("kind < 2").groupBy("bucket").count().agg({"count": "max"}).first()[0]
+    assert hottest <= 15
+    got = sorted([tuple(r) for r in suffixes.remove_repeats(documents(rows)).collect()], key=str)
+    assert got == brute_repeats(rows)
+    # entries that are fought over
+    monkeypatch.setattr(suffixes.Sent.__init__, "__defaults__", (2,))
+    got = sorted([tuple(r) for r in suffixes.remove_repeats(documents(rows)).collect()], key=str)
+    assert got == brute_repeats(rows)
+
+
 def test_remove_repeats_odd_rows(documents):
     rows = [(None, None), (1, None), (2, ""), (4, LONG[:5000]), (4, LONG[:5000]), (5, LONG[:3000]), (None, LONG[1000:4000])]
     got = sorted([tuple(r) for r in suffixes.remove_repeats(documents(rows)).collect()], key=str)
