@@ -57,3 +57,12 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule], validity: str = "DQ_Is_Val
 def score(rules: Sequence[Rule]) -> Column:
     """Weighted sum of the flag columns, 0 to 100."""
     return F.expr(" + ".join(f"{r.name} * {r.weight}" for r in rules if r.weight))
+
+
+def flagged_rows(df: DataFrame, flag: str, *columns: str | Column) -> DataFrame:
+    """``columns`` of the rows whose ``flag`` is 1.
+
+    For flags that are computed in the same plan: a filter would be pushed below the columns that its
+    flag comes from, and its condition would repeat their whole parsing for each rule. Rows
+    are unfolded from a one-row or missing array instead, which stays above them."""
+    return df.select(F.inline(F.when(F.col(flag) == 1, F.array(F.struct(*columns)))))

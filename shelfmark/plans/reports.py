@@ -13,6 +13,7 @@ from shelfmark.functions import rules
 from shelfmark.functions.dates import covered_days, year_span
 from shelfmark.functions.numbers import MONEY, or_zero, share, total_money
 from shelfmark.operators.overlap import count_overlapping_pairs
+from shelfmark.operators.quality import flagged_rows
 from shelfmark.plans.staging import VALID
 
 
@@ -220,8 +221,8 @@ def store_mismatches(header: DataFrame, lines: DataFrame) -> DataFrame:
 
     Each side is reduced to its valid rows first: invalid ones share blank ids, and all of these
     would meet."""
-    h = header.filter(F.col(VALID) == 1).select("Transaction_ID", F.col("Store_ID").alias("Header_Store_ID"))
-    l = lines.filter(F.col(VALID) == 1).select("Transaction_ID", F.col("Store_ID").alias("Line_Store_ID"))
+    h = flagged_rows(header, VALID, "Transaction_ID", F.col("Store_ID").alias("Header_Store_ID"))
+    l = flagged_rows(lines, VALID, "Transaction_ID", F.col("Store_ID").alias("Line_Store_ID"))
     return h.join(l, "Transaction_ID").filter(F.col("Header_Store_ID") != F.col("Line_Store_ID"))
 
 

@@ -12,11 +12,12 @@ from shelfmark import session
 from shelfmark.operators.dedupe import keep_latest
 from shelfmark.operators.existence import flag_existing
 from shelfmark.operators.overlap import count_overlapping_pairs
+from shelfmark.operators.quality import flagged_rows
 from shelfmark.operators.surrogate import dense_key
 from shelfmark.plans import aggregates, analytics, gold, reports
-from shelfmark.plans.staging import stage_lines
+from shelfmark.plans.staging import VALID, stage_header, stage_lines
 from shelfmark.sources.lake import Lake
-from test_layers import LINE
+from test_layers import HEADER, LINE
 
 
 def plan_of(df):
@@ -197,3 +198,15 @@ def test_only_valid_rows_meet_in_store_mismatches(spark):
     optimized = found._jdf.queryExecution().optimizedPlan().toString()
     join = optimized.index("Join")
     assert "DQ_Is_Valid" not in optimized[:join] and optimized[join:].count("Filter") >= 2 or "LocalRelation" in optimized[join:]
+
+
+def test_flagged_rows_do_not_parse_twice(spark, raw, clock):
+    staged = stage_header(raw("pos_transactions_header", [HEADER, {**HEADER, "Total_Amount": "-1"}, {}]), clock)
+    kept = flagged_rows(staged, VALID, "Transaction_ID", F.col("Store_ID").alias("Shop"))
+    assert kept.columns == ["Transaction_ID", "Shop"]
+    assert kept.collect() == staged.filter(F.col(VALID) == 1).select("Transaction_ID", F.col("Store_ID").alias("Shop")).collect()
+
+    def parsed(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
+
+    assert 0 < parsed(kept) <= parsed(staged.select("Transaction_ID", "Store_ID", VALID))
