@@ -548,7 +548,7 @@ def statement(body: str) -> str:
     return f"WITH {head}\n{body.strip()}" if head else body.strip()
 
 
-def out(columns: str) -> str:
+def out(*columns: str) -> str:
     """Output columns with a mark for their type: d: date, t: timestamp, m: decimal, n: whole
     number; no mark leaves the value as it is."""
     cast = {
@@ -558,7 +558,7 @@ def out(columns: str) -> str:
         "n": "CAST({0} AS BIGINT) AS {0}",
     }
     parts = []
-    for item in columns.split():
+    for item in columns:
         mark, _, name = item.rpartition(":")
         if name in SPARSE_NUMBERS:
             mark = "m"
@@ -566,41 +566,136 @@ def out(columns: str) -> str:
     return ", ".join(parts)
 
 
-def flags_of(name: str) -> str:
+def flags_of(name: str) -> tuple[str, ...]:
     """Names of the flag columns of a staging subquery, as whole numbers."""
     found = re.findall(r"::INTEGER AS (\w+)", CTE[name])
-    return " ".join(f"n:{c}" for c in dict.fromkeys(found))
+    return tuple(f"n:{c}" for c in dict.fromkeys(found))
 
 
-ORIGIN = " Batch_ID Source_File"
-SILVER_TAIL = " n:Is_Valid n:DQ_Score" + ORIGIN
+ORIGIN = ("Batch_ID", "Source_File")
+SILVER_TAIL = ("n:Is_Valid", "n:DQ_Score", *ORIGIN)
 
 _STG = {
-    "dq_flags_header": ("stg_header", "n:Raw_ID Transaction_ID d:Transaction_Date t:Transaction_TS Store_ID Customer_ID Payment_Method m:Total_Amount m:Total_Discount n:Line_Count"),
-    "dq_flags_lines": ("stg_lines", "n:Raw_ID Transaction_Line_ID Transaction_ID n:Line_Number Product_SKU Store_ID n:Quantity m:Unit_Price m:Cost_Price m:Discount_Amount m:Line_Sales_Amount Promotion_ID"),
-    "stg_products": ("stg_products", "n:Raw_ID Product_SKU Product_Name Category Sub_Category m:Price m:Cost_Price Supplier_ID d:Last_Updated"),
-    "stg_stores": ("stg_stores", "n:Raw_ID Store_ID Store_Name City Region Store_Manager m:Store_Area_sqm d:Open_Date"),
-    "stg_inventory": ("stg_inventory", "n:Raw_ID Inventory_ID Product_SKU Store_ID d:Snapshot_Date n:Quantity_On_Hand n:Reorder_Level"),
-    "dq_flags_customer": ("stg_customers", "n:Raw_ID Customer_ID Full_Name Gender d:Birthdate d:Registration_Date Email Phone_Number City Preferred_Channel"),
-    "stg_promotions": ("stg_promotions", "n:Raw_ID Promotion_ID Promo_Name Promo_Type d:Start_Date d:End_Date m:Promo_Cost Eligible_SKUs"),
-    "stg_weather": ("stg_weather", "n:Raw_ID d:Weather_Date Retail_Location_ID m:Temperature_C m:Precipitation_mm Weather_Condition"),
+    "dq_flags_header": (
+        "stg_header",
+        (
+            "n:Raw_ID", "Transaction_ID", "d:Transaction_Date", "t:Transaction_TS", "Store_ID", "Customer_ID",
+            "Payment_Method", "m:Total_Amount", "m:Total_Discount", "n:Line_Count",
+        ),
+    ),
+    "dq_flags_lines": (
+        "stg_lines",
+        (
+            "n:Raw_ID", "Transaction_Line_ID", "Transaction_ID", "n:Line_Number", "Product_SKU", "Store_ID", "n:Quantity",
+            "m:Unit_Price", "m:Cost_Price", "m:Discount_Amount", "m:Line_Sales_Amount", "Promotion_ID",
+        ),
+    ),
+    "stg_products": (
+        "stg_products",
+        (
+            "n:Raw_ID", "Product_SKU", "Product_Name", "Category", "Sub_Category", "m:Price", "m:Cost_Price", "Supplier_ID",
+            "d:Last_Updated",
+        ),
+    ),
+    "stg_stores": (
+        "stg_stores",
+        (
+            "n:Raw_ID", "Store_ID", "Store_Name", "City", "Region", "Store_Manager", "m:Store_Area_sqm", "d:Open_Date",
+        ),
+    ),
+    "stg_inventory": (
+        "stg_inventory",
+        (
+            "n:Raw_ID", "Inventory_ID", "Product_SKU", "Store_ID", "d:Snapshot_Date", "n:Quantity_On_Hand", "n:Reorder_Level",
+        ),
+    ),
+    "dq_flags_customer": (
+        "stg_customers",
+        (
+            "n:Raw_ID", "Customer_ID", "Full_Name", "Gender", "d:Birthdate", "d:Registration_Date", "Email", "Phone_Number",
+            "City", "Preferred_Channel",
+        ),
+    ),
+    "stg_promotions": (
+        "stg_promotions",
+        (
+            "n:Raw_ID", "Promotion_ID", "Promo_Name", "Promo_Type", "d:Start_Date", "d:End_Date", "m:Promo_Cost",
+            "Eligible_SKUs",
+        ),
+    ),
+    "stg_weather": (
+        "stg_weather",
+        (
+            "n:Raw_ID", "d:Weather_Date", "Retail_Location_ID", "m:Temperature_C", "m:Precipitation_mm", "Weather_Condition",
+        ),
+    ),
 }
 
 _SILVER = {
-    "silver_stores": ("stores", "Store_ID Store_Name City Region Store_Manager m:Store_Area_sqm d:Open_Date n:Has_Multiple_Managers"),
-    "silver_customers": ("customers", "Customer_ID Full_Name Gender d:Birthdate d:Registration_Date Email Phone_Number City Preferred_Channel n:Has_Email n:Has_Phone"),
-    "silver_products": ("products", "Product_SKU Product_Name Category Sub_Category m:Price m:Cost_Price Supplier_ID d:Effective_From d:Effective_To n:Is_Current n:Version_Number n:Has_Cost_Price n:Has_Price_Issue"),
-    "silver_promotions": ("promotions", "Promotion_ID Promo_Name Promo_Type d:Start_Date d:End_Date m:Promo_Cost Eligible_SKUs n:Has_Multiple_SKUs n:Has_Invalid_Date_Range"),
-    "silver_weather": ("weather", "d:Weather_Date Store_ID m:Temperature_C m:Precipitation_mm Weather_Condition n:Has_Missing_Temperature n:Is_Extreme_Temperature"),
-    "silver_inventory": ("inventory", "Inventory_ID Product_SKU Store_ID d:Snapshot_Date n:Quantity_On_Hand n:Reorder_Level n:Is_Below_Reorder_Level n:Is_Negative_Quantity n:Is_Outlier_Quantity n:Is_Latest_Snapshot"),
-    "silver_header": ("headers", "Transaction_ID d:Transaction_Date t:Transaction_TS Store_ID Customer_ID Payment_Method m:Total_Amount m:Total_Discount n:Line_Count n:Is_Walk_In n:Has_Discount"),
-    "silver_lines": ("lines", "Transaction_Line_ID Transaction_ID n:Line_Number Product_SKU Store_ID n:Quantity m:Unit_Price m:Cost_Price m:Discount_Amount m:Line_Sales_Amount Promotion_ID n:Is_Return n:Is_Outlier_Quantity n:Has_Discount n:Has_Promotion n:Has_Price_Issue"),
+    "silver_stores": (
+        "stores",
+        (
+            "Store_ID", "Store_Name", "City", "Region", "Store_Manager", "m:Store_Area_sqm", "d:Open_Date",
+            "n:Has_Multiple_Managers",
+        ),
+    ),
+    "silver_customers": (
+        "customers",
+        (
+            "Customer_ID", "Full_Name", "Gender", "d:Birthdate", "d:Registration_Date", "Email", "Phone_Number", "City",
+            "Preferred_Channel", "n:Has_Email", "n:Has_Phone",
+        ),
+    ),
+    "silver_products": (
+        "products",
+        (
+            "Product_SKU", "Product_Name", "Category", "Sub_Category", "m:Price", "m:Cost_Price", "Supplier_ID",
+            "d:Effective_From", "d:Effective_To", "n:Is_Current", "n:Version_Number", "n:Has_Cost_Price", "n:Has_Price_Issue",
+        ),
+    ),
+    "silver_promotions": (
+        "promotions",
+        (
+            "Promotion_ID", "Promo_Name", "Promo_Type", "d:Start_Date", "d:End_Date", "m:Promo_Cost", "Eligible_SKUs",
+            "n:Has_Multiple_SKUs", "n:Has_Invalid_Date_Range",
+        ),
+    ),
+    "silver_weather": (
+        "weather",
+        (
+            "d:Weather_Date", "Store_ID", "m:Temperature_C", "m:Precipitation_mm", "Weather_Condition",
+            "n:Has_Missing_Temperature", "n:Is_Extreme_Temperature",
+        ),
+    ),
+    "silver_inventory": (
+        "inventory",
+        (
+            "Inventory_ID", "Product_SKU", "Store_ID", "d:Snapshot_Date", "n:Quantity_On_Hand", "n:Reorder_Level",
+            "n:Is_Below_Reorder_Level", "n:Is_Negative_Quantity", "n:Is_Outlier_Quantity", "n:Is_Latest_Snapshot",
+        ),
+    ),
+    "silver_header": (
+        "headers",
+        (
+            "Transaction_ID", "d:Transaction_Date", "t:Transaction_TS", "Store_ID", "Customer_ID", "Payment_Method",
+            "m:Total_Amount", "m:Total_Discount", "n:Line_Count", "n:Is_Walk_In", "n:Has_Discount",
+        ),
+    ),
+    "silver_lines": (
+        "lines",
+        (
+            "Transaction_Line_ID", "Transaction_ID", "n:Line_Number", "Product_SKU", "Store_ID", "n:Quantity", "m:Unit_Price",
+            "m:Cost_Price", "m:Discount_Amount", "m:Line_Sales_Amount", "Promotion_ID", "n:Is_Return",
+            "n:Is_Outlier_Quantity", "n:Has_Discount", "n:Has_Promotion", "n:Has_Price_Issue",
+        ),
+    ),
 }
 
 _SALES_OUT = (
-    "Transaction_Line_ID Transaction_ID n:Line_Number d:Transaction_Date Product_SKU Store_ID Customer_ID Promotion_ID n:Quantity m:Unit_Price "
-    "m:Cost_Price m:Line_Sales_Amount m:Discount_Amount m:Line_Cost_Amount m:Line_Margin_Amount m:Line_Margin_Pct Payment_Method t:Transaction_TS "
-    "n:Is_Return n:Is_Outlier_Quantity n:Has_Discount n:Has_Promotion n:Is_Walk_In n:DQ_Score"
+    "Transaction_Line_ID", "Transaction_ID", "n:Line_Number", "d:Transaction_Date", "Product_SKU", "Store_ID", "Customer_ID",
+    "Promotion_ID", "n:Quantity", "m:Unit_Price", "m:Cost_Price", "m:Line_Sales_Amount", "m:Discount_Amount",
+    "m:Line_Cost_Amount", "m:Line_Margin_Amount", "m:Line_Margin_Pct", "Payment_Method", "t:Transaction_TS", "n:Is_Return",
+    "n:Is_Outlier_Quantity", "n:Has_Discount", "n:Has_Promotion", "n:Is_Walk_In", "n:DQ_Score",
 )
 
 
@@ -633,9 +728,9 @@ def located(position: int, default: float) -> str:
     return f"CAST(CASE trim(City) {arms} ELSE {default} END AS DOUBLE)"
 
 
-def dimension(source: str, name: str, natural: str, text: str, columns: str, computed: str) -> str:
+def dimension(source: str, name: str, natural: str, text: str, columns: tuple[str, ...], computed: str) -> str:
     inner = f"SELECT *{', ' + computed if computed else ''}, row_number() OVER (ORDER BY substr(md5({text}), 1, 3), {natural}) AS {name} FROM {source}"
-    return f"SELECT {out(columns + f' n:DQ_Score n:{name}')} FROM ({inner}) AS k"
+    return f"SELECT {out(*columns, 'n:DQ_Score', f'n:{name}')} FROM ({inner}) AS k"
 
 
 def checks_sql(table: str, source: str, rules: list[tuple[str, str]], uniques: list[tuple[str, str, str]]) -> list[str]:
@@ -650,15 +745,15 @@ def checks_sql(table: str, source: str, rules: list[tuple[str, str]], uniques: l
     return parts
 
 
-def nulls(columns: str) -> list[tuple[str, str]]:
-    return [(f"not_null({c})", f"{c} IS NULL") for c in columns.split()]
+def nulls(*columns: str) -> list[tuple[str, str]]:
+    return [(f"not_null({c})", f"{c} IS NULL") for c in columns]
 
 
 def rule(expression: str) -> tuple[str, str]:
     return (f"expression_is_true({expression})", f"NOT ({expression})")
 
 
-_TAIL = "Is_Valid DQ_Score Batch_ID Source_File"
+_TAIL = ("Is_Valid", "DQ_Score", "Batch_ID", "Source_File")
 # the audit stamps are constants in the library's tables
 _STAMPS = [("not_null(Created_TS)", "false"), ("not_null(Updated_TS)", "false")]
 _ALWAYS = [("accepted_values(Is_Valid)", "Is_Valid <> 1"), rule("DQ_Score BETWEEN 0 AND 100")]
@@ -668,9 +763,9 @@ ORACLE_BODIES: dict[str, str] = {
     "clean_contacts": f"SELECT Raw_ID, substr(Customer_ID, 1, 50) AS Customer_Prefix, trim(City) AS City_Trimmed, {blank('Full_Name')} AS Full_Name, lower({blank('Email')}) AS Email, upper({blank('Preferred_Channel')}) AS Preferred_Channel, {na('City')} AS City_Or_NA, CAST(length(rtrim(Phone_Number)) AS DOUBLE) AS Phone_Length FROM raw_crm_customers",
     "parse_currency": f"SELECT Raw_ID, CAST({amount('Unit_Price', _LM)} AS DOUBLE) AS Unit_Price, CAST({amount('Cost_Price', _LM)} AS DOUBLE) AS Cost_Price, CAST({opt_amount('Discount_Amount', _LM)} AS DOUBLE) AS Discount_Amount, coalesce(CAST({opt_amount('Discount_Amount', _LM)} AS DOUBLE), 0) AS Discount_Or_Zero, CAST({amount('Line_Sales_Amount', _LM)} AS DOUBLE) AS Line_Sales_Amount FROM raw_pos_transactions_lines",
     "parse_header_amounts": f"SELECT Raw_ID, CAST({amount('Total_Amount')} AS DOUBLE) AS Total_Amount, CAST({opt_amount('Total_Discount')} AS DOUBLE) AS Total_Discount, CAST({whole('Line_Count')} AS DOUBLE) AS Line_Count FROM raw_pos_transactions_header",
-    "safe_casts": f"SELECT {out('n:Raw_ID n:Quantity_On_Hand n:Reorder_Level d:Snapshot_Date')} FROM stg_inventory",
-    "safe_weather_casts": f"SELECT {out('n:Raw_ID d:Weather_Date m:Temperature_C m:Precipitation_mm')} FROM stg_weather",
-    "parse_mixed_dates": f"SELECT {out('n:Raw_ID d:Transaction_Date t:Transaction_TS')}, CAST(DQ_Timestamp_Consistent AS BIGINT) AS Same_Day FROM stg_header",
+    "safe_casts": f"SELECT {out('n:Raw_ID', 'n:Quantity_On_Hand', 'n:Reorder_Level', 'd:Snapshot_Date')} FROM stg_inventory",
+    "safe_weather_casts": f"SELECT {out('n:Raw_ID', 'd:Weather_Date', 'm:Temperature_C', 'm:Precipitation_mm')} FROM stg_weather",
+    "parse_mixed_dates": f"SELECT {out('n:Raw_ID', 'd:Transaction_Date', 't:Transaction_TS')}, CAST(DQ_Timestamp_Consistent AS BIGINT) AS Same_Day FROM stg_header",
     "proper_case_names": f"SELECT Raw_ID, {_NAME} AS Full_Name, {cap('trim(City)')} AS City FROM raw_crm_customers",
     "list_head": "SELECT Raw_ID, coalesce(nullif(trim(split_part(Store_Manager, ';', 1)), ''), 'N/A') AS Store_Manager FROM raw_erp_stores",
     "prefix_strip": f"SELECT Raw_ID, regexp_replace({key('Retail_Location_ID')}, '^LOC_', '') AS Store_ID FROM raw_api_weather",
@@ -695,26 +790,26 @@ SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS Date_SK, CAST(d AS VARCHAR) AS D
   {pct(f'(Line_Sales_Amount - {_COST})', _COST, 2)} AS Line_Margin_Over_Cost_Pct,
   CAST(coalesce(nullif(Discount_Amount, 0), Unit_Price * Quantity - Line_Sales_Amount) AS DOUBLE) AS Discount FROM stg_lines""",
     "product_margin": f"SELECT Raw_ID, CAST(Price - coalesce(Cost_Price, 0) AS DOUBLE) AS Margin_Amount, {pct('(Price - coalesce(Cost_Price, 0))', 'Price', 2)} AS Margin_Pct FROM stg_products",
-    **{q: f"SELECT {out(cols + ' ' + flags_of(source) + ORIGIN)} FROM {source}" for q, (source, cols) in _STG.items()},
-    **{q: f"SELECT {out(cols + SILVER_TAIL)} FROM {source}" for q, (source, cols) in _SILVER.items()},
-    "dedupe_lines": f"SELECT Transaction_Line_ID, {out('n:Raw_ID Product_SKU n:Quantity m:Line_Sales_Amount')} FROM stg_lines WHERE DQ_Is_Valid = 1 QUALIFY row_number() OVER (PARTITION BY Transaction_Line_ID ORDER BY {LATEST}) = 1",
-    "dedupe_products": f"SELECT Product_SKU, {out('n:Raw_ID m:Price d:Last_Updated')} FROM stg_products WHERE DQ_Is_Valid = 1 QUALIFY row_number() OVER (PARTITION BY Product_SKU ORDER BY stg_products.Last_Updated DESC NULLS LAST, {LATEST}) = 1",
-    "dedupe_latest_snapshot": f"SELECT Product_SKU, Store_ID, {out('d:Snapshot_Date n:Raw_ID n:Quantity_On_Hand')} FROM stg_inventory WHERE DQ_Is_Valid = 1 AND Is_Negative_Quantity = 0 QUALIFY row_number() OVER (PARTITION BY Product_SKU, Store_ID ORDER BY stg_inventory.Snapshot_Date DESC NULLS LAST, {LATEST}) = 1",
+    **{q: f"SELECT {out(*cols, *flags_of(source), *ORIGIN)} FROM {source}" for q, (source, cols) in _STG.items()},
+    **{q: f"SELECT {out(*cols, *SILVER_TAIL)} FROM {source}" for q, (source, cols) in _SILVER.items()},
+    "dedupe_lines": f"SELECT Transaction_Line_ID, {out('n:Raw_ID', 'Product_SKU', 'n:Quantity', 'm:Line_Sales_Amount')} FROM stg_lines WHERE DQ_Is_Valid = 1 QUALIFY row_number() OVER (PARTITION BY Transaction_Line_ID ORDER BY {LATEST}) = 1",
+    "dedupe_products": f"SELECT Product_SKU, {out('n:Raw_ID', 'm:Price', 'd:Last_Updated')} FROM stg_products WHERE DQ_Is_Valid = 1 QUALIFY row_number() OVER (PARTITION BY Product_SKU ORDER BY stg_products.Last_Updated DESC NULLS LAST, {LATEST}) = 1",
+    "dedupe_latest_snapshot": f"SELECT Product_SKU, Store_ID, {out('d:Snapshot_Date', 'n:Raw_ID', 'n:Quantity_On_Hand')} FROM stg_inventory WHERE DQ_Is_Valid = 1 AND Is_Negative_Quantity = 0 QUALIFY row_number() OVER (PARTITION BY Product_SKU, Store_ID ORDER BY stg_inventory.Snapshot_Date DESC NULLS LAST, {LATEST}) = 1",
     "header_links": "SELECT Transaction_ID, CAST(1 AS BIGINT) AS Store_Exists, (Is_Walk_In = 1 OR Customer_ID IN (SELECT Customer_ID FROM customers))::BIGINT AS Customer_Exists FROM headers",
     "fk_existence_flags": """SELECT Transaction_Line_ID, (Transaction_ID IN (SELECT Transaction_ID FROM headers))::BIGINT AS Transaction_Exists,
   (Product_SKU IN (SELECT Product_SKU FROM products))::BIGINT AS Product_Exists, (Store_ID IN (SELECT Store_ID FROM stores))::BIGINT AS Store_Exists,
   (Promotion_ID IS NULL OR Promotion_ID IN (SELECT Promotion_ID FROM promotions))::BIGINT AS Promotion_Exists FROM lines""",
-    "enforced_lines": f"""SELECT {out('Transaction_Line_ID Transaction_ID m:Line_Sales_Amount')} FROM lines WHERE Transaction_ID IN (SELECT Transaction_ID FROM headers)
+    "enforced_lines": f"""SELECT {out('Transaction_Line_ID', 'Transaction_ID', 'm:Line_Sales_Amount')} FROM lines WHERE Transaction_ID IN (SELECT Transaction_ID FROM headers)
   AND Product_SKU IN (SELECT Product_SKU FROM products) AND Store_ID IN (SELECT Store_ID FROM stores)
   AND (Promotion_ID IS NULL OR Promotion_ID IN (SELECT Promotion_ID FROM promotions))""",
     "dq_scores": "SELECT CAST(DQ_Score AS BIGINT) AS DQ_Score, count(*) AS Row_Count, 'lines' AS Entity FROM lines GROUP BY 1 UNION ALL SELECT CAST(DQ_Score AS BIGINT), count(*), 'header' FROM headers GROUP BY 1",
-    "fact_sales": f"SELECT {out(_SALES_OUT)} FROM sales",
-    "fact_inventory": f"SELECT {out('Inventory_ID Product_SKU Store_ID d:Snapshot_Date n:Quantity_On_Hand n:Reorder_Level n:Reorder_Quantity_Needed n:Is_Below_Reorder_Level n:Is_Outlier_Quantity n:DQ_Score')} FROM stock",
-    "dim_product": dimension("products", "Product_Key", "Product_SKU", "Product_SKU", "Product_SKU Product_Name Category Sub_Category m:Price m:Cost_Price Supplier_ID d:Effective_From d:Effective_To n:Is_Current n:Version_Number m:Margin_Amount m:Margin_Pct", f"Price - coalesce(Cost_Price, 0) AS Margin_Amount, {pct('(Price - coalesce(Cost_Price, 0))', 'Price', 2)} AS Margin_Pct"),
-    "dim_store": dimension("stores", "Store_Key", "Store_ID", "Store_ID", "Store_ID Store_Name City Region Store_Manager m:Store_Area_sqm d:Open_Date n:Store_Age_Years", f"year({AS_OF}) - year(Open_Date) AS Store_Age_Years"),
-    "dim_customer": dimension("customers", "Customer_Key", "Customer_ID", "Customer_ID", "Customer_ID Full_Name Gender d:Birthdate d:Registration_Date Email Phone_Number City Preferred_Channel n:Age n:Customer_Tenure_Days", f"year({AS_OF}) - year(Birthdate) AS Age, {AS_OF} - Registration_Date AS Customer_Tenure_Days"),
-    "dim_promotion": dimension("promotions", "Promotion_Key", "Promotion_ID", "Promotion_ID", "Promotion_ID Promo_Name Promo_Type d:Start_Date d:End_Date m:Promo_Cost Eligible_SKUs n:Promo_Duration_Days n:Is_Active", f"End_Date - Start_Date AS Promo_Duration_Days, ({AS_OF} BETWEEN Start_Date AND End_Date)::INTEGER AS Is_Active"),
-    "dim_weather": dimension("weather", "Weather_Key", "Weather_Date, Store_ID", "CAST(Weather_Date AS VARCHAR) || '|' || Store_ID", "d:Weather_Date Store_ID m:Temperature_C m:Precipitation_mm Weather_Condition n:Has_Missing_Temperature n:Is_Extreme_Temperature n:Is_Rainy", "(Precipitation_mm > 0)::INTEGER AS Is_Rainy"),
+    "fact_sales": f"SELECT {out(*_SALES_OUT)} FROM sales",
+    "fact_inventory": f"SELECT {out('Inventory_ID', 'Product_SKU', 'Store_ID', 'd:Snapshot_Date', 'n:Quantity_On_Hand', 'n:Reorder_Level', 'n:Reorder_Quantity_Needed', 'n:Is_Below_Reorder_Level', 'n:Is_Outlier_Quantity', 'n:DQ_Score')} FROM stock",
+    "dim_product": dimension("products", "Product_Key", "Product_SKU", "Product_SKU", ("Product_SKU", "Product_Name", "Category", "Sub_Category", "m:Price", "m:Cost_Price", "Supplier_ID", "d:Effective_From", "d:Effective_To", "n:Is_Current", "n:Version_Number", "m:Margin_Amount", "m:Margin_Pct"), f"Price - coalesce(Cost_Price, 0) AS Margin_Amount, {pct('(Price - coalesce(Cost_Price, 0))', 'Price', 2)} AS Margin_Pct"),
+    "dim_store": dimension("stores", "Store_Key", "Store_ID", "Store_ID", ("Store_ID", "Store_Name", "City", "Region", "Store_Manager", "m:Store_Area_sqm", "d:Open_Date", "n:Store_Age_Years"), f"year({AS_OF}) - year(Open_Date) AS Store_Age_Years"),
+    "dim_customer": dimension("customers", "Customer_Key", "Customer_ID", "Customer_ID", ("Customer_ID", "Full_Name", "Gender", "d:Birthdate", "d:Registration_Date", "Email", "Phone_Number", "City", "Preferred_Channel", "n:Age", "n:Customer_Tenure_Days"), f"year({AS_OF}) - year(Birthdate) AS Age, {AS_OF} - Registration_Date AS Customer_Tenure_Days"),
+    "dim_promotion": dimension("promotions", "Promotion_Key", "Promotion_ID", "Promotion_ID", ("Promotion_ID", "Promo_Name", "Promo_Type", "d:Start_Date", "d:End_Date", "m:Promo_Cost", "Eligible_SKUs", "n:Promo_Duration_Days", "n:Is_Active"), f"End_Date - Start_Date AS Promo_Duration_Days, ({AS_OF} BETWEEN Start_Date AND End_Date)::INTEGER AS Is_Active"),
+    "dim_weather": dimension("weather", "Weather_Key", "Weather_Date, Store_ID", "CAST(Weather_Date AS VARCHAR) || '|' || Store_ID", ("d:Weather_Date", "Store_ID", "m:Temperature_C", "m:Precipitation_mm", "Weather_Condition", "n:Has_Missing_Temperature", "n:Is_Extreme_Temperature", "n:Is_Rainy"), "(Precipitation_mm > 0)::INTEGER AS Is_Rainy"),
     "bridge_explode": "SELECT Promotion_ID, Product_SKU FROM bridge",
     "bridge_listing": "SELECT p.Promo_Name, q.Product_Name, q.Category FROM bridge AS b JOIN promotions AS p USING (Promotion_ID) JOIN products AS q USING (Product_SKU)",
     "bridge_keys": "SELECT p.Promotion_Key, q.Product_Key FROM bridge AS b JOIN key_promotions AS p USING (Promotion_ID) JOIN key_products AS q USING (Product_SKU)",
@@ -729,20 +824,20 @@ SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS Date_SK, CAST(d AS VARCHAR) AS D
     "weather_impact": f"SELECT Weather_Condition, CAST(w.Temperature_C AS DOUBLE) AS Temperature_C, count(DISTINCT Transaction_ID) AS Transaction_Count, {money('Line_Sales_Amount', 'Total_Sales')}, {avg('Line_Sales_Amount', 6)} AS Avg_Line_Value FROM sales AS s JOIN weather AS w ON s.Transaction_Date = w.Weather_Date AND s.Store_ID = w.Store_ID JOIN days ON Transaction_Date = d WHERE year(d) = 1998 GROUP BY Weather_Condition, w.Temperature_C",
     "returns_by_month": f"SELECT strftime(d, '%Y-%m') AS Year_Month, Category, count(*) AS Return_Count, {money('Line_Sales_Amount', 'Return_Amount')}, CAST(sum(Quantity) AS BIGINT) AS Return_Quantity FROM sales JOIN days ON Transaction_Date = d JOIN products USING (Product_SKU) WHERE Is_Return = 1 GROUP BY 1, 2",
     "inventory_by_store": "SELECT Store_ID, CAST(sum(Quantity_On_Hand) AS BIGINT) AS Total_Inventory FROM stock GROUP BY Store_ID",
-    "inventory_reorder": f"SELECT {out('Product_SKU Store_ID n:Reorder_Quantity_Needed')} FROM stock WHERE Is_Below_Reorder_Level = 1",
-    "inventory_trend": f"SELECT {out('d:Snapshot_Date Product_SKU Store_ID n:Quantity_On_Hand n:Previous_Quantity')} FROM (SELECT *, lag(Quantity_On_Hand) OVER (PARTITION BY Product_SKU, Store_ID ORDER BY Snapshot_Date) AS Previous_Quantity FROM daily_stock) AS g",
+    "inventory_reorder": f"SELECT {out('Product_SKU', 'Store_ID', 'n:Reorder_Quantity_Needed')} FROM stock WHERE Is_Below_Reorder_Level = 1",
+    "inventory_trend": f"SELECT {out('d:Snapshot_Date', 'Product_SKU', 'Store_ID', 'n:Quantity_On_Hand', 'n:Previous_Quantity')} FROM (SELECT *, lag(Quantity_On_Hand) OVER (PARTITION BY Product_SKU, Store_ID ORDER BY Snapshot_Date) AS Previous_Quantity FROM daily_stock) AS g",
     "inventory_star": "SELECT strftime(d, '%Y-%m') AS Year_Month, Store_Name, Category, CAST(sum(Quantity_On_Hand) AS BIGINT) AS Total_Inventory, CAST(sum(Reorder_Quantity_Needed) AS BIGINT) AS Total_Reorder_Needed FROM daily_stock JOIN stock_days ON Snapshot_Date = d JOIN stores USING (Store_ID) JOIN products USING (Product_SKU) GROUP BY 1, 2, 3",
     "null_unique_accepted_expr_checks": " UNION ALL ".join(
         checks_sql(
             "lines", "lines",
-            nulls("Transaction_Line_ID Transaction_ID Line_Number Product_SKU Store_ID Quantity Unit_Price Cost_Price Line_Sales_Amount " + _TAIL)
+            nulls("Transaction_Line_ID", "Transaction_ID", "Line_Number", "Product_SKU", "Store_ID", "Quantity", "Unit_Price", "Cost_Price", "Line_Sales_Amount", *_TAIL)
             + _STAMPS + _ALWAYS
             + [("accepted_values(Is_Return)", "Is_Return NOT IN (0, 1)"), rule("Line_Number > 0"), rule("Quantity <> 0"), rule("Unit_Price > 0"), rule("Cost_Price >= 0")],
             [("Transaction_Line_ID", "Transaction_Line_ID", "true")],
         )
         + checks_sql(
             "products", "products",
-            nulls("Product_SKU Product_Name Category Price Supplier_ID Effective_From " + _TAIL)
+            nulls("Product_SKU", "Product_Name", "Category", "Price", "Supplier_ID", "Effective_From", *_TAIL)
             + _STAMPS + _ALWAYS
             + [
                 ("accepted_values(Category)", "Category NOT IN ('Food', 'Clothing', 'Beverages', 'Home', 'Electronics')"),
@@ -755,13 +850,13 @@ SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS Date_SK, CAST(d AS VARCHAR) AS D
     "constraint_violations": " UNION ALL ".join(
         checks_sql(
             "lines", "stg_lines",
-            nulls("Quantity Unit_Price Cost_Price Promotion_ID")
+            nulls("Quantity", "Unit_Price", "Cost_Price", "Promotion_ID")
             + [rule("Quantity <> 0"), rule("Cost_Price <= Unit_Price"), rule("Discount_Amount IS NULL OR Discount_Amount >= 0")],
             [("Transaction_Line_ID", "Transaction_Line_ID", "Transaction_Line_ID IS NOT NULL"), ("Transaction_Line_ID where DQ_Is_Valid = 1", "Transaction_Line_ID", "DQ_Is_Valid = 1")],
         )
         + checks_sql(
             "header", "stg_header",
-            nulls("Transaction_Date Customer_ID Total_Amount")
+            nulls("Transaction_Date", "Customer_ID", "Total_Amount")
             + [("accepted_values(Payment_Method)", f"Payment_Method NOT IN {_PAY}"), rule("Total_Amount >= 0"), rule("Line_Count > 0")],
             [("Transaction_ID", "Transaction_ID", "Transaction_ID IS NOT NULL")],
         )
