@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Joins carry no broadcast hints on tables: Spark broadcasts a side only when its measured
 # size is below the thresholds here, and otherwise shuffles both sides and splits skewed
@@ -49,6 +50,45 @@ def fit_shuffle(spark: SparkSession, largest_table_bytes: int) -> int:
     return partitions
 
 
+# What one task may be given. The sorts and hash tables of a task take some 25 times the stored bytes that it
+# scans (silver lines) and some 50 times the shuffled bytes that it reads (monthly sums at four levels); at
+# Spark's own 128 and 64 MB that is 3 GB.
+TASK_BYTES = {
+    "spark.sql.files.maxPartitionBytes": 8 * 1024 * 1024,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 * 1024 * 1024,
+}
+# columnar input per shuffle partition; its rows are some five times larger when they are shuffled as text
+INPUT_BYTES = 2 * 1024 * 1024
+_UNITS = {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
+
+
+def _bytes(size: str) -> int:
+    """The bytes of a setting such as '64MB', '8m' or '134217728b'."""
+    number = size.strip().lower().removesuffix("b") or "0"
+    return int(number[:-1]) * _UNITS[number[-1]] if number[-1] in _UNITS else int(number)
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files of some tables, from their listing; no content is read."""
+    files = spark.read.format("binaryFile").load(list(paths)).select("length")
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def bound_tasks(spark: SparkSession, largest_input_bytes: int) -> int:
+    """Have the number of tasks grow with the input, so that what a task holds does not.
+
+    Settings are only lowered. Adaptive execution merges partitions up to the size set here; more of
+    them than the session starts with are asked for where the input needs them."""
+    for name, most in TASK_BYTES.items():
+        if _bytes(spark.conf.get(name)) > most:
+            spark.conf.set(name, str(most))
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    partitions = largest_input_bytes // INPUT_BYTES + 1
+    if partitions > int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(initial, str(partitions))
+    return partitions
+
+
 def local_session(cpus: int | str = "*", app: str = "shelfmark", **extra: str) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     shuffle = os.cpu_count() if cpus == "*" else int(cpus)

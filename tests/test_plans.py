@@ -18,6 +18,7 @@ from shelfmark.plans import aggregates, analytics, gold, reports
 from shelfmark.plans.staging import VALID, stage_header, stage_lines
 from shelfmark.sources.lake import Lake
 from test_layers import HEADER, LINE
+from verification import feeds
 
 
 def plan_of(df):
@@ -210,3 +211,29 @@ def test_flagged_rows_do_not_parse_twice(spark, raw, clock):
         return df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
 
     assert 0 < parsed(kept) <= parsed(staged.select("Transaction_ID", "Store_ID", VALID))
+
+
+ADVISORY, INITIAL = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SCANNED = "spark.sql.files.maxPartitionBytes"
+
+
+def test_tasks_grow_with_the_input(spark):
+    other = spark.newSession()
+    other.conf.set(ADVISORY, "64MB")
+    assert session.bound_tasks(other, 2**40) == int(other.conf.get(INITIAL)) == 2**40 // session.INPUT_BYTES + 1
+    assert {n: int(other.conf.get(n)) for n in session.TASK_BYTES} == session.TASK_BYTES
+    # a smaller table does not take partitions away, and a smaller bound stays
+    other.conf.set(ADVISORY, "2k")
+    other.conf.set(SCANNED, "2000b")
+    assert session.bound_tasks(other, 100) == 1
+    assert int(other.conf.get(INITIAL)) > 1 and (other.conf.get(ADVISORY), other.conf.get(SCANNED)) == ("2k", "2000b")
+
+
+def test_reading_a_table_bounds_the_tasks(spark, tmp_path):
+    spark.range(100000).write.parquet(str(tmp_path / "part.parquet"))
+    other = spark.newSession()
+    assert session._bytes(other.conf.get(ADVISORY)) > session.TASK_BYTES[ADVISORY]
+    assert feeds.table(other, str(tmp_path), "part").count() == 100000
+    assert int(other.conf.get(ADVISORY)) == session.TASK_BYTES[ADVISORY]
+    stored = sum(f.stat().st_size for f in (tmp_path / "part.parquet").glob("part-*"))
+    assert session.input_bytes(other, str(tmp_path / "part.parquet")) == stored
