@@ -103,20 +103,25 @@ def sales_monthly(fact: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def product_performance(fact: DataFrame) -> DataFrame:
-    """Per product, store and month; NULL store means all stores."""
+def product_performance(fact: DataFrame, stored: bool = True) -> DataFrame:
+    """Per product, store and month; NULL store means all stores.
+
+    A ``stored`` fact has lost its partitioning by transaction; one that comes straight from its join has it.
+    A transaction hardly ever names a product twice, so lines are not summed per transaction first: the
+    distinct count of transactions does that anyway."""
     lines = fact.withColumns({"Year": F.year("Transaction_Date"), "Month": F.month("Transaction_Date")})
-    # one shuffle of the lines, as above; copies for the levels stay where they are
-    lines = lines.repartition("Transaction_ID")
-    per_transaction = lines.groupBy("Product_SKU", "Year", "Month", "Store_ID", "Transaction_ID").agg(
-        *_line_sums(), F.sum(cents("Unit_Price")).alias("Price_Sum")
-    )
+    if stored:
+        # one shuffle of the lines, as above; copies for the levels stay where they are
+        lines = lines.repartition("Transaction_ID")
     levels = F.array(
         F.struct(F.lit(0).alias("Level"), F.col("Store_ID").alias("L_Store")),
         F.struct(F.lit(1).alias("Level"), F.lit(None).cast("string").alias("L_Store")),
     )
-    measures = [*_SUMS, "Line_Count", "Price_Sum"]
-    expanded = per_transaction.select("Product_SKU", "Year", "Month", "Transaction_ID", *measures, F.inline(levels))
+    measures = {n: F.col(c) if n == "Units_Sold" else cents(c) for n, c in _SUMS.items()}
+    measures |= {"Line_Count": F.lit(1), "Price_Sum": cents("Unit_Price")}
+    expanded = lines.select(
+        "Product_SKU", "Year", "Month", "Transaction_ID", *[c.alias(n) for n, c in measures.items()], F.inline(levels)
+    )
     keys = ["Product_SKU", "Year", "Month", "Level", "L_Store"]
     counted = expanded.groupBy(*keys).agg(
         *_resum(), F.sum("Price_Sum").alias("Price_Sum"), F.countDistinct("Transaction_ID").alias("Transaction_Count")

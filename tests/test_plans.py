@@ -237,3 +237,20 @@ def test_reading_a_table_bounds_the_tasks(spark, tmp_path):
     assert int(other.conf.get(ADVISORY)) == session.TASK_BYTES[ADVISORY]
     stored = sum(f.stat().st_size for f in (tmp_path / "part.parquet").glob("part-*"))
     assert session.input_bytes(other, str(tmp_path / "part.parquet")) == stored
+
+
+def test_joined_fact_is_not_moved_again(spark, fact, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    lines = fact.drop("Customer_ID", "Transaction_Date")
+    joined = lines.join(fact.select("Transaction_ID", "Customer_ID", "Transaction_Date").repartition("Customer_ID"), "Transaction_ID")
+    assert "REPARTITION_BY_COL" not in "".join(x for x in shuffles(plan_of(aggregates.product_performance(joined, stored=False))) if "Transaction_ID" in x)
+
+
+def test_products_of_a_transaction_count_it_once(spark, fact):
+    again = fact.unionByName(fact.withColumns({"Quantity": F.lit(2), "Unit_Price": F.lit(N(2))}))
+    rows = again.unionByName(fact.withColumns({"Store_ID": F.lit(None).cast("string"), "Quantity": F.lit(None).cast("int")}))
+    for stored in (True, False):
+        found = aggregates.product_performance(rows, stored).select("Store_ID", "Units_Sold", "Transaction_Count", "Avg_Unit_Price", "Total_Sales_Amount")
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(
+            [("S1", 3, 1, N("1.50"), N(2)), (None, None, 1, N(1), N(1)), (None, 3, 1, N("1.33"), N(3))], key=str
+        )

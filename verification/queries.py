@@ -531,7 +531,7 @@ def _(b: Build):
 
 @query("agg_product")
 def _(b: Build):
-    return aggregates.product_performance(b.sales())
+    return aggregates.product_performance(b.sales(), stored=False)
 
 
 # --- questions ----------------------------------------------------------------------------
