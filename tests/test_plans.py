@@ -18,7 +18,7 @@ from shelfmark.plans import aggregates, analytics, gold, reports
 from shelfmark.plans.staging import VALID, stage_header, stage_lines
 from shelfmark.sources.lake import Lake
 from test_layers import HEADER, LINE
-from verification import feeds
+from verification import feeds, queries
 
 
 def plan_of(df):
@@ -254,3 +254,14 @@ def test_products_of_a_transaction_count_it_once(spark, fact):
         assert sorted(map(tuple, found.collect()), key=str) == sorted(
             [("S1", 3, 1, N("1.50"), N(2)), (None, None, 1, N(1), N(1)), (None, 3, 1, N("1.33"), N(3))], key=str
         )
+
+
+def test_overlaps_of_a_product_bound_their_tasks(spark, tmp_path):
+    parts = [(k, "name", 10, 1000.0) for k in range(30, 60)]
+    frame(spark, "p_partkey long, p_name string, p_size int, p_retailprice double", *parts).write.parquet(str(tmp_path / "part.parquet"))
+    other = spark.newSession()
+    other.conf.set(ADVISORY, "64m")
+    found = queries.REGISTRY["overlap_same_sku"](other, str(tmp_path))
+    # before any of its partitions are merged
+    assert int(other.conf.get(ADVISORY)) == session.TASK_BYTES[ADVISORY]
+    assert found.columns == ["Product_SKU", "Promotion_ID", "Overlapping_Others"]
