@@ -24,12 +24,23 @@ def shared_folder(spark: SparkSession) -> str:
     return named or tempfile.mkdtemp(prefix="shelfmark-")
 
 
+#: has the shuffle files of a job deleted at its end, not when the JVM next collects what named them
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Store `df` in the shared checkpoint folder, so that its lineage ends there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Store `df` in the shared checkpoint folder, so that its lineage ends there. What was shuffled for it
+    is not read again and leaves the disks."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        # a frame takes the setting when it is made, and `df` may be run again by its owner
+        return df.select("*").checkpoint()
+    finally:
+        spark.conf.set(CLEAN_UP, before)
 
 
 def _packed_batches(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:

@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from shelfmark.llm import simhash, suffixes, templates, winnow
+from shelfmark.llm import frames, simhash, suffixes, templates, winnow
 from shelfmark.llm.components import components
 
 from .conftest import LONG, ODD
@@ -341,3 +343,22 @@ def test_rows_of_values_are_not_one_template(documents):
     assert left[0] == rows[0][1] and all(left[d] == t for d, t in rows[5:])
     # the row that is equal in all of them keeps its first copy
     assert all(left[d] == t.removesuffix("\n1 2 3 4 5") for d, t in rows[1:5])
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    rows = spark.range(10_000).select(F.xxhash64("id").alias("key"), "id").groupBy("key").agg(F.max("id").alias("id"))
+    before, setting = shuffled(), spark.conf.get(frames.CLEAN_UP, "false")
+    stored = frames.cut(rows)
+    # executors delete them shortly after the job
+    for _ in range(100):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert spark.conf.get(frames.CLEAN_UP, "false") == setting
+    assert stored.count() == rows.count() == 10_000
+    assert stored.columns == rows.columns
