@@ -32,9 +32,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, most:
 
 def _salted(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     """``df`` with the number of salts of its key, one where the key is not hot."""
-    named = hot.toDF(*[f"__hot_{i}" for i in range(len(keys))], _SALTS)
+    # A table joined to a list that turns out empty counts as 0 bytes, and adaptive execution would broadcast it
+    # whole, whatever its size. So the list has a row for missing keys, which never are hot.
+    none = df.sparkSession.range(1).select(*[F.lit(1 if f.name == _SALTS else None).cast(f.dataType).alias(f.name) for f in hot.schema])
+    named = hot.union(none).toDF(*[f"__hot_{i}" for i in range(len(keys))], _SALTS)
     # bounded by the number of keys that are spread
-    same = reduce(and_, [F.col(k) == F.col(f"__hot_{i}") for i, k in enumerate(keys)])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__hot_{i}")) for i, k in enumerate(keys)])
     joined = df.join(F.broadcast(named), same, "left")
     return joined.select(*df.columns, F.coalesce(_SALTS, F.lit(1)).alias(_SALTS))
 

@@ -191,3 +191,15 @@ def test_violations_name_every_rule(spark):
 def test_level_keys_tell_missing_columns_apart(spark):
     df = frame(spark, "a string, b string", ("x", None), (None, "x"), ("x", "x"), (None, None))
     assert df.select(level_key("a", "b")).distinct().count() == 4
+
+
+def test_large_lookups_are_not_broadcast_where_no_key_is_hot(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    df = other.range(20_000).select((F.col("id") % 15_000).alias("key"), "id").unionByName(other.range(1).select(F.lit(None).cast("long").alias("key"), "id"))
+    lookup = other.range(20_000).groupBy(F.col("id").alias("ref")).agg(F.max("id").alias("value"))
+    met = salting.salted_join(df, lookup, [("key", "ref")], "left")
+    found = met.collect()
+    assert len(found) == 20_001 and all(r["value"] == r["key"] for r in found)
+    final = met._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in final
