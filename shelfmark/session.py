@@ -4,8 +4,10 @@ cluster session can be tuned in place."""
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Joins carry no broadcast hints on tables: Spark broadcasts a side only when its measured
@@ -89,6 +91,20 @@ def bound_tasks(spark: SparkSession, largest_input_bytes: int) -> int:
     return partitions
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written once and read from files: for a plan that is needed in several jobs.
+
+    The folder is below spark.checkpoint.dir or the warehouse, which all executors share."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        local = spark.sparkContext.master.startswith("local")
+        shared = tempfile.mkdtemp(prefix="shelfmark-") if local else spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def local_session(cpus: int | str = "*", app: str = "shelfmark", **extra: str) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     shuffle = os.cpu_count() if cpus == "*" else int(cpus)

@@ -17,7 +17,7 @@ from shelfmark.operators.surrogate import dense_key, lasting_key
 from shelfmark.plans import aggregates, analytics, contracts, gold, reports, silver
 from shelfmark.plans.staging import STAGERS
 from shelfmark.plans.warehouse import DIMENSION_KEYS
-from shelfmark.session import tune
+from shelfmark.session import stored, tune
 from shelfmark.sources import weather as weather_source
 from verification import feeds
 
@@ -797,19 +797,21 @@ def _(b: Build):
     return marked.select("Raw_ID", "Transaction_ID", F.concat_ws("; ", VIOLATED).alias("Violated_Rules"))
 
 
-def months_of_last_lines(b: Build) -> DataFrame:
+def months_of_last_lines(b: Build, lines: DataFrame, headers: DataFrame) -> DataFrame:
     last = b.staged("pos_transactions_lines").filter(f"Load_Timestamp >= TIMESTAMP'{LAST_LINES}'")
-    return gold.touched_months(gold.with_sales_month(b.sales()), b.headers(), last)
+    return gold.touched_months(gold.with_sales_month(gold.fact_sales(lines, headers, CLOCK)), headers, last)
 
 
 @query("touched_months")
 def _(b: Build):
-    return months_of_last_lines(b)
+    return months_of_last_lines(b, b.lines(), b.headers())
 
 
 @query("rebuilt_months")
 def _(b: Build):
+    # stored as in a run: both steps read the cleaned rows, none cleans them again
+    lines, headers = stored(b.lines(), "lines"), stored(b.headers(), "headers")
     # no more than the months of the calendar
-    months = [r["Sales_Month"] for r in months_of_last_lines(b).collect()]
-    fact = gold.fact_sales(b.lines(), gold.in_months(b.headers(), months), CLOCK)
+    months = [r["Sales_Month"] for r in months_of_last_lines(b, lines, headers).collect()]
+    fact = gold.fact_sales(lines, gold.in_months(headers, months), CLOCK)
     return aggregates.by_month(gold.with_sales_month(fact), b.products())["agg_sales_daily"]
