@@ -64,7 +64,9 @@ def sales_daily(fact: DataFrame) -> DataFrame:
     """Per day and store."""
     keys = ["Transaction_Date", "Store_ID"]
     per_transaction = fact.groupBy(*keys, "Transaction_ID", "Customer_ID").agg(*_line_sums())
-    daily = _counted(per_transaction, keys)
+    # one shuffle for the distinct customers and for the sums: both need the transactions of a store's day, and a
+    # day of one store is no more than a task can take
+    daily = _counted(per_transaction.repartition(*keys), keys)
     return daily.select(
         *keys, "Total_Sales_Amount", "Total_Cost", "Total_Margin", "Total_Discount", "Transaction_Count",
         "Line_Count", "Units_Sold", "Unique_Customers", _average_ticket(), _margin_share("Avg_Margin_Pct"),

@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,9 +93,28 @@ def bound_tasks(spark: SparkSession, largest_input_bytes: int) -> int:
     return partitions
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+# has the shuffle files of a job deleted at its end, not when the JVM next collects what named them
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def run_once(spark: SparkSession) -> Iterator[None]:
+    """Frames made within are run once: what was shuffled for them leaves the disks with their job."""
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+
+
+def stored(df: DataFrame, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The rows of ``df``, written once and read from files: for a plan that is needed in several jobs.
 
+    A plan over files no longer tells the steps before them which columns it leaves out. Where only some
+    ``columns`` are read later, no others are shuffled and written; the frame keeps them all, but a job that
+    does read one of the others fails.
+
     The folder is below spark.checkpoint.dir or the warehouse, which all executors share."""
     spark = df.sparkSession
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -101,8 +122,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         local = spark.sparkContext.master.startswith("local")
         shared = tempfile.mkdtemp(prefix="shelfmark-") if local else spark.conf.get("spark.sql.warehouse.dir")
     folder = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return spark.read.parquet(folder)
+    kept = set(df.columns if columns is None else columns)
+    with run_once(spark):
+        df.select(*[c for c in df.columns if c in kept]).write.option("compression", "zstd").parquet(folder)
+    found = spark.read.parquet(folder)
+    return found.select(
+        *[
+            F.col(f.name) if f.name in kept else F.raise_error(F.lit(f"{f.name} is not among the stored {name}")).cast(f.dataType).alias(f.name)
+            for f in df.schema
+        ]
+    )
 
 
 def local_session(cpus: int | str = "*", app: str = "shelfmark", **extra: str) -> SparkSession:

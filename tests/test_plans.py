@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+import time
 from decimal import Decimal as N
 
 import pytest
@@ -291,3 +292,82 @@ def test_rebuilt_months_clean_their_rows_once(spark, tmp_path):
     assert not [f for f in found.inputFiles() if str(tmp_path) in f]
     assert {r["Sales_Month"] for r in found.collect()} <= {200105, 200111}
     assert found.count() > 0
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def shuffles_left(spark, before, most=0):
+    """Shuffles whose files stay, once no more than ``most`` do: executors delete them shortly after the job."""
+    for _ in range(100):
+        left = {name.split("_")[1] for name in shuffle_files(spark) - before}
+        if len(left) <= most:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    rows = spark.range(10_000).select(F.xxhash64("id").alias("key"), "id").groupBy("key").agg(F.max("id").alias("id"))
+    before, setting = shuffle_files(spark), spark.conf.get(session.CLEAN_UP, "false")
+    kept = session.stored(rows, "rows")
+    assert not shuffles_left(spark, before) and spark.conf.get(session.CLEAN_UP, "false") == setting
+    # the owner's frame can still be run
+    assert rows.collect() and sorted(map(tuple, kept.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_stored_columns_are_the_ones_read(spark):
+    rows = frame(spark, "key string, n int, price decimal(18,2), day date", ("a", 1, N(2), dt.date(2024, 1, 1)), (None, None, None, None))
+    kept = session.stored(rows, "rows", ["key", "price"])
+    assert spark.read.parquet(*kept.inputFiles()).columns == ["key", "price"]
+    # a plan over the whole frame can be built; what it does not return is not needed
+    assert kept.schema == rows.schema
+    assert sorted(kept.withColumn("twice", F.col("n") * 2).select("price", "key").collect(), key=str) == sorted(rows.select("price", "key").collect(), key=str)
+    for missing in ("n", "day"):
+        with pytest.raises(Exception, match=f"{missing} is not among the stored rows"):
+            kept.select("key", missing).collect()
+
+
+def test_rebuilt_months_store_what_they_read(spark, tmp_path):
+    day = dt.date(2001, 11, 5)
+    for name, ddl, *rows in (
+        ("region", "r_regionkey int, r_name string", (0, "ASIA")),
+        ("nation", "n_nationkey int, n_regionkey int", (0, 0)),
+        ("supplier", "s_suppkey int, s_name string, s_nationkey int", *[(s, f"store {s}", 0) for s in range(1, 11)]),
+        ("part", "p_partkey int, p_name string, p_size int, p_retailprice double", (1, "name", 10, 1000.0)),
+        ("orders", "o_orderkey int, o_custkey int, o_orderpriority string, o_orderdate date, o_totalprice double", *[(k, 1, "1-URGENT", day, 100.0) for k in range(1, 11)]),
+        (
+            "lineitem",
+            "l_orderkey int, l_linenumber int, l_partkey int, l_suppkey int, l_returnflag string, l_shipdate date, l_quantity double, l_extendedprice double, l_discount double",
+            *[(k, n, 1, 1, "N", day, 2.0, 50.0, 0.05) for k in range(1, 11) for n in (1, 2)],
+        ),
+    ):
+        frame(spark, ddl, *rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = shuffle_files(spark)
+    found = queries.REGISTRY["rebuilt_months"](spark.newSession(), str(tmp_path))
+    # neither the cleaning nor the search for months leaves shuffle files behind, only the listing of each of the six tables
+    assert len(shuffles_left(spark, before, 6)) <= 6
+    files = found.inputFiles()
+    for name, columns in (("lines", queries.LINES_READ), ("headers", queries.HEADERS_READ)):
+        assert set(spark.read.parquet(*[f for f in files if f"/{name}-" in f]).columns) == set(columns)
+    sums = found.select("Sales_Month", F.col("Line_Count").cast("int"), F.col("Transaction_Count").cast("int")).collect()
+    assert sums and all(lines == 2 * transactions for _, lines, transactions in sums)
+
+
+def test_daily_sums_are_moved_once(spark, fact, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    lines = fact.drop("Customer_ID", "Transaction_Date")
+    joined = lines.join(fact.select("Transaction_ID", "Customer_ID", "Transaction_Date"), "Transaction_ID")
+    moved = shuffles(plan_of(aggregates.sales_daily(joined)))
+    # the two sides of the join, then the sums by day and store: not again by customer
+    assert len(moved) == 3 and sum("Transaction_Date" in x for x in moved) == 1
+
+
+def test_customers_of_a_day_are_counted_once(spark, fact):
+    other = fact.withColumn("Transaction_ID", F.lit("T2"))
+    walk_in = fact.withColumns({"Transaction_ID": F.lit("T3"), "Customer_ID": F.lit(None).cast("string")})
+    rows = fact.unionByName(fact).unionByName(other).unionByName(walk_in).unionByName(other.withColumn("Store_ID", F.lit(None).cast("string")))
+    found = aggregates.sales_daily(rows).select("Store_ID", "Transaction_Count", "Line_Count", "Units_Sold", "Unique_Customers", "Total_Sales_Amount")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([("S1", 3, 4, 4, 1, N(4)), (None, 1, 1, 1, 1, N(1))], key=str)

@@ -17,7 +17,7 @@ from shelfmark.operators.surrogate import dense_key, lasting_key
 from shelfmark.plans import aggregates, analytics, contracts, gold, reports, silver
 from shelfmark.plans.staging import STAGERS
 from shelfmark.plans.warehouse import DIMENSION_KEYS
-from shelfmark.session import stored, tune
+from shelfmark.session import run_once, stored, tune
 from shelfmark.sources import weather as weather_source
 from verification import feeds
 
@@ -807,11 +807,17 @@ def _(b: Build):
     return months_of_last_lines(b, b.lines(), b.headers())
 
 
+# what the touched months and the daily sums read of the cleaned rows
+LINES_READ = ("Transaction_ID", "Store_ID", "Quantity", "Cost_Price", "Discount_Amount", "Line_Sales_Amount", "Is_Valid")
+HEADERS_READ = ("Transaction_ID", "Transaction_Date", "Customer_ID", "Is_Valid")
+
+
 @query("rebuilt_months")
 def _(b: Build):
     # stored as in a run: both steps read the cleaned rows, none cleans them again
-    lines, headers = stored(b.lines(), "lines"), stored(b.headers(), "headers")
-    # no more than the months of the calendar
-    months = [r["Sales_Month"] for r in months_of_last_lines(b, lines, headers).collect()]
+    lines, headers = stored(b.lines(), "lines", LINES_READ), stored(b.headers(), "headers", HEADERS_READ)
+    with run_once(b.spark):
+        # no more than the months of the calendar
+        months = [r["Sales_Month"] for r in months_of_last_lines(b, lines, headers).collect()]
     fact = gold.fact_sales(lines, gold.in_months(headers, months), CLOCK)
     return aggregates.by_month(gold.with_sales_month(fact), b.products())["agg_sales_daily"]
