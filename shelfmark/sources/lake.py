@@ -101,9 +101,12 @@ class Lake:
             else:
                 df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
                 self._create(build, path, df, partition_by)
-            if self.exists(layer, table) and self.spark.catalog.getTable(name).tableType != "VIEW":
+            kind = self.spark.catalog.getTable(name).tableType if self.exists(layer, table) else None
+            if kind not in (None, "VIEW"):
                 self.spark.sql(f"DROP TABLE {name}")
-            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {build}")
+            # CREATE OR REPLACE drops the view first, and readers would not find it for a moment
+            change = "ALTER VIEW" if kind == "VIEW" else "CREATE OR REPLACE VIEW"
+            self.spark.sql(f"{change} {name} AS SELECT * FROM {build}")
         self._drop_old(layer, table)
         return self.read(layer, table)
 

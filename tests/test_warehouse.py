@@ -2,6 +2,7 @@ import csv
 import datetime as dt
 import json
 import threading
+import time
 
 import pytest
 from conftest import frame
@@ -385,6 +386,19 @@ def test_readers_never_fail_during_a_refresh(lake, spark):
         assert not failed and set(seen) <= set(range(40, 45)) and lake.count(GOLD, name) == 44
 
 
+def test_a_refreshed_view_is_changed_in_place(lake, spark):
+    lake.create_layers()
+    made = []
+    for build, columns in enumerate((["id", "m"], ["id", "m"], ["id", "m", "n"])):
+        rows = spark.range(4 + build).selectExpr("id", "id % 2 AS m", "id AS n").select(*columns)
+        assert sorted(lake.refresh(GOLD, "kept", rows, ["m"]).columns) == columns and lake.count(GOLD, "kept") == 4 + build
+        name = spark._jvm.org.apache.spark.sql.catalyst.TableIdentifier("kept", spark._jvm.scala.Option.apply(lake.database(GOLD)))
+        made.append(spark._jsparkSession.sessionState().catalog().getTableMetadata(name).createTime())
+        time.sleep(0.01)
+    # a view that is dropped and made anew is missing in between
+    assert len(set(made)) == 1
+
+
 def test_old_builds_go_by_retention(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"), "keep_", keep=2)
     lake.create_layers()
